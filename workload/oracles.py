@@ -346,7 +346,7 @@ _FILL_CHAIN = [*_FEATURE_SILVER, FEATURE, FORWARD, BACKWARD]
 _BY_ROW = "PARTITION BY user_id ORDER BY event_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW"
 WINDOWS = ("windows AS (SELECT user_id, event_date, "
            + ", ".join(f"list(CAST({c} AS FLOAT)) OVER w AS {c}" for c in FEATURES)
-           + f" FROM scaled QUALIFY count(*) OVER w = 7 WINDOW w AS ({_BY_ROW})),\n"
+           + f" FROM scaled WINDOW w AS ({_BY_ROW}) QUALIFY count(*) OVER w = 7),\n"
            + "cells AS (SELECT user_id, event_date, i AS position, "
            + ", ".join(f"{c}[i + 1] AS {c}" for c in FEATURES)
            + " FROM windows, range(7) AS r(i))")
@@ -354,7 +354,7 @@ WINDOW_ERROR = f"""errors AS (
   SELECT user_id, event_date,
          sum(CAST(minutes_asleep AS DOUBLE) * minutes_asleep
              + CAST(sleep_efficiency AS DOUBLE) * sleep_efficiency) OVER w / 14 AS error
-  FROM filled QUALIFY count(*) OVER w = 7 WINDOW w AS ({_BY_ROW}))"""
+  FROM filled WINDOW w AS ({_BY_ROW}) QUALIFY count(*) OVER w = 7)"""
 
 LABELLED = """stats AS (SELECT avg(value) AS m, stddev_pop(value) + 1e-8 AS s FROM events),
 scored AS (SELECT event_id, (value - m) / s AS z_score FROM events, stats),
