@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,16 +41,16 @@ INTRADAY_RANGES = {
 }
 
 
-def _cell(rows: DataFrame, name: str) -> Column:
+def _cell(present: Collection[str], name: str) -> Column:
     """An export cell; a column the export lacks reads as missing."""
-    return F.col(f"`{name}`") if name in rows.columns else F.lit(None).cast("string")
+    return F.col(f"`{name}`") if name in present else F.lit(None).cast("string")
 
 
-def _read_cells(rows: DataFrame, specs: Sequence[TopicSpec]) -> dict[str, Column]:
+def _read_cells(present: Collection[str], specs: Sequence[TopicSpec]) -> dict[str, Column]:
     """Each topic's cells, read once: text cells and decimals."""
     metrics = {m.export_column: m for spec in specs for m in spec.metrics}
     return {
-        f"_cell_{name}": (text_or_null if m.export_is_text else decimal_text)(_cell(rows, name))
+        f"_cell_{name}": (text_or_null if m.export_is_text else decimal_text)(_cell(present, name))
         for name, m in metrics.items()
     }
 
@@ -87,16 +87,18 @@ def _documents(rows: DataFrame, specs: Sequence[TopicSpec], envelope: Sequence[C
 
 def identified(rows: DataFrame, *columns: str) -> DataFrame:
     """Rows whose identifying cells are neither missing nor empty."""
+    present = set(rows.columns)
     for name in columns:
-        rows = rows.filter(text_or_null(_cell(rows, name)).isNotNull())
+        rows = rows.filter(text_or_null(_cell(present, name)).isNotNull())
     return rows
 
 
 def first_profile_rows(rows: DataFrame) -> DataFrame:
     """The earliest row of each user (by date, then hour)."""
-    clock = clock_hour(finite(decimal_text(_cell(rows, "hour"))))
+    present = set(rows.columns)
+    clock = clock_hour(finite(decimal_text(_cell(present, "hour"))))
     ties = [F.col(f"`{m.export_column}`").asc_nulls_last()
-            for m in PROFILE.metrics if m.export_column in rows.columns]
+            for m in PROFILE.metrics if m.export_column in present]
     return first_per_key(rows, ["id"], [F.col("date").asc_nulls_last(), clock.asc(), *ties])
 
 
@@ -109,8 +111,9 @@ def export_events(rows: DataFrame, specs: Sequence[TopicSpec], *, source: str, h
     """
     rows = identified(rows, "id")
     ingest_time = F.current_timestamp() if ingest_time is None else ingest_time
-    raw_hour = _cell(rows, "hour") if hourly and "hour" in rows.columns else F.lit("0")
-    date = text_or_null(_cell(rows, "date"))
+    present = set(rows.columns)
+    raw_hour = _cell(present, "hour") if hourly and "hour" in present else F.lit("0")
+    date = text_or_null(_cell(present, "date"))
 
     def emit(part: DataFrame, chosen: Sequence[TopicSpec]) -> DataFrame:
         # Text is read in a projection of its own: later expressions that use
@@ -121,7 +124,7 @@ def export_events(rows: DataFrame, specs: Sequence[TopicSpec], *, source: str, h
             raw_hour.alias("_hour"),
             decimal_text(raw_hour).alias("_clock"),
             ingest_time.alias("_ingest_time"),
-            *[value.alias(name) for name, value in _read_cells(part, chosen).items()],
+            *[value.alias(name) for name, value in _read_cells(present, chosen).items()],
         )
         moment = clock_text(F.col("_date"), clock_hour(finite(F.col("_clock"))))
         envelope = [

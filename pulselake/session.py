@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording a call site per Column doubles the time to build wide plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -8,7 +8,7 @@ from collections import Counter
 
 import duckdb
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("events", "customer")
 
 

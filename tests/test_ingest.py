@@ -1,0 +1,118 @@
+import json
+
+from pyspark.sql import functions as F
+
+from pulselake.operators.envelope import decode, promote, to_bronze
+from pulselake.operators.ingest import daily_events, first_profile_rows, hourly_events
+from pulselake.operators.baseline import baseline_pool
+from pulselake.sources.csv_export import read_export
+from tests.rows import one, transport
+
+HOURLY = """id,date,hour,bpm,steps,activityType,RESTED/RELAXED,mindfulness_session,age,step_goal,min_goal,step_goal_label
+u1,2021-05-24,7.0,72.5,134.0,Walk,1.0,True,<30,">=10",5,"a ""b"", c"
+u1,2021-05-24,6.0,,x,,0.0,,>=30,,,
+,2021-05-24,6.0,70,1,,,,,,,
+u2,,5.0,70,1,,,,,,,
+u3,2021-05-25,x,NaN,1,,,,,,,
+"""
+
+
+def written(folder, text, name="export.csv"):
+    path = f"{folder}/{name}"
+    with open(path, "w", encoding="utf-8") as out:
+        out.write(text)
+    return path
+
+
+def documents(events):
+    return [(r["topic"], r["key"].decode() if r["key"] is not None else None, json.loads(r["value"].decode()))
+            for r in events.collect()]
+
+
+def test_hourly_export(spark, folder):
+    events = documents(hourly_events(read_export(spark, written(folder, HOURLY))))
+    by = {}
+    for topic, key, doc in events:
+        by.setdefault((topic, key), []).append(doc)
+    assert {t for t, _ in by} == {"wearable_vitals", "wearable_activity", "wearable_context", "wearable_profile"}
+    assert all(key for _, key in by)  # the row without an id is gone
+    assert len(by["wearable_vitals", "u1"]) == 2
+    first = next(d for d in by["wearable_vitals", "u1"] if d["event_hour"] == "7.0")
+    assert first["event_timestamp"] == "2021-05-24T07:00:00"
+    assert first["source"] == "fitbit_csv" and first["event_type"] == "vitals"
+    assert first["payload"] == {"bpm": 72.5}
+    context = next(d for d in by["wearable_context", "u1"] if d["event_hour"] == "7.0")
+    assert context["payload"] == {"mindfulness_session": "True", "RESTED_RELAXED": 1.0}
+    activity = next(d for d in by["wearable_activity", "u1"] if d["event_hour"] == "6.0")
+    assert activity["payload"] == {}
+    # One profile per user: the earliest hour.
+    [profile] = by["wearable_profile", "u1"]
+    assert profile["event_hour"] == "6.0" and profile["payload"] == {"age": ">=30"}
+    # No date: no timestamp, so Silver will reject it.
+    assert "event_timestamp" not in by["wearable_vitals", "u2"][0]
+    # Unreadable hour: midnight in the timestamp, the text is kept.
+    [odd] = by["wearable_vitals", "u3"]
+    assert odd["event_timestamp"] == "2021-05-25T00:00:00" and odd["event_hour"] == "x" and odd["payload"] == {}
+
+
+def test_quoted_cells_and_text_numbers(spark, folder):
+    rows = read_export(spark, written(folder, HOURLY)).filter("hour = '7.0'")
+    [profile] = [d for t, _, d in documents(hourly_events(rows)) if t == "wearable_profile"]
+    assert profile["payload"] == {"age": "<30", "step_goal": ">=10", "min_goal": "5", "step_goal_label": 'a "b", c'}
+
+
+def test_daily_export(spark, folder):
+    text = "id,date,minutesAsleep,filteredDemographicVO2Max,sleep_points_percentage,nremhr\nu1,2021-05-24,400,41.5,0.5,60\n"
+    docs = {t: d for t, _, d in documents(daily_events(read_export(spark, written(folder, text))))}
+    assert set(docs) == {"wearable_sleep", "wearable_hrv_summary", "wearable_breathing_summary",
+                         "wearable_vitals_daily", "wearable_profile"}
+    assert docs["wearable_sleep"]["payload"] == {"minutes_asleep": 400.0}
+    assert docs["wearable_sleep"]["event_hour"] == "0"
+    assert docs["wearable_sleep"]["event_timestamp"] == "2021-05-24T00:00:00"
+    assert docs["wearable_vitals_daily"]["payload"] == {"filtered_demographic_vo2max": 41.5, "sleep_points_pct": 0.5}
+
+
+def test_columns_are_named_by_the_header(spark, folder):
+    rows = read_export(spark, written(folder, "hour,bpm,id,date\n3,61,u1,2021-05-24\n"))
+    vitals = [d for t, _, d in documents(hourly_events(rows)) if t == "wearable_vitals"]
+    assert vitals[0]["user_id"] == "u1" and vitals[0]["payload"]["bpm"] == 61.0
+
+
+def test_first_profile_of_a_crowded_user(spark):
+    rows = spark.range(2000).select(
+        F.lit("hot").alias("id"), F.lit("2021-01-01").alias("date"), (F.col("id") % 24).cast("string").alias("hour"),
+        F.col("id").cast("string").alias("age"))
+    assert one(first_profile_rows(rows))["hour"] == "0"
+
+
+def test_promote_equals_path_extraction(spark):
+    texts = [
+        '{"event_date":"2021-05-24","event_hour":7.0,"payload":{"bpm":72.50,"x":[1,{"y":null}]},"trace_id":null}',
+        '{"event_date":"2021-05-24","payload":{"bpm":NaN}}',
+        '{"event_type":"vitals","payload":"text"}', "[]", "not json", '{"payload":{}}', "{", '{"event_date":""}', None,
+    ]
+    rows = transport(spark, *[("wearable_vitals", "u", t, "2021-05-24T00:00:00") for t in texts])
+    names = ["event_date", "event_hour", "event_timestamp", "source_timestamp", "trace_id", "event_type", "payload"]
+    decoded = decode(rows)
+    by_path = decoded.select(*[F.get_json_object("document", f"$.{n}").alias(n) for n in names]).collect()
+    by_tuple = promote(decoded).select(*names).collect()
+    assert sorted(map(str, by_tuple)) == sorted(map(str, by_path))
+
+
+def test_only_known_topics_are_routed(spark):
+    rows = transport(spark, *[(t, "u", "{}", "2021-05-24T00:00:00") for t in ("wearable_vitals", "other", None)])
+    assert one(to_bronze(rows))["topic"] == "vitals"
+
+
+def test_baseline_pool(spark):
+    hourly = spark.createDataFrame(
+        [("u1", "d1", "1", "70"), ("u1", "d1", "2", "bad"), ("u2", "d1", None, "60"), ("", "d1", "1", "1"),
+         ("u3", None, "1", "1")], "id string, date string, hour string, bpm string")
+    daily = spark.createDataFrame(
+        [("u1", "d1", "30", "14", 1), ("u1", "d1", "31", None, 2), ("u1", "d2", "99", "9", 3)],
+        "id string, date string, rmssd string, full_sleep_breathing_rate string, at int")
+    pool = {(r["user_id"], r["event_hour"]): r for r in baseline_pool(hourly, daily, [F.desc("at")]).collect()}
+    assert set(pool) == {("u1", "1"), ("u1", "2"), ("u2", "0")}
+    assert (pool["u1", "1"]["base_bpm"], pool["u1", "1"]["base_rmssd"], pool["u1", "1"]["base_breathing"]) == (70, 31, 16)
+    assert pool["u1", "2"]["base_bpm"] == 80.0
+    assert (pool["u2", "0"]["base_rmssd"], pool["u2", "0"]["base_breathing"]) == (50.0, 16.0)
