@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulselake.operators import daily, spine
 from pulselake.sources.lake import GOLD, SILVER, Lake
 
+log = logging.getLogger(__name__)
+
 
 def audited(rows: DataFrame) -> DataFrame:
     return rows.withColumn("gold_updated_at", F.current_timestamp())
@@ -53,6 +57,7 @@ def build_gold(lake: Lake, name: str, *, strict_schema: bool = False) -> bool:
     """Rebuild one Gold table; False when it has no input."""
     rows = BUILDERS[name](lake, strict_schema)
     if rows is None:
+        log.info("%s: no input, skipped", name)
         return False
     lake.overwrite(audited(rows), GOLD, name)
     return True

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import logging
+
 from pulselake.operators.refine import refine
 from pulselake.sources.lake import SILVER, Lake
 from pulselake.specs import TOPICS, TopicSpec
 
+log = logging.getLogger(__name__)
+
 
 def refine_topic(lake: Lake, spec: TopicSpec, *, after_batch: int | None = None,
                  append_only_intraday: bool = False) -> bool:
@@ -16,6 +20,7 @@ def refine_topic(lake: Lake, spec: TopicSpec, *, after_batch: int | None = None,
     """
     bronze = lake.read_bronze(spec.name, after_batch)
     if bronze is None:
+        log.info("%s: no Bronze table, skipped", spec.name)
         return False
     if spec.intraday and append_only_intraday:
         lake.append(refine(bronze, spec, unique=False), SILVER, spec.name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation
@@ -22,6 +23,8 @@ PUBLISHED = (
     "ai_insights",
 )
 
+log = logging.getLogger(__name__)
+
 Writer = Callable[[DataFrame, str], None]
 
 
@@ -53,10 +56,13 @@ def publish(lake: Lake, name: str, write: Writer) -> int | None:
     """
     table = lake.read(GOLD, name)
     if table is None:
+        log.info("%s: no Gold table, skipped", name)
         return None
     seen = Observation()
     write(table.observe(seen, F.count(F.lit(1)).alias("rows")), name)
-    return seen.get["rows"]
+    rows = seen.get["rows"]
+    log.info("%s: %d rows published", name, rows)
+    return rows
 
 
 def publish_all(lake: Lake, write: Writer | None = None) -> dict[str, int]:

@@ -12,15 +12,20 @@ from pulselake.sources.lake import BRONZE
 from pulselake.sources.topic_log import topic_stream
 
 
-def land_batch(batch: DataFrame, batch_id: int, config: LakeConfig) -> None:
+def land_batch(batch: DataFrame, batch_id: int, config: LakeConfig, *, gather: bool = False) -> None:
     """Write one micro-batch; writing it again replaces its own partitions.
 
-    A single write splits the batch by topic and date. It is map-only: topic
-    partitions already hold one topic each, so a shuffle would only move rows.
+    A single write splits the batch by topic and date. It is map-only by
+    default: topic partitions already hold one topic each and a short batch
+    spans few dates. A backlog spans many, and every task would open a file in
+    each; ``gather`` then brings rows of one topic and date together, letting
+    adaptive execution split the crowded ones.
     """
+    rows = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    if gather:
+        rows = rows.hint("rebalance", F.col("topic"), F.col("event_date"))
     (
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .write.format(config.table_format)
+        rows.write.format(config.table_format)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("topic", "event_date", "batch_id")
@@ -29,11 +34,11 @@ def land_batch(batch: DataFrame, batch_id: int, config: LakeConfig) -> None:
 
 
 def start_bronze(spark: SparkSession, config: LakeConfig, *, drain: bool = False) -> StreamingQuery:
-    """Start landing. ``drain`` takes what is there and stops."""
+    """Start landing. ``drain`` works off the backlog and stops."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            land_batch(batch, batch_id, config)
+            land_batch(batch, batch_id, config, gather=drain)
 
     writer = (
         to_bronze(topic_stream(spark, config))

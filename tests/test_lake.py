@@ -47,6 +47,16 @@ def test_replayed_batch_adds_nothing(lake):
     assert dict(lake.read_bronze("vitals").dtypes)["event_date"] == "string"
 
 
+def test_gathered_backlog_has_one_file_per_topic_and_date(spark, lake):
+    import glob
+    rows = [bronze_row({"bpm": 70}, user=f"u{i}", date=f"2021-05-{1 + i % 3:02d}") for i in range(60)]
+    batch = bronze(spark, *rows).drop("batch_id").repartition(8)
+    land_batch(batch, 0, lake.config, gather=True)
+    assert len(glob.glob(f"{lake.config.layer(BRONZE)}/topic=vitals/*/batch_id=0/*.parquet")) == 3
+    land_batch(batch, 0, lake.config)
+    assert lake.read_bronze("vitals").count() == 60
+
+
 def test_silver_twice_is_silver_once(lake):
     land(lake, 0, bronze_row({"bpm": 70}), bronze_row({"bpm": 80}, trace="t", kind="heart_rate_intraday"))
     for _ in range(2):
