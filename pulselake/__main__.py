@@ -6,6 +6,7 @@ Locations come from the ``PULSELAKE_*`` environment variables.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import logging
 
 from pulselake.config import LakeConfig
@@ -31,8 +32,12 @@ def parser() -> argparse.ArgumentParser:
     for name in ("silver", "run"):
         job = jobs.add_parser(name, help="Bronze to Silver" if name == "silver" else "all stages after Bronze")
         job.add_argument("--after-batch", type=int)
+        job.add_argument("--new-only", action="store_true", help="Bronze batches since the last such run")
         job.add_argument("--append-only-intraday", action="store_true")
+        if name == "run":
+            job.add_argument("--since", type=dt.date.fromisoformat, help="rebuild Gold from this date on")
     gold = jobs.add_parser("gold", help="rebuild Gold")
+    gold.add_argument("--since", type=dt.date.fromisoformat)
     gold.add_argument("--strict-schema", action="store_true")
     jobs.add_parser("insights", help="fit the model and publish ai_insights")
     jobs.add_parser("publish", help="send Gold to the database")
@@ -49,6 +54,7 @@ def main(arguments: list[str] | None = None, lake: Lake | None = None):
         lake = Lake(lake_session(f"pulselake-{chosen.job}"), LakeConfig.from_env())
     silver_options = {
         "after_batch": getattr(chosen, "after_batch", None),
+        "new_only": getattr(chosen, "new_only", False),
         "append_only_intraday": getattr(chosen, "append_only_intraday", False),
     }
     match chosen.job:
@@ -60,9 +66,9 @@ def main(arguments: list[str] | None = None, lake: Lake | None = None):
         case "silver":
             report = run_silver(lake, **silver_options)
         case "run":
-            report = run_lake(lake, **silver_options)
+            report = run_lake(lake, since=chosen.since, **silver_options)
         case "gold":
-            report = run_gold(lake, strict_schema=chosen.strict_schema)
+            report = run_gold(lake, strict_schema=chosen.strict_schema, since=chosen.since)
         case "insights":
             report = run_insights(lake)
         case "publish":

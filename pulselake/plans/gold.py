@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,52 +20,78 @@ def audited(rows: DataFrame) -> DataFrame:
     return rows.withColumn("gold_updated_at", F.current_timestamp())
 
 
-def _from_one(lake: Lake, silver_name: str, summarise) -> DataFrame | None:
-    table = lake.read(SILVER, silver_name)
-    return None if table is None else summarise(table)
+@dataclass(frozen=True)
+class GoldInput:
+    """The tables of a lake from one date on; from the beginning by default."""
 
+    lake: Lake
+    strict_schema: bool = False
+    since: dt.date | None = None
 
-def _activity(lake: Lake, strict_schema: bool) -> DataFrame | None:
-    profile = lake.read(SILVER, "profile")
-    return _from_one(lake, "activity", lambda rows: daily.activity_summary(rows, profile))
+    def daily(self, layer: str, name: str) -> DataFrame | None:
+        table = self.lake.read(layer, name)
+        if table is None or self.since is None:
+            return table
+        return table.filter(F.col("event_date") >= F.lit(self.since))
 
+    def profile(self) -> DataFrame | None:
+        """One row per user, whatever the date it was received on."""
+        return self.lake.read(SILVER, "profile")
 
-def _intraday(lake: Lake, strict_schema: bool) -> DataFrame | None:
-    tables = [lake.read(SILVER, f"{part}_intraday") for part in ("heart_rate", "hrv", "breathing")]
+
+def _summary(silver_name: str, summarise: Callable[[DataFrame], DataFrame]) -> Callable[[GoldInput], DataFrame | None]:
+    def build(source: GoldInput) -> DataFrame | None:
+        table = source.daily(SILVER, silver_name)
+        return None if table is None else summarise(table)
+
+    return build
+
+
+def _activity(source: GoldInput) -> DataFrame | None:
+    return _summary("activity", lambda rows: daily.activity_summary(rows, source.profile()))(source)
+
+
+def _intraday(source: GoldInput) -> DataFrame | None:
+    tables = [source.daily(SILVER, f"{part}_intraday") for part in ("heart_rate", "hrv", "breathing")]
     if all(t is None for t in tables):
         return None
-    return daily.intraday_summary(*tables, strict_schema=strict_schema)
+    return daily.intraday_summary(*tables, strict_schema=source.strict_schema)
 
 
-def _wellness(lake: Lake, strict_schema: bool) -> DataFrame | None:
-    tables = {name: lake.read(GOLD, name) for name in spine.WELLNESS_METRICS}
+def _wellness(source: GoldInput) -> DataFrame | None:
+    tables = {name: source.daily(GOLD, name) for name in spine.WELLNESS_METRICS}
     if all(t is None for t in tables.values()):
         return None
-    return spine.wellness_profile(tables, lake.read(SILVER, "profile"), strict_schema=strict_schema)
+    return spine.wellness_profile(tables, source.profile(), strict_schema=source.strict_schema)
 
 
 # In build order: the wellness profile reads the tables before it.
-BUILDERS = {
-    "daily_vitals_summary": lambda lake, strict: _from_one(lake, "vitals", daily.vitals_summary),
+BUILDERS: dict[str, Callable[[GoldInput], DataFrame | None]] = {
+    "daily_vitals_summary": _summary("vitals", daily.vitals_summary),
     "daily_activity_summary": _activity,
-    "daily_context_summary": lambda lake, strict: _from_one(lake, "context", daily.context_summary),
-    "daily_sleep_summary": lambda lake, strict: _from_one(lake, "sleep", daily.sleep_summary),
-    "daily_vitals_daily_summary": lambda lake, strict: _from_one(lake, "vitals_daily", daily.vitals_daily_summary),
+    "daily_context_summary": _summary("context", daily.context_summary),
+    "daily_sleep_summary": _summary("sleep", daily.sleep_summary),
+    "daily_vitals_daily_summary": _summary("vitals_daily", daily.vitals_daily_summary),
     "daily_intraday_summary": _intraday,
     "daily_wellness_profile": _wellness,
 }
 
 
-def build_gold(lake: Lake, name: str, *, strict_schema: bool = False) -> bool:
-    """Rebuild one Gold table; False when it has no input."""
-    rows = BUILDERS[name](lake, strict_schema)
+def build_gold(lake: Lake, name: str, *, strict_schema: bool = False, since: dt.date | None = None) -> bool:
+    """Rebuild one Gold table; False when it has no input.
+
+    A Gold row depends on the Silver rows of its own date, so ``since``
+    rebuilds the later dates only and leaves the others in place.
+    """
+    rows = BUILDERS[name](GoldInput(lake, strict_schema, since))
     if rows is None:
         log.info("%s: no input, skipped", name)
         return False
-    lake.overwrite(audited(rows), GOLD, name)
+    write = lake.overwrite if since is None else lake.overwrite_dates
+    write(audited(rows), GOLD, name)
     return True
 
 
-def run_gold(lake: Lake, *, strict_schema: bool = False) -> list[str]:
+def run_gold(lake: Lake, **options) -> list[str]:
     """Rebuild all Gold tables that have input; names of the tables written."""
-    return [name for name in BUILDERS if build_gold(lake, name, strict_schema=strict_schema)]
+    return [name for name in BUILDERS if build_gold(lake, name, **options)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 
 from pulselake.operators.anomaly import TooFewWindows
@@ -36,11 +38,12 @@ def require_layer(lake: Lake, layer: str) -> None:
 
 
 def run_lake(lake: Lake, *, writer: Writer | None = None, with_insights: bool = True,
-             **silver_options) -> dict[str, object]:
+             since: dt.date | None = None, **silver_options) -> dict[str, object]:
     """All stages in order, each behind a check of the layer it reads.
 
     Insights run before publishing, so that the published table is this run's.
-    Too little data for a model leaves the other stages untouched.
+    Too little data for a model leaves the other stages untouched. ``since``
+    limits the Gold rebuild to later dates.
     """
     report: dict[str, object] = {}
     require_layer(lake, BRONZE)
@@ -51,7 +54,7 @@ def run_lake(lake: Lake, *, writer: Writer | None = None, with_insights: bool =
             report["insights"] = run_insights(lake)
         except (TooFewWindows, FileNotFoundError) as reason:
             report["insights"] = str(reason)
-    report["gold"] = run_gold(lake)
+    report["gold"] = run_gold(lake, since=since)
     require_layer(lake, GOLD)
     if writer is not None or lake.config.jdbc_url is not None:
         report["published"] = publish_all(lake, writer)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import logging
 
+from pyspark.sql import functions as F
+
 from pulselake.operators.refine import refine
 from pulselake.sources.lake import SILVER, Lake
 from pulselake.specs import TOPICS, TopicSpec
@@ -11,24 +13,37 @@ from pulselake.specs import TOPICS, TopicSpec
 log = logging.getLogger(__name__)
 
 
-def refine_topic(lake: Lake, spec: TopicSpec, *, after_batch: int | None = None,
+def refine_topic(lake: Lake, spec: TopicSpec, *, after_batch: int | None = None, new_only: bool = False,
                  append_only_intraday: bool = False) -> bool:
     """Bring one Silver table up to date; False when its Bronze is missing.
 
-    ``after_batch`` limits the read to newer batches. ``append_only_intraday``
-    appends every intraday delivery without looking at stored rows.
+    By default all of Bronze is read, as every key already stored is skipped
+    anyway. ``after_batch`` limits the read to newer batches; ``new_only``
+    takes that limit from the last recorded run, so that a daily run reads a
+    day and not the whole history. ``append_only_intraday`` appends intraday
+    deliveries without looking at stored rows.
     """
+    newest = lake.newest_batch(spec.name) if new_only else None
+    if new_only:
+        after_batch = lake.refined_batch(spec.name)
+        if newest is not None and newest == after_batch:
+            return True
     bronze = lake.read_bronze(spec.name, after_batch)
     if bronze is None:
         log.info("%s: no Bronze table, skipped", spec.name)
         return False
+    if newest is not None:
+        # Batches that land during the run belong to the next one.
+        bronze = bronze.filter(F.col("batch_id") <= newest)
     if spec.intraday and append_only_intraday:
         lake.append(refine(bronze, spec, unique=False), SILVER, spec.name)
-        return True
-    # A re-delivered event repeats its timestamp and date, so only the dates of
-    # this input need comparing. Profiles are keyed by user alone.
-    dates = bronze.select("event_date") if "event_timestamp" in spec.keys else None
-    lake.insert_only(refine(bronze, spec), SILVER, spec.name, spec.keys, dates)
+    else:
+        # A re-delivered event repeats its timestamp and date, so only the
+        # dates of this input need comparing. Profiles are keyed by user alone.
+        dates = bronze.select("event_date") if "event_timestamp" in spec.keys else None
+        lake.insert_only(refine(bronze, spec), SILVER, spec.name, spec.keys, dates)
+    if newest is not None:
+        lake.note_refined(spec.name, newest)
     return True
 
 

@@ -81,6 +81,26 @@ class Lake:
         """Replace the table, schema included."""
         self._write(rows, layer, name, "overwrite")
 
+    def overwrite_dates(self, rows: DataFrame, layer: str, name: str) -> None:
+        """Replace the dates that ``rows`` contain and keep all others."""
+        self._write(rows, layer, name, "overwrite", partitions="dynamic")
+
+    def newest_batch(self, name: str) -> int | None:
+        """Highest batch in Bronze; reads the partition column only."""
+        bronze = self.read_bronze(name)
+        return None if bronze is None else bronze.agg(F.max("batch_id")).first()[0]
+
+    def refined_batch(self, name: str) -> int | None:
+        """Highest Bronze batch recorded as refined."""
+        noted = read_if_exists(self.spark, "parquet", self.config.layer("progress"))
+        if noted is None:
+            return None
+        return noted.filter(F.col("name") == name).agg(F.max("batch_id")).first()[0]
+
+    def note_refined(self, name: str, batch_id: int) -> None:
+        row = self.spark.createDataFrame([(name, batch_id)], "name string, batch_id long")
+        row.coalesce(1).write.mode("append").parquet(self.config.layer("progress"))
+
     def insert_only(self, rows: DataFrame, layer: str, name: str, keys: Iterable[str],
                     dates: DataFrame | None = None) -> None:
         """Add the rows whose key is new; stored rows are never changed.
@@ -97,12 +117,14 @@ class Lake:
             stored = within_dates(stored, dates)
         self.append(not_stored(rows, stored, tuple(keys)), layer, name)
 
-    def _write(self, rows: DataFrame, layer: str, name: str, mode: str) -> None:
+    def _write(self, rows: DataFrame, layer: str, name: str, mode: str, partitions: str = "static") -> None:
+        whole = mode == "overwrite" and partitions == "static"
         (
             by_date(rows)
             .write.format(self.config.table_format)
             .mode(mode)
-            .option("overwriteSchema", str(mode == "overwrite").lower())
+            .option("overwriteSchema", str(whole).lower())
+            .option("partitionOverwriteMode", partitions)
             .partitionBy("event_date")
             .save(self.config.table(layer, name))
         )

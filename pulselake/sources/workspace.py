@@ -20,7 +20,8 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without that setting gets a temporary folder.
     """
     context = spark.sparkContext
-    named = context.getConf().get(_FOLDER_SETTING) or context.getCheckpointDir()
+    named = spark.conf.get(_FOLDER_SETTING, None) or context.getConf().get(_FOLDER_SETTING)
+    named = named or context.getCheckpointDir()
     if named is None:
         if not context.master.startswith("local"):
             raise RuntimeError(f"set {_FOLDER_SETTING} to a folder all executors share")
@@ -36,6 +37,12 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def settle(rows: DataFrame) -> DataFrame:
-    """Write ``rows`` to the shared folder and read them from there on."""
-    shared_folder(rows.sparkSession)
-    return rows.checkpoint(eager=True)
+    """Write ``rows`` to the shared folder and read them from there on.
+
+    A Parquet table rather than a checkpoint: it is compressed, later reads
+    take only the columns they need, and its size is known to the planner.
+    """
+    spark = rows.sparkSession
+    path = fresh_folder(spark, "settled")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)

@@ -89,6 +89,34 @@ def test_append_only_intraday_grows(lake):
     assert lake.require(SILVER, "heart_rate_intraday").count() == 2
 
 
+def test_new_only_reads_each_batch_once(lake):
+    spec = TOPICS["heart_rate_intraday"]
+    land(lake, 0, bronze_row({"bpm": 80}, kind=spec.name))
+    for _ in range(2):
+        assert refine_topic(lake, spec, new_only=True, append_only_intraday=True)
+    assert lake.require(SILVER, spec.name).count() == 1 and lake.refined_batch(spec.name) == 0
+    land(lake, 1, bronze_row({"bpm": 81}, kind=spec.name))
+    assert refine_topic(lake, spec, new_only=True, append_only_intraday=True)
+    assert lake.require(SILVER, spec.name).count() == 2 and lake.refined_batch(spec.name) == 1
+    assert not refine_topic(lake, TOPICS["sleep"], new_only=True)
+
+
+def test_gold_since_leaves_earlier_dates(lake):
+    land(lake, 0, bronze_row({"bpm": 70}), bronze_row({"bpm": 80}, date="2021-05-25", stamp="2021-05-25T07:00:00"))
+    run_silver(lake)
+    run_gold(lake)
+    land(lake, 1, bronze_row({"bpm": 90}, stamp="2021-05-24T09:00:00"),
+         bronze_row({"bpm": 100}, date="2021-05-25", stamp="2021-05-25T09:00:00"))
+    run_silver(lake)
+    run_gold(lake, since=day("2021-05-25"))
+    for name in ("daily_vitals_summary", "daily_wellness_profile"):
+        rows = {str(r["event_date"]): r["avg_bpm"] for r in lake.require(GOLD, name).collect()}
+        assert rows == {"2021-05-24": 70.0, "2021-05-25": 90.0}
+    run_gold(lake)
+    rows = {str(r["event_date"]): r["avg_bpm"] for r in lake.require(GOLD, "daily_wellness_profile").collect()}
+    assert rows == {"2021-05-24": 80.0, "2021-05-25": 90.0}
+
+
 def test_merge_reads_touched_dates_only(spark, lake):
     rows = spark.createDataFrame([("u", day(f"2021-01-0{i}")) for i in (1, 2, 3)], "user_id string, event_date date")
     lake.overwrite(rows, SILVER, "t")
