@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pulselake.config import LakeConfig
 from pulselake.operators.refine import not_stored
@@ -17,10 +18,14 @@ BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 _ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND", "DELTA_PATH_DOES_NOT_EXIST")
 
 
-def read_if_exists(spark: SparkSession, table_format: str, path: str) -> DataFrame | None:
+def read_if_exists(spark: SparkSession, table_format: str, path: str, schema: StructType | None = None,
+                   **options: str) -> DataFrame | None:
     """The table at ``path``, or None when nothing was ever written there."""
+    reader = spark.read.format(table_format).options(**options)
+    if schema is not None:
+        reader = reader.schema(schema)
     try:
-        return spark.read.format(table_format).load(path)
+        return reader.load(path)
     except AnalysisException as problem:
         if str(problem.getCondition() or "").split(".")[0] in _ABSENT:
             return None
@@ -68,10 +73,10 @@ class Lake:
         partition columns and prune the file listing.
         """
         root = self.config.layer(BRONZE)
-        if read_if_exists(self.spark, self.config.table_format, f"{root}/topic={name}") is None:
+        rows = read_if_exists(self.spark, self.config.table_format, f"{root}/topic={name}", BRONZE_SCHEMA,
+                              basePath=root)
+        if rows is None:
             return None
-        reader = self.spark.read.format(self.config.table_format).schema(BRONZE_SCHEMA)
-        rows = reader.option("basePath", root).load(f"{root}/topic={name}")
         return rows if after_batch is None else rows.filter(F.col("batch_id") > after_batch)
 
     def append(self, rows: DataFrame, layer: str, name: str) -> None:
