@@ -13,6 +13,9 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM does not compile methods beyond 8000 bytes; splitting such a
+    # generated stage into operators is faster than interpreting it.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Recording a call site per Column doubles the time to build wide plans.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
