@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulselake.llm import language, substrings
+from pulselake.llm import fingerprints, language, licenses, mixing, simhash_trees, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +27,42 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document, links at 2 or fewer bits."""
+    found = simhash_trees.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash_trees.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def quality_weighted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Add ``quality_weight``: 2 for good labelled documents, 0.5 for bad ones, else 1."""
+    labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    labels = labels.select(F.col("doc_id").alias("labelled"), F.when(F.col("quality") == 1, 2.0).otherwise(0.5).alias("quality_weight"))
+    joined = docs.join(labels, docs["doc_id"] == labels["labelled"], "left").drop("labelled")
+    return joined.withColumn("quality_weight", F.coalesce("quality_weight", F.lit(1.0)))
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of 150 % of all words takes of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mixing.mix(quality_weighted(spark, docs, sf_dir), weight=F.col("quality_weight"))
+    return mixed.select("doc_id", "size", "source", "source_size", "target", "copies", "taken")
+
+
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and how alike they are."""
+    return fingerprints.edited_pairs(_table(spark, sf_dir, "documents"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences in every document: as its entire text and as entire lines."""
+    return licenses.scan(_table(spark, sf_dir, "documents")).drop("matches")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_simhash_dedup": op3_simhash_dedup,
+    "op5_source_mixing": op5_source_mixing,
+    "op9_document_fingerprints": op9_document_fingerprints,
+    "op10_license_scan": op10_license_scan,
 }
