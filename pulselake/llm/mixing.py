@@ -29,13 +29,11 @@ WEIGHTS = (5.0, 2.0, 1.0)
 _RANGE_ROWS = 20_000
 
 
-def sampling_key(ident: Column, text: Column, weight: Column, seed: int) -> Column:
-    """Exponential key of rate ``weight``; smaller keys come first."""
+def exponential(ident: Column, text: Column, seed: int) -> Column:
+    """Exponential draw of rate 1, fixed by seed and id (by the text where there is no id)."""
     name = F.concat(F.lit(f"{seed}:"), F.coalesce(ident.cast("string"), F.md5(F.coalesce(text, F.lit("")))))
     digits = F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("double")
-    uniform = (digits + 0.5) / float(16**13)
-    valid = weight.isNotNull() & (weight > 0) & (weight < float("inf"))
-    return -F.ln(uniform) / F.when(valid, weight).otherwise(1.0)
+    return -F.ln((digits + 0.5) / float(16**13))
 
 
 def targets(sizes: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
@@ -69,7 +67,7 @@ def mix(
     id_column: str = "doc_id",
     text_column: str = "text",
     source_column: str = "source",
-    weight: Column | None = None,
+    quality: DataFrame | None = None,
     share: float = 1.5,
     most: float = 2.0,
     weights: tuple[float, ...] = WEIGHTS,
@@ -77,13 +75,18 @@ def mix(
 ) -> DataFrame:
     """Per row: doc_id, source, size, source_size, target, copies, taken.
 
-    ``weight`` is a column of ``docs``; without it all documents weigh the same.
+    ``quality`` has one row ``(id, weight)`` per id that does not weigh 1. It
+    meets sizes and draws only, so texts are never shuffled.
     """
     text, ident = F.col(text_column), F.col(id_column)
-    key = sampling_key(ident, text, F.lit(1.0) if weight is None else weight, seed)
-    sized = settle(docs.select(
-        ident.alias("doc_id"), F.col(source_column).alias("source"), word_count(text).alias("size"), key.alias("key")
-    ))
+    sized = docs.select(
+        ident.alias("doc_id"), F.col(source_column).alias("source"), word_count(text).alias("size"), exponential(ident, text, seed).alias("key")
+    )
+    if quality is not None:
+        rated = quality.toDF("rated_id", "weight").where("weight > 0 AND weight < double('inf')")
+        sized = sized.join(rated, F.col("doc_id") == F.col("rated_id"), "left")
+        sized = sized.withColumn("key", F.col("key") / F.coalesce("weight", F.lit(1.0))).drop("rated_id", "weight")
+    sized = settle(sized)
     count = sized.count()
     ranges = max(int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions")), count // _RANGE_ROWS)
     sized = sized.withColumn("range", F.floor((1 - F.exp(-F.col("key"))) * ranges))

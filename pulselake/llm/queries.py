@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulselake.llm import fingerprints, language, licenses, mixing, simhash_trees, substrings
+from pulselake.llm import fingerprints, language, licenses, mixing, simhash_trees, substrings, token_files
+from pulselake.sources.workspace import fresh_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,21 +34,29 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash_trees.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def quality_weighted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Add ``quality_weight``: 2 for good labelled documents, 0.5 for bad ones, else 1."""
-    labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    labels = labels.select(F.col("doc_id").alias("labelled"), F.when(F.col("quality") == 1, 2.0).otherwise(0.5).alias("quality_weight"))
-    joined = docs.join(labels, docs["doc_id"] == labels["labelled"], "left").drop("labelled")
-    return joined.withColumn("quality_weight", F.coalesce("quality_weight", F.lit(1.0)))
+def quality_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, weight)`` of labelled documents: 2 for good ones, 0.5 for bad ones."""
+    labels = _table(spark, sf_dir, "labels").where("quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    return labels.select("doc_id", F.when(F.col("quality") > 0, 2.0).otherwise(0.5).alias("weight"))
 
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of 150 % of all words takes of every document."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    mixed = mixing.mix(quality_weighted(spark, docs, sf_dir), weight=F.col("quality_weight"))
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), quality=quality_weights(spark, sf_dir))
     return mixed.select("doc_id", "size", "source", "source_size", "target", "copies", "taken")
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    """Encode all documents, write the ids to the shared folder and read them back."""
+    if tokenizer_path is None:
+        import public_tokenizers
+
+        tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
+    folder = fresh_folder(spark, "tokens")
+    token_files.write_tokens(_table(spark, sf_dir, "documents"), folder, tokenizer_path, end=2)
+    return token_files.digests(spark, folder)
+
+
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text, and how alike they are."""
     return fingerprints.edited_pairs(_table(spark, sf_dir, "documents"))
@@ -63,6 +72,7 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op5_source_mixing": op5_source_mixing,
+    "op8_token_files": op8_token_files,
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_license_scan": op10_license_scan,
 }
