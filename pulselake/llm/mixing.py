@@ -73,14 +73,15 @@ def mix(
     weights: tuple[float, ...] = WEIGHTS,
     seed: int = 7,
 ) -> DataFrame:
-    """Per row: doc_id, source, size, source_size, target, copies, taken.
+    """Per row: doc_id, tie (a hash of the text), source, size, source_size, target, copies, taken.
 
     ``quality`` has one row ``(id, weight)`` per id that does not weigh 1. It
     meets sizes and draws only, so texts are never shuffled.
     """
     text, ident = F.col(text_column), F.col(id_column)
     sized = docs.select(
-        ident.alias("doc_id"), F.col(source_column).alias("source"), word_count(text).alias("size"), exponential(ident, text, seed).alias("key")
+        ident.alias("doc_id"), F.xxhash64(text).alias("tie"), F.col(source_column).alias("source"), word_count(text).alias("size"),
+        exponential(ident, text, seed).alias("key"),
     )
     if quality is not None:
         rated = quality.toDF("rated_id", "weight").where("weight > 0 AND weight < double('inf')")
@@ -100,7 +101,7 @@ def mix(
         F.col("o.source").alias("of_source"), F.col("range").alias("of_range"), "offset", "source_size", "target"
     )
     placed = sized.join(offsets, F.col("source").eqNullSafe(F.col("of_source")) & (F.col("range") == F.col("of_range")))
-    inside = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "range").orderBy("key", "doc_id", "tie", "size").rowsBetween(Window.unboundedPreceding, -1)
     ahead = F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     rest = F.col("target") - F.col("epochs") * F.col("source_size")
@@ -108,5 +109,20 @@ def mix(
     return (
         placed.withColumn("ahead", ahead).withColumn("epochs", epochs).withColumn("rest", rest)
         .withColumn("copies", (F.col("epochs") + more.cast("int")).cast("int"))
-        .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        .select("doc_id", "tie", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
     )
+
+
+def sampled(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as ``mix`` takes it."""
+    same = Window.partitionBy("k1", "k2")
+    ident = F.col(id_column)
+    chosen = mix(docs, id_column, text_column, **options).where("copies > 0").select(
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("k1"), F.col("tie").alias("k2"), "copies"
+    )
+    chosen = chosen.withColumn("m", F.row_number().over(same.orderBy(F.desc("copies"))))
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(ident.cast("bigint"), F.lit(0)).alias("k1"), F.xxhash64(text_column).alias("k2"))
+    rows = rows.withColumn("n", F.row_number().over(same.orderBy("k1")))
+    # Repeated rows pair off by number; as a range, so that placement by the keys serves windows and join.
+    taken = rows.join(chosen, ["k1", "k2"]).where("n <= m AND n >= m")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulselake.llm import fingerprints, language, licenses, mixing, simhash_trees, substrings, token_files
+from pulselake.llm import (
+    edit_counts,
+    fingerprints,
+    language,
+    licenses,
+    mixing,
+    packing,
+    simhash_trees,
+    substrings,
+    token_files,
+    vector_blocks,
+)
 from pulselake.sources.workspace import fresh_folder
 
 
@@ -34,6 +45,11 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash_trees.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of links and component of every vector, links at cosine 0.95 or more."""
+    return vector_blocks.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def quality_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, weight)`` of labelled documents: 2 for good ones, 0.5 for bad ones."""
     labels = _table(spark, sf_dir, "labels").where("quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
@@ -46,14 +62,37 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source", "source_size", "target", "copies", "taken")
 
 
-def op8_token_files(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
-    """Encode all documents, write the ids to the shared folder and read them back."""
-    if tokenizer_path is None:
-        import public_tokenizers
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, in pieces, in sequences of the permitted lengths."""
+    return packing.best_fit(_table(spark, sf_dir, "documents"))
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public vocabulary file; callers can give any other path instead."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
-        tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
+def sample_edits() -> Column:
+    """Three edits for a document: an overwrite, an insertion and an appended phrase."""
+    size = F.coalesce(F.char_length("text"), F.lit(0)).cast("bigint")
+    start = F.coalesce(F.substring("text", 1, 24), F.lit(""))
+    name = F.concat(F.lit(" "), F.coalesce("source", F.lit("")), F.lit(" "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    edits = [(F.floor(size / 4), 24, start), (F.floor(size / 2), 0, name), (size * 2, 0, F.lit(", the end."))]
+    return F.array(*(F.struct(s.alias("start"), F.lit(n).cast("bigint").alias("length"), t.alias("insert")) for s, n, t in edits))
+
+
+def op7_edit_token_counts(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) -> DataFrame:
+    """Tokens of every document before and after three edits."""
+    docs = _table(spark, sf_dir, "documents")
+    return edit_counts.count_edits(docs, sample_edits(), ranks_path or tokenizer_path("byte_bpe_50k.tiktoken"))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """Encode all documents, write the ids to the shared folder and read them back."""
     folder = fresh_folder(spark, "tokens")
-    token_files.write_tokens(_table(spark, sf_dir, "documents"), folder, tokenizer_path, end=2)
+    token_files.write_tokens(_table(spark, sf_dir, "documents"), folder, path or tokenizer_path("word_bpe_49k.json"), end=2)
     return token_files.digests(spark, folder)
 
 
@@ -71,7 +110,10 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_vector_dedup": op4_vector_dedup,
     "op5_source_mixing": op5_source_mixing,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_edit_token_counts": op7_edit_token_counts,
     "op8_token_files": op8_token_files,
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_license_scan": op10_license_scan,

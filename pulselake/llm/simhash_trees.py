@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulselake.llm.components import components
@@ -209,14 +209,36 @@ def near_links(distinct: DataFrame, radius: int = 2) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", radius: int = 2, width: int = 3
 ) -> DataFrame:
-    """``(doc_id, fp, root, component_id)`` per row.
+    """``(doc_id, tie, fp, root, component_id)`` per row.
 
     ``root`` names the component by its least fingerprint (signed), whether its
-    rows have ids or not; ``component_id`` is the smallest id in it.
+    rows have ids or not; ``component_id`` is the smallest id in it; ``tie`` is
+    a hash of the text where there is no id.
     """
-    prints = settle(docs.select(F.col(id_column).cast("bigint").alias("doc_id"), fingerprint(F.col(text_column), width).alias("fp")))
+    ident, text = F.col(id_column).cast("bigint"), F.col(text_column)
+    prints = settle(docs.select(
+        ident.alias("doc_id"), F.when(ident.isNull(), F.xxhash64(text)).alias("tie"), fingerprint(text, width).alias("fp")
+    ))
     classes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     found = components(near_links(classes.select("fp"), radius))
     rooted = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.join(rooted.select("fp", "root").join(least, "root"), "fp")
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", radius: int = 2, width: int = 3) -> DataFrame:
+    """The rows of ``docs``, all columns, that stand for their component.
+
+    That is the row with the component's id; of rows without ids, if there is
+    nothing else, the one whose text has the least hash. Of repeated rows one
+    stays, by a hash of its text.
+    """
+    found = near_duplicates(docs, id_column, text_column, radius, width)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
+        F.coalesce(F.min("doc_id"), F.min("tie")).alias("kept_key"), F.min("doc_id").isNull().alias("kept_nameless")
+    ).drop("root")
+    ident, text = F.col(id_column).cast("bigint"), F.col(text_column)
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(ident, F.xxhash64(text)).alias("key"), ident.isNull().alias("nameless"), F.xxhash64(text).alias("order"))
+    rows = rows.join(kept, (F.col("key") == F.col("kept_key")) & (F.col("nameless") == F.col("kept_nameless")), "left_semi")
+    first = Window.partitionBy("key", "nameless").orderBy("order")
+    return rows.withColumn("place", F.row_number().over(first)).where("place = 1").select("row.*")
