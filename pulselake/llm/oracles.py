@@ -1,5 +1,85 @@
-"""SQL of the operators that SQL can express."""
+"""SQL of the operators that SQL can express, over the same whole tables."""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from pulselake.llm.licenses import COPYRIGHT_LINE, PUNCTUATION, SPELLINGS, known_texts
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _spelled(column: str) -> str:
+    for variant, chosen in SPELLINGS.items():
+        column = rf"regexp_replace({column}, '\b{variant}\b', '{chosen}', 'g')"
+    return column
+
+
+def _lines(column: str) -> str:
+    plain = f"regexp_replace(lower(replace({column}, '©', '(c) ')), '{PUNCTUATION}', ' ', 'g')"
+    return f"regexp_replace({plain}, '{COPYRIGHT_LINE}', '', 'g')"
+
+
+def _flat(column: str) -> str:
+    return _spelled(rf"trim(regexp_replace({column}, '[ \n]+', ' ', 'g'), ' ')")
+
+
+_MIXING = rf"""
+WITH rated AS (
+  SELECT doc_id, max(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
+), sized AS (
+  SELECT d.doc_id, d.source, coalesce(len(regexp_extract_all(d.text, '{_WORD}')), 0) AS size,
+         -ln((('0x' || substr(md5('7:' || d.doc_id::VARCHAR), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
+           / coalesce(CASE WHEN r.quality > 0 THEN 2.0 WHEN r.quality IS NOT NULL THEN 0.5 END, 1.0) AS key
+  FROM documents d LEFT JOIN rated r ON d.doc_id = r.doc_id
+), sources AS (
+  SELECT source, sum(size) AS source_size,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS weight
+  FROM sized GROUP BY source
+), levels AS (
+  SELECT *, 2.0::DOUBLE * source_size / weight AS full_at,
+         (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(2.0::DOUBLE * source_size) OVER before, 0))
+           / sum(weight) OVER (ORDER BY 2.0::DOUBLE * source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM sources
+  WINDOW before AS (ORDER BY 2.0::DOUBLE * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), aims AS (
+  SELECT source, source_size, least(2.0::DOUBLE * source_size, weight * (SELECT arg_min(level, full_at) FROM levels WHERE level <= full_at)) AS target
+  FROM levels
+), placed AS (
+  SELECT s.*, a.source_size, a.target,
+         CASE WHEN a.source_size > 0 THEN floor(a.target / a.source_size) ELSE 0 END AS epochs,
+         coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY key, s.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+  FROM sized s JOIN aims a ON s.source IS NOT DISTINCT FROM a.source
+), counted AS (
+  SELECT *, (epochs + CASE WHEN size > 0 AND ahead + size / 2 <= target - epochs * source_size THEN 1 ELSE 0 END)::INTEGER AS copies FROM placed
+)
+SELECT doc_id, size::BIGINT AS size, source, source_size::BIGINT AS source_size, target, copies, (copies * size)::BIGINT AS taken FROM counted
+"""
+
+_KNOWN = ", ".join(f"({_literal(name)}, {_literal(text)})" for name, text in known_texts())
+_LICENSES = rf"""
+WITH known AS (
+  SELECT md5({_flat(_lines("t"))}) AS digest, min(name) AS license FROM (VALUES {_KNOWN}) v(name, t) GROUP BY 1
+), units AS (
+  SELECT doc_id, {_lines("text")} AS body FROM documents WHERE text <> ''
+), parts AS (
+  SELECT doc_id, -1 AS line, body AS unit FROM units
+  UNION ALL
+  SELECT doc_id, i - 1 AS line, string_split(body, chr(10))[i] AS unit
+  FROM units, range(1, len(string_split(body, chr(10))) + 1) r(i) WHERE len(string_split(body, chr(10))) > 1
+), found AS (
+  SELECT p.doc_id, p.line, k.license FROM (SELECT doc_id, line, {_flat("unit")} AS unit FROM parts) p
+  JOIN known k ON k.digest = md5(p.unit) WHERE p.unit <> ''
+), grouped AS (
+  SELECT doc_id, max(license) FILTER (line < 0) AS whole_license, count(*) FILTER (line >= 0) AS n_license_lines,
+         array_to_string(list_sort(list(DISTINCT license)), ',') AS licenses
+  FROM found GROUP BY doc_id
+)
+SELECT d.doc_id, CASE WHEN coalesce(d.text, '') = '' THEN 0 ELSE length(d.text) - length(replace(d.text, chr(10), '')) + 1 END::BIGINT AS n_lines,
+       g.whole_license, coalesce(g.n_license_lines, 0)::BIGINT AS n_license_lines, coalesce(g.licenses, '') AS licenses
+FROM documents d LEFT JOIN grouped g ON d.doc_id = g.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op5_source_mixing": _MIXING, "op10_license_scan": _LICENSES}

@@ -79,7 +79,8 @@ def sample_edits() -> Column:
     size = F.coalesce(F.char_length("text"), F.lit(0)).cast("bigint")
     start = F.coalesce(F.substring("text", 1, 24), F.lit(""))
     name = F.concat(F.lit(" "), F.coalesce("source", F.lit("")), F.lit(" "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    edits = [(F.floor(size / 4), 24, start), (F.floor(size / 2), 0, name), (size * 2, 0, F.lit(", the end."))]
+    end = F.lit(1 << 60)  # beyond any text
+    edits = [(F.floor(size / 4), 24, start), (F.floor(size / 2), 0, name), (end, 0, F.lit(", the end."))]
     return F.array(*(F.struct(s.alias("start"), F.lit(n).cast("bigint").alias("length"), t.alias("insert")) for s, n, t in edits))
 
 
