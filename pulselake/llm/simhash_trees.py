@@ -191,7 +191,7 @@ def near_links(distinct: DataFrame, radius: int = 2) -> DataFrame:
     sizes = placed.groupBy("block", "value").count().where("count > 1")
     placed = placed.join(sizes, ["block", "value"])
     parts = F.ceil(F.col("count") / F.lit(_CROWD)).cast("int")
-    placed = placed.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("fp"), "parts"))
+    placed = placed.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("fp"), "parts").cast("int"))
     value = [F.col("block"), F.col("value")]
 
     def row(member: bool, query: bool, tree: Column, shard: Column) -> list[Column]:
