@@ -28,14 +28,12 @@ class LakeConfig:
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> "LakeConfig":
+        # PULSELAKE_JDBC_USER, _PASSWORD, _DRIVER, _STRINGTYPE: any property of the driver.
+        prefix = "PULSELAKE_JDBC_"
         properties = {
-            key: env[name]
-            for key, name in (
-                ("user", "PULSELAKE_JDBC_USER"),
-                ("password", "PULSELAKE_JDBC_PASSWORD"),
-                ("driver", "PULSELAKE_JDBC_DRIVER"),
-            )
-            if name in env
+            name.removeprefix(prefix).lower(): value
+            for name, value in env.items()
+            if name.startswith(prefix) and name != f"{prefix}URL"
         }
         return cls(
             root=env["PULSELAKE_ROOT"],

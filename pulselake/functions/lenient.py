@@ -32,17 +32,10 @@ def number_or_null(value: Column) -> Column:
     return finite(decimal_text(value))
 
 
-def hold(value: Column, low: float, high: float) -> Column:
-    """The value, moved into ``[low, high]``; NULL stays NULL."""
-    return F.when(value < F.lit(low), F.lit(low)).when(value > F.lit(high), F.lit(high)).otherwise(value)
-
-
 def clock_hour(hour: Column) -> Column:
-    """Hour number as int, truncated; 0 when missing.
-
-    Far-out hours are held at a value that stays invalid as a clock hour.
-    """
-    return F.coalesce(hold(hour, -9.0, 99.0).cast("int"), F.lit(0))
+    """Hour number, truncated; 0 when missing, the largest number when beyond it."""
+    beyond = F.when(hour.isNotNull(), F.lit(2**63 - 1))
+    return F.coalesce(hour.try_cast("bigint"), beyond, F.lit(0))
 
 
 def clock_text(date: Column, hour: Column) -> Column:
@@ -65,8 +58,3 @@ def narrow_to_int(value: Column) -> Column:
         F.when(F.isnan(value), F.lit(0)).when(value > 0, F.lit(INT_MAX)).when(value < 0, F.lit(INT_MIN))
     )
     return F.coalesce(value.try_cast("int"), outside)
-
-
-def clamp_round(value: Column, low: float, high: float, digits: int = 3) -> Column:
-    """Hold a value inside ``[low, high]`` and round it."""
-    return F.round(hold(value, low, high), digits)

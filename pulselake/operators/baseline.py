@@ -11,20 +11,11 @@ from pulselake.functions.lenient import number_or_null
 from pulselake.operators.ingest import identified
 from pulselake.operators.unique import first_per_key
 
-# Plausible ranges; their midpoints replace unreadable readings.
-FALLBACK_RANGES = {"bpm": (60.0, 100.0), "rmssd": (20.0, 80.0), "breathing": (12.0, 20.0)}
-
-
-def _or_midpoint(value: Column, name: str) -> Column:
-    low, high = FALLBACK_RANGES[name]
-    return F.coalesce(value, F.lit((low + high) / 2))
-
-
 def baseline_pool(hourly: DataFrame, daily: DataFrame, newest_first: Sequence[Column]) -> DataFrame:
     """One entry per hourly row, with the daily values of its user and date.
 
     ``newest_first`` orders the daily rows of one user and date; the first is
-    used. The lookup side has one row per key, so a crowded key on the hourly
+    used. Readings that are missing or unreadable stay NULL. The lookup side has one row per key, so a crowded key on the hourly
     side can be split freely by the join.
     """
     lookup = first_per_key(identified(daily, "id", "date"), ["id", "date"], newest_first).select(
@@ -38,7 +29,7 @@ def baseline_pool(hourly: DataFrame, daily: DataFrame, newest_first: Sequence[Co
         F.col("id").alias("user_id"),
         F.col("date").alias("event_date"),
         F.coalesce(F.col("hour"), F.lit("0")).alias("event_hour"),
-        _or_midpoint(number_or_null(F.col("bpm")), "bpm").alias("base_bpm"),
-        _or_midpoint(F.col("_rmssd"), "rmssd").alias("base_rmssd"),
-        _or_midpoint(F.col("_breathing"), "breathing").alias("base_breathing"),
+        number_or_null(F.col("bpm")).alias("base_bpm"),
+        F.col("_rmssd").alias("base_rmssd"),
+        F.col("_breathing").alias("base_breathing"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulselake.functions.lenient import narrow_to_int
-from pulselake.specs import PROMOTED, TOPIC_PREFIX, TOPICS
+from pulselake.specs import PROMOTED, TOPICS
 
 
 def decode(transport: DataFrame) -> DataFrame:
@@ -31,8 +31,9 @@ def promote(decoded: DataFrame) -> DataFrame:
 
 def route(promoted: DataFrame) -> DataFrame:
     """Keep known topics and replace the topic by its table name."""
+    names = F.create_map(*[F.lit(text) for spec in TOPICS.values() for text in (spec.topic, spec.name)])
     known = promoted.filter(F.col("topic").isin([spec.topic for spec in TOPICS.values()]))
-    return known.withColumn("topic", F.substring("topic", len(TOPIC_PREFIX) + 1, 64))
+    return known.withColumn("topic", F.try_element_at(names, F.col("topic")))
 
 
 def to_bronze(transport: DataFrame) -> DataFrame:

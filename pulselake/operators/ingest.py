@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulselake.functions.lenient import (
-    clamp_round,
     clock_hour,
     clock_text,
     decimal_text,
@@ -33,13 +32,6 @@ HOURLY_SOURCE = "fitbit_csv"
 DAILY_SOURCE = "fitbit_daily_csv"
 INTRADAY_SOURCE = "synthetic_intraday"
 
-# Range each synthetic reading is held to.
-INTRADAY_RANGES = {
-    HEART_RATE_INTRADAY.name: (30.0, 220.0),
-    HRV_INTRADAY.name: (0.0, 200.0),
-    BREATHING_INTRADAY.name: (5.0, 40.0),
-}
-
 
 def _cell(present: Collection[str], name: str) -> Column:
     """An export cell; a column the export lacks reads as missing."""
@@ -165,7 +157,8 @@ def intraday_events(readings: DataFrame, *, bpm: Column, rmssd: Column, breaths:
 
     ``readings`` needs ``user_id``, ``event_date`` and ``event_hour``. The event
     timestamp is the emission time to the second, ``source_timestamp`` keeps
-    its milliseconds.
+    its milliseconds. Readings are sent as measured, to three decimals; judging
+    them is left to Silver.
     """
     ingest_time = F.current_timestamp() if ingest_time is None else ingest_time
     envelope = [
@@ -179,7 +172,7 @@ def intraday_events(readings: DataFrame, *, bpm: Column, rmssd: Column, breaths:
     ]
     specs = (HEART_RATE_INTRADAY, HRV_INTRADAY, BREATHING_INTRADAY)
     payloads = {
-        spec.name: F.struct(clamp_round(value, *INTRADAY_RANGES[spec.name]).alias(spec.metrics[0].key))
+        spec.name: F.struct(F.round(finite(value), 3).alias(spec.metrics[0].key))
         for spec, value in zip(specs, (bpm, rmssd, breaths))
     }
     return _documents(readings, specs, envelope, F.col("user_id"), payloads, ingest_time)

@@ -11,7 +11,7 @@ from pulselake.functions.lenient import narrow_to_int
 from pulselake.functions.wellness import accepts
 from pulselake.operators.envelope import type_envelope
 from pulselake.operators.unique import first_per_key
-from pulselake.specs import ENVELOPE, Metric, TopicSpec
+from pulselake.specs import ENVELOPE, PROMOTED, Metric, TopicSpec
 
 
 def _metric(metric: Metric) -> Column:
@@ -30,6 +30,19 @@ def _carried(spec: TopicSpec) -> list[str]:
     return ["trace_id"] if spec.intraday else []
 
 
+def with_trace(bronze: DataFrame) -> DataFrame:
+    """Give readings without a trace id one that their stored delivery determines.
+
+    It is a digest of everything Bronze holds of the delivery, its arrival time
+    included, so refining a delivery again changes nothing and two deliveries
+    stay two readings.
+    """
+    stored = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("user_id", "kafka_ingest_time", *PROMOTED) if c != "trace_id"]
+    return bronze.withColumn(
+        "trace_id", F.coalesce("trace_id", F.concat(F.lit("untraced-"), F.md5(F.concat_ws("\x1f", *stored))))
+    )
+
+
 def parse_payload(bronze: DataFrame, spec: TopicSpec) -> DataFrame:
     """Typed envelope plus one column per metric.
 
@@ -37,7 +50,7 @@ def parse_payload(bronze: DataFrame, spec: TopicSpec) -> DataFrame:
     column: filters on the metrics then stay above it and each payload is
     parsed exactly once.
     """
-    typed = type_envelope(bronze)
+    typed = type_envelope(with_trace(bronze) if spec.intraday else bronze)
     wire = [f"_wire_{m.key}" for m in spec.metrics]
     parsed = F.inline_outer(F.array(F.from_json("payload", spec.payload_schema))).alias(*wire)
     unfolded = typed.select(*ENVELOPE, *_carried(spec), parsed)
@@ -60,17 +73,10 @@ def validate(parsed: DataFrame, spec: TopicSpec) -> DataFrame:
 
 
 def deduplicate(valid: DataFrame, spec: TopicSpec) -> DataFrame:
-    """One row per key: the earliest delivery, metrics as tie-break.
-
-    Key parts may be NULL only for intraday rows without a trace id. Those
-    cannot be told apart from genuine readings, so all of them stay.
-    """
+    """One row per key: the earliest delivery, metrics as tie-break."""
     order = [F.col("kafka_ingest_time").asc_nulls_last(), "event_timestamp", "event_type",
              *[F.col(c) for c in spec.columns]]
-    if not spec.intraday:
-        return first_per_key(valid, spec.keys, order)
-    traced = first_per_key(valid.filter(F.col("trace_id").isNotNull()), spec.keys, order)
-    return traced.unionByName(valid.filter(F.col("trace_id").isNull()))
+    return first_per_key(valid, spec.keys, order)
 
 
 def refine(bronze: DataFrame, spec: TopicSpec, *, unique: bool = True, audit: bool = True) -> DataFrame:
@@ -85,5 +91,5 @@ def refine(bronze: DataFrame, spec: TopicSpec, *, unique: bool = True, audit: bo
 
 
 def not_stored(batch: DataFrame, stored: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Batch rows whose key is not stored yet; NULL keys never match."""
+    """Batch rows whose key is not stored yet."""
     return batch.join(stored.select(*keys), on=list(keys), how="left_anti")

@@ -47,8 +47,15 @@ def fit_and_label(features: DataFrame, rank: int = 8) -> tuple[WindowModel, Data
     return model, label_errors(scored, error_stats(scored))
 
 
+class NoInsightInput(RuntimeError):
+    """A Silver table that the features need does not exist."""
+
+
 def stored_features(lake: Lake) -> DataFrame:
-    return feature_matrix(*[lake.require(SILVER, name) for name in ("vitals_daily", "sleep", "activity")])
+    tables = {name: lake.read(SILVER, name) for name in ("vitals_daily", "sleep", "activity")}
+    if absent := [name for name, table in tables.items() if table is None]:
+        raise NoInsightInput(f"no Silver table {', '.join(absent)}")
+    return feature_matrix(*tables.values())
 
 
 def run_insights(lake: Lake, *, rank: int = 8, run_id: str | None = None) -> dict[str, float | str]:
@@ -61,6 +68,12 @@ def run_insights(lake: Lake, *, rank: int = 8, run_id: str | None = None) -> dic
     return {"run_id": run_id, "model_version": version, **rates}
 
 
+def score_lake(lake: Lake, version: str | None = None) -> DataFrame:
+    """Score the windows of the lake's present features with a stored model and its own scaler."""
+    model = WindowModel.load(lake.config.layer("models"), lake.spark, version)
+    return model.score(sliding_windows(model.scaler.transform(fill_gaps(stored_features(lake)))))
+
+
 def score_stored(lake: Lake, windows: DataFrame, version: str | None = None) -> DataFrame:
     """Score standardised windows with a stored model, the latest by default."""
     return WindowModel.load(lake.config.layer("models"), lake.spark, version).score(windows)

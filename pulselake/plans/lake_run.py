@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from pulselake.operators.anomaly import TooFewWindows
 from pulselake.plans.gold import BUILDERS, run_gold
-from pulselake.plans.insights import run_insights
+from pulselake.plans.insights import NoInsightInput, run_insights
 from pulselake.plans.silver import run_silver
 from pulselake.sources.jdbc import Writer, publish_all
 from pulselake.sources.lake import BRONZE, GOLD, SILVER, Lake
@@ -41,9 +41,10 @@ def run_lake(lake: Lake, *, writer: Writer | None = None, with_insights: bool =
              since: dt.date | None = None, **silver_options) -> dict[str, object]:
     """All stages in order, each behind a check of the layer it reads.
 
-    Insights run before publishing, so that the published table is this run's.
-    Too little data for a model leaves the other stages untouched. ``since``
-    limits the Gold rebuild to later dates.
+    Insights run before publishing, and only tables that this run wrote are
+    published: without a model the report says why under ``insights_skipped``
+    and an earlier run's ``ai_insights`` stays unpublished. ``since`` limits the
+    Gold rebuild to later dates.
     """
     report: dict[str, object] = {}
     require_layer(lake, BRONZE)
@@ -52,10 +53,11 @@ def run_lake(lake: Lake, *, writer: Writer | None = None, with_insights: bool =
     if with_insights:
         try:
             report["insights"] = run_insights(lake)
-        except (TooFewWindows, FileNotFoundError) as reason:
-            report["insights"] = str(reason)
+        except (TooFewWindows, NoInsightInput) as reason:
+            report["insights_skipped"] = str(reason)
     report["gold"] = run_gold(lake, since=since)
+    written = [*report["gold"], *(["ai_insights"] if "insights" in report else [])]
     require_layer(lake, GOLD)
     if writer is not None or lake.config.jdbc_url is not None:
-        report["published"] = publish_all(lake, writer)
+        report["published"] = publish_all(lake, writer, written)
     return report

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import logging
+from functools import reduce
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pulselake.operators.refine import refine
@@ -19,22 +21,23 @@ def refine_topic(lake: Lake, spec: TopicSpec, *, after_batch: int | None = None,
 
     By default all of Bronze is read, as every key already stored is skipped
     anyway. ``after_batch`` limits the read to newer batches; ``new_only``
-    takes that limit from the last recorded run, so that a daily run reads a
+    takes that limit, for every stream, from the last recorded run, so that a daily run reads a
     day and not the whole history. ``append_only_intraday`` appends intraday
     deliveries without looking at stored rows.
     """
-    newest = lake.newest_batch(spec.name) if new_only else None
-    if new_only:
-        after_batch = lake.refined_batch(spec.name)
-        if newest is not None and newest == after_batch:
-            return True
     bronze = lake.read_bronze(spec.name, after_batch)
     if bronze is None:
         log.info("%s: no Bronze table, skipped", spec.name)
         return False
-    if newest is not None:
+    pending = {}
+    if new_only:
+        done = lake.refined_batches(spec.name)
+        pending = {s: n for s, n in lake.newest_batches(spec.name).items() if n > done.get(s, -1)}
+        if not pending:
+            return True
         # Batches that land during the run belong to the next one.
-        bronze = bronze.filter(F.col("batch_id") <= newest)
+        span = [(F.col("stream_id") == s) & F.col("batch_id").between(done.get(s, -1) + 1, n) for s, n in pending.items()]
+        bronze = bronze.filter(reduce(Column.__or__, span))
     if spec.intraday and append_only_intraday:
         lake.append(refine(bronze, spec, unique=False), SILVER, spec.name)
     else:
@@ -42,8 +45,8 @@ def refine_topic(lake: Lake, spec: TopicSpec, *, after_batch: int | None = None,
         # dates of this input need comparing. Profiles are keyed by user alone.
         dates = bronze.select("event_date") if "event_timestamp" in spec.keys else None
         lake.insert_only(refine(bronze, spec), SILVER, spec.name, spec.keys, dates)
-    if newest is not None:
-        lake.note_refined(spec.name, newest)
+    if pending:
+        lake.note_refined(spec.name, pending)
     return True
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -65,8 +65,8 @@ def publish(lake: Lake, name: str, write: Writer) -> int | None:
     return rows
 
 
-def publish_all(lake: Lake, write: Writer | None = None) -> dict[str, int]:
-    """Send every published table that exists; row count per table sent."""
+def publish_all(lake: Lake, write: Writer | None = None, names: Collection[str] = PUBLISHED) -> dict[str, int]:
+    """Send every published table that exists and is among ``names``; row count per table sent."""
     write = write or jdbc_writer(lake.config)
-    counts = {name: publish(lake, name, write) for name in PUBLISHED}
+    counts = {name: publish(lake, name, write) for name in PUBLISHED if name in names}
     return {name: n for name, n in counts.items() if n is not None}

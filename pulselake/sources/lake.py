@@ -15,10 +15,11 @@ from pulselake.specs import BRONZE_SCHEMA
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
+_PROGRESS = "name string, stream_id string, batch_id long"
 _ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND", "DELTA_PATH_DOES_NOT_EXIST")
 
 
-def read_if_exists(spark: SparkSession, table_format: str, path: str, schema: StructType | None = None,
+def read_if_exists(spark: SparkSession, table_format: str, path: str, schema: StructType | str | None = None,
                    **options: str) -> DataFrame | None:
     """The table at ``path``, or None when nothing was ever written there."""
     reader = spark.read.format(table_format).options(**options)
@@ -90,21 +91,27 @@ class Lake:
         """Replace the dates that ``rows`` contain and keep all others."""
         self._write(rows, layer, name, "overwrite", partitions="dynamic")
 
-    def newest_batch(self, name: str) -> int | None:
-        """Highest batch in Bronze; reads the partition column only."""
+    def newest_batches(self, name: str) -> dict[str, int]:
+        """Highest batch of each stream in Bronze; reads the partition columns only.
+
+        There is one stream per checkpoint that ever landed rows.
+        """
         bronze = self.read_bronze(name)
-        return None if bronze is None else bronze.agg(F.max("batch_id")).first()[0]
+        if bronze is None:
+            return {}
+        return {r["stream_id"]: r["n"] for r in bronze.groupBy("stream_id").agg(F.max("batch_id").alias("n")).collect()}
 
-    def refined_batch(self, name: str) -> int | None:
-        """Highest Bronze batch recorded as refined."""
-        noted = read_if_exists(self.spark, "parquet", self.config.layer("progress"))
+    def refined_batches(self, name: str) -> dict[str, int]:
+        """Highest batch of each stream recorded as refined."""
+        noted = read_if_exists(self.spark, "parquet", self.config.layer("progress"), _PROGRESS)
         if noted is None:
-            return None
-        return noted.filter(F.col("name") == name).agg(F.max("batch_id")).first()[0]
+            return {}
+        found = noted.filter(F.col("name") == name).groupBy("stream_id").agg(F.max("batch_id").alias("n"))
+        return {r["stream_id"]: r["n"] for r in found.collect()}
 
-    def note_refined(self, name: str, batch_id: int) -> None:
-        row = self.spark.createDataFrame([(name, batch_id)], "name string, batch_id long")
-        row.coalesce(1).write.mode("append").parquet(self.config.layer("progress"))
+    def note_refined(self, name: str, batches: dict[str, int]) -> None:
+        rows = self.spark.createDataFrame([(name, s, n) for s, n in batches.items()], _PROGRESS)
+        rows.coalesce(1).write.mode("append").parquet(self.config.layer("progress"))
 
     def insert_only(self, rows: DataFrame, layer: str, name: str, keys: Iterable[str],
                     dates: DataFrame | None = None) -> None:
@@ -135,15 +142,11 @@ class Lake:
         )
 
 
-def within_dates(stored: DataFrame, dates: DataFrame, most: int = 400) -> DataFrame:
-    """Stored rows on any of ``dates``, as a partition filter.
+def within_dates(stored: DataFrame, dates: DataFrame) -> DataFrame:
+    """Stored rows on any of ``dates``.
 
-    Few dates are listed one by one, many are covered by their range; either
-    way at most ``most + 1`` dates reach the driver.
+    A semi-join on the partition column: dynamic partition pruning then reads
+    the touched dates only, however many they are, and none reach the driver.
     """
-    days = dates.select(F.col("event_date").try_cast("date").alias("d")).filter(F.col("d").isNotNull()).distinct()
-    found = [r["d"] for r in days.limit(most + 1).collect()]
-    if len(found) <= most:
-        return stored.filter(F.col("event_date").isin(found)) if found else stored.filter(F.lit(False))
-    ends = days.agg(F.min("d").alias("low"), F.max("d").alias("high")).first()
-    return stored.filter(F.col("event_date").between(ends["low"], ends["high"]))
+    days = dates.select(F.col("event_date").try_cast("date").alias("event_date")).distinct()
+    return stored.join(days, "event_date", "left_semi")

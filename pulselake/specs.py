@@ -254,6 +254,7 @@ BRONZE_SCHEMA = T.StructType(
         *[T.StructField(name, T.StringType()) for name in PROMOTED if name != "event_date"],
         T.StructField("topic", T.StringType()),
         T.StructField("event_date", T.StringType()),
+        T.StructField("stream_id", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )

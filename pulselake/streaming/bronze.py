@@ -2,17 +2,35 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulselake.config import LakeConfig
 from pulselake.operators.envelope import to_bronze
-from pulselake.sources.lake import BRONZE
+from pulselake.sources.lake import BRONZE, read_if_exists
 from pulselake.sources.topic_log import topic_stream
 
 
-def land_batch(batch: DataFrame, batch_id: int, config: LakeConfig, *, gather: bool = False) -> None:
+def stream_identity(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the stream that ``checkpoint`` belongs to, made on its first start.
+
+    Batch numbers are unique within a checkpoint only. The name is kept inside
+    it, so a lost or renewed checkpoint gets a new one, and its batches, which
+    start at 0 again, never replace those landed before.
+    """
+    path = f"{checkpoint}/stream_id"
+    known = read_if_exists(spark, "parquet", path, "stream_id string")
+    found = None if known is None else known.agg(F.min("stream_id")).first()[0]
+    if found is None:
+        found = uuid.uuid4().hex
+        spark.createDataFrame([(found,)], "stream_id string").coalesce(1).write.mode("append").parquet(path)
+    return found
+
+
+def land_batch(batch: DataFrame, batch_id: int, config: LakeConfig, stream_id: str, *, gather: bool = False) -> None:
     """Write one micro-batch; writing it again replaces its own partitions.
 
     A single write splits the batch by topic and date. It is map-only by
@@ -21,29 +39,31 @@ def land_batch(batch: DataFrame, batch_id: int, config: LakeConfig, *, gather: b
     each; ``gather`` then brings rows of one topic and date together, letting
     adaptive execution split the crowded ones.
     """
-    rows = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    rows = batch.withColumn("stream_id", F.lit(stream_id)).withColumn("batch_id", F.lit(batch_id).cast("long"))
     if gather:
         rows = rows.hint("rebalance", F.col("topic"), F.col("event_date"))
     (
         rows.write.format(config.table_format)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("topic", "event_date", "batch_id")
+        .partitionBy("topic", "event_date", "stream_id", "batch_id")
         .save(config.layer(BRONZE))
     )
 
 
 def start_bronze(spark: SparkSession, config: LakeConfig, *, drain: bool = False) -> StreamingQuery:
     """Start landing. ``drain`` works off the backlog and stops."""
+    checkpoint = f"{config.layer('checkpoints')}/bronze"
+    stream_id = stream_identity(spark, checkpoint)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            land_batch(batch, batch_id, config, gather=drain)
+            land_batch(batch, batch_id, config, stream_id, gather=drain)
 
     writer = (
         to_bronze(topic_stream(spark, config))
         .writeStream.foreachBatch(sink)
-        .option("checkpointLocation", f"{config.layer('checkpoints')}/bronze")
+        .option("checkpointLocation", checkpoint)
     )
     trigger = {"availableNow": True} if drain else {"processingTime": config.trigger}
     return writer.trigger(**trigger).start()

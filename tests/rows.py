@@ -15,7 +15,7 @@ def moment(text):
 def bronze_row(payload, user="u1", date="2021-05-24", hour="7.0", stamp="2021-05-24T07:00:00",
                ingest="2021-05-25T00:00:00", kind="vitals", trace=None, source=None, batch=0):
     text = payload if payload is None or isinstance(payload, str) else json.dumps(payload)
-    return (user, moment(ingest), hour, stamp, source, trace, kind, text, kind, date, batch)
+    return (user, moment(ingest), hour, stamp, source, trace, kind, text, kind, date, "s1", batch)
 
 
 def bronze(spark, *rows):

@@ -113,6 +113,6 @@ def test_baseline_pool(spark):
         "id string, date string, rmssd string, full_sleep_breathing_rate string, at int")
     pool = {(r["user_id"], r["event_hour"]): r for r in baseline_pool(hourly, daily, [F.desc("at")]).collect()}
     assert set(pool) == {("u1", "1"), ("u1", "2"), ("u2", "0")}
-    assert (pool["u1", "1"]["base_bpm"], pool["u1", "1"]["base_rmssd"], pool["u1", "1"]["base_breathing"]) == (70, 31, 16)
-    assert pool["u1", "2"]["base_bpm"] == 80.0
-    assert (pool["u2", "0"]["base_rmssd"], pool["u2", "0"]["base_breathing"]) == (50.0, 16.0)
+    assert (pool["u1", "1"]["base_bpm"], pool["u1", "1"]["base_rmssd"], pool["u1", "1"]["base_breathing"]) == (70, 31, None)
+    assert pool["u1", "2"]["base_bpm"] is None
+    assert (pool["u2", "0"]["base_rmssd"], pool["u2", "0"]["base_breathing"]) == (None, None)

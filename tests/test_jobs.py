@@ -27,14 +27,15 @@ def test_jobs_from_csv_to_gold(spark, folder):
     main(["gold", "--strict-schema"], lake)
     assert "intraday_avg_bpm" not in lake.require(GOLD, "daily_wellness_profile").columns
     report = main(["run", "--append-only-intraday"], lake)
-    assert "windows" in report["insights"]
+    assert "windows" in report["insights_skipped"]
     found = {r["table_name"]: r["n"] for r in main(["presence", "silver"], lake)}
     assert found["vitals"] == 2 and found["profile"] == 1 and found["hrv_intraday"] is None
 
 
 def test_config_from_environment():
-    config = LakeConfig.from_env({"PULSELAKE_ROOT": "/data/", "PULSELAKE_JDBC_URL": "jdbc:x", "PULSELAKE_JDBC_USER": "u"})
+    config = LakeConfig.from_env({"PULSELAKE_ROOT": "/data/", "PULSELAKE_JDBC_URL": "jdbc:x", "PULSELAKE_JDBC_USER": "u",
+                                  "PULSELAKE_JDBC_STRINGTYPE": "unspecified"})
     assert config.table("gold", "t") == "/data/gold/t"
-    assert config.jdbc_properties == {"user": "u"} and config.kafka_servers is None
+    assert config.jdbc_properties == {"user": "u", "stringtype": "unspecified"} and config.kafka_servers is None
     with pytest.raises(KeyError):
         LakeConfig.from_env({})

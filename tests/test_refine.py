@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from pulselake.operators.envelope import to_bronze, type_envelope
 from pulselake.operators.refine import refine
-from pulselake.specs import ENVELOPE, TOPICS
+from pulselake.specs import BRONZE_SCHEMA, ENVELOPE, TOPICS
 from tests.rows import bronze, bronze_row, moment, one, transport
 
 
@@ -119,9 +119,23 @@ def test_payload_is_parsed_once(spark):
     assert plan.count("from_json(") == 1
 
 
+def test_intraday_refines_in_one_scan(spark, folder):
+    bronze(spark, bronze_row({"bpm": 70}, trace="a"), bronze_row({"bpm": 71})).write.parquet(f"{folder}/b")
+    rows = spark.read.schema(BRONZE_SCHEMA).parquet(f"{folder}/b")
+    plan = refine(rows, TOPICS["heart_rate_intraday"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("from_json(") == 1
+
+
+def test_readings_out_of_range_are_rejected(spark):
+    for kind, field, good, bad in (("heart_rate_intraday", "bpm", 220.0, 250.0), ("hrv_intraday", "rmssd", 250.0, 301.0),
+                                   ("breathing_intraday", "breaths_per_minute", 5.0, 3.0)):
+        rows = [bronze_row({field: good}, trace="a", kind=kind), bronze_row({field: bad}, trace="b", kind=kind)]
+        assert [r[field] for r in refined(spark, kind, *rows).collect()] == [good]
+
+
 def test_intraday_trace_identifies_a_reading(spark):
     rows = [bronze_row({"bpm": 70}, trace="a"), bronze_row({"bpm": 70}, trace="a", ingest="2021-05-26T00:00:00"),
-            bronze_row({"bpm": 71}, trace="b"), bronze_row({"bpm": 72}), bronze_row({"bpm": 72})]
+            bronze_row({"bpm": 71}, trace="b"), bronze_row({"bpm": 72}), bronze_row({"bpm": 72}, ingest="2021-05-26T00:00:00")]
     assert refined(spark, "heart_rate_intraday", *rows).count() == 4
     assert refined(spark, "heart_rate_intraday", *rows, unique=False).count() == 5
 

@@ -19,14 +19,8 @@ from pulselake.specs import DAILY_TOPICS, HOURLY_TOPICS, PROFILE, TOPICS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, spread over the cores when its files are too few.
-
-    A table with at least one split per core, the normal case on a cluster,
-    is read as it is, without a shuffle.
-    """
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+    """A driver table, read as it is."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,15 +74,15 @@ PARSED = {
                      "AND coalesce(resting_hr BETWEEN 30 AND 150, true)"),
     "heart_rate_intraday": (f"""
   SELECT {_READ}, 'heart_rate_intraday' AS event_type,
-         CAST(round(greatest(30.0, least(220.0, 30 + 2 * k + v / 10)), 3) AS FLOAT) AS bpm FROM base""",
+         CAST(round(30 + 2 * k + v / 10, 3) AS FLOAT) AS bpm FROM base""",
                             "bpm BETWEEN 30 AND 220"),
     "hrv_intraday": (f"""
   SELECT {_READ}, 'hrv_intraday' AS event_type,
-         CAST(round(greatest(0.0, least(200.0, CAST(k * 3.25 AS DOUBLE))), 3) AS FLOAT) AS rmssd FROM base""",
+         CAST(round(CAST(k * 3.25 AS DOUBLE), 3) AS FLOAT) AS rmssd FROM base""",
                      "rmssd BETWEEN 0 AND 300"),
     "breathing_intraday": (f"""
   SELECT {_READ}, 'breathing_intraday' AS event_type,
-         CAST(round(greatest(5.0, least(40.0, CAST(4 + k * 0.375 AS DOUBLE))), 3) AS FLOAT) AS breaths_per_minute
+         CAST(round(CAST(4 + k * 0.375 AS DOUBLE), 3) AS FLOAT) AS breaths_per_minute
   FROM base""", "breaths_per_minute BETWEEN 5 AND 40"),
 }
 
@@ -371,24 +371,20 @@ def _rates() -> str:
 
 # -- Transport, exports, checks ----------------------------------------------
 
-def _document(name: str, bpm: str, activity: str, alert: str) -> str:
+def _document(name: str, bpm: str, activity: str, alert: str, goal: str, source: str = "base") -> str:
     return f"""
   SELECT 'wearable_{name}' AS topic, user_id, epoch_us(ts) AS kafka_ingest_time,
          CAST(event_date AS VARCHAR) AS event_date, event_hour || '.0' AS event_hour,
          strftime(hour_ts, '%Y-%m-%dT%H:%M:%S') AS event_timestamp,
          CAST(NULL AS VARCHAR) AS source_timestamp, CAST(NULL AS VARCHAR) AS trace_id, '{name}' AS event_type,
-         {bpm} AS payload_bpm, {activity} AS payload_activity, {alert} AS payload_alert FROM base"""
+         {bpm} AS payload_bpm, {activity} AS payload_activity, {alert} AS payload_alert,
+         {goal} AS payload_goal FROM {source}"""
 
 
 _NO_NUMBER, _NO_TEXT = "CAST(NULL AS DOUBLE)", "CAST(NULL AS VARCHAR)"
 _BPM = "CASE WHEN k % 10 <> 0 THEN CAST(40 + 2 * k AS DOUBLE) END"
 _TYPE = ("CASE WHEN k % 7 = 0 THEN NULL WHEN k % 4 = 0 THEN 'Bike' WHEN k % 4 = 1 THEN 'Run' "
          "WHEN k % 4 = 2 THEN 'Sport' ELSE 'Walk' END")
-JSON_ENVELOPE = with_([BASE], " UNION ALL ".join([
-    _document("vitals", _BPM, _NO_TEXT, _NO_NUMBER),
-    _document("activity", _NO_NUMBER, _TYPE, _NO_NUMBER),
-    _document("context", _NO_NUMBER, _NO_TEXT, "CASE WHEN k % 2 = 0 THEN 1.0 ELSE 0.0 END::DOUBLE"),
-]))
 
 _READING = """
   SELECT user_id, epoch_us(ts + to_microseconds(k * 10000)) AS kafka_ingest_time,
@@ -412,6 +408,13 @@ _FIRST_HOUR = """QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_
   badge_type, age NULLS LAST, gender, bmi NULLS LAST, step_goal NULLS LAST, CAST(k * 100.0 AS DOUBLE)::VARCHAR,
   CAST(k * 200.0 AS DOUBLE)::VARCHAR, step_goal_label) = 1"""
 
+JSON_ENVELOPE = with_([BASE, FIRST_ROW], " UNION ALL ".join([
+    _document("vitals", _BPM, _NO_TEXT, _NO_NUMBER, _NO_TEXT),
+    _document("activity", _NO_NUMBER, _TYPE, _NO_NUMBER, _NO_TEXT),
+    _document("context", _NO_NUMBER, _NO_TEXT, "CASE WHEN k % 2 = 0 THEN 1.0 ELSE 0.0 END::DOUBLE", _NO_TEXT),
+    _document("profile", _NO_NUMBER, _NO_TEXT, _NO_NUMBER, "step_goal_label", f"(SELECT * FROM firsts {_FIRST_HOUR})"),
+]))
+
 CSV_HOURLY = f"""
   SELECT 'vitals' AS topic, user_id, CAST(event_date AS VARCHAR) AS event_date, count(*) AS events,
          count(DISTINCT hour_ts) AS moments, CAST(sum({_BPM}) AS DOUBLE) AS bpm_sum, {_NO_NUMBER} AS steps_sum,
@@ -450,8 +453,8 @@ POOL = """lookup AS (
   QUALIFY row_number() OVER (PARTITION BY user_id, event_date ORDER BY ts DESC) = 1),
 pool AS (
   SELECT b.user_id, b.event_date, b.event_hour || '.0' AS event_hour,
-         CASE WHEN k % 10 <> 0 THEN CAST(40 + 2 * k AS DOUBLE) ELSE 80.0 END AS base_bpm,
-         coalesce(l.rmssd, 50.0) AS base_rmssd, coalesce(l.breathing, 16.0) AS base_breathing
+         CASE WHEN k % 10 <> 0 THEN CAST(40 + 2 * k AS DOUBLE) END AS base_bpm,
+         l.rmssd AS base_rmssd, l.breathing AS base_breathing
   FROM base b LEFT JOIN lookup l USING (user_id, event_date))"""
 
 LATENCY = """delays AS (
@@ -483,12 +486,6 @@ def oracles() -> dict[str, str]:
     goals = with_([*silver_ctes("activity", "profile"), ACTIVITY_DAY],
                   "SELECT user_id, CAST(goal_met_steps AS INTEGER) AS goal_met_steps, count(*) AS days "
                   "FROM activity_day GROUP BY ALL")
-    spine_columns = [*USER_DAY, "avg_sleep_efficiency", "avg_minutes_asleep", "avg_spo2", "avg_resting_hr",
-                     "age", "gender", "bmi"]
-    spine = """spined AS (
-  SELECT * FROM (SELECT user_id, event_date FROM sleep_day UNION SELECT user_id, event_date FROM vitals_daily_day)
-  LEFT JOIN sleep_day USING (user_id, event_date) LEFT JOIN vitals_daily_day USING (user_id, event_date)
-  LEFT JOIN (SELECT user_id, age, gender, bmi FROM profile) USING (user_id))"""
     return {
         "json_envelope": JSON_ENVELOPE,
         "typed_envelope": with_([BASE], _READINGS),
@@ -540,10 +537,11 @@ def oracles() -> dict[str, str]:
         "goal_compliance": goals,
         "key_spine": with_(
             silver_ctes("vitals", "sleep", "vitals_daily"),
-            plain(USER_DAY, "(SELECT user_id, event_date FROM vitals UNION SELECT user_id, event_date FROM sleep "
-                            "UNION SELECT user_id, event_date FROM vitals_daily)")),
-        "spine_left_joins": with_([*silver_ctes("sleep", "vitals_daily", "profile"), SLEEP_DAY, VITALS_DAILY_DAY,
-                                   spine], plain(spine_columns, "spined")),
+            plain([*USER_DAY, "covered_by"],
+                  "(SELECT user_id, event_date, bit_or(bit) AS covered_by FROM ("
+                  "SELECT user_id, event_date, 1 AS bit FROM vitals UNION ALL SELECT user_id, event_date, 2 FROM sleep "
+                  "UNION ALL SELECT user_id, event_date, 4 FROM vitals_daily) GROUP BY ALL)", {"covered_by"})),
+        "spine_left_joins": WELLNESS_SQL,
         "feature_matrix": with_([*_FEATURE_SILVER, FEATURE], plain(USER_DAY + FEATURES, "features")),
         "feature_outer_join": with_([*_FEATURE_SILVER, FEATURE], plain(USER_DAY + FEATURES, "features")),
         "daily_activity_totals": with_([*silver_ctes("activity"), TOTALS],
@@ -569,8 +567,6 @@ def oracles() -> dict[str, str]:
             [BASE, POOL],
             "SELECT user_id, CAST(event_date AS VARCHAR) AS event_date, event_hour, base_bpm, base_rmssd, "
             "base_breathing FROM pool"),
-        "clamped_readings": "SELECT event_id, CAST(round(greatest(30.0, least(220.0, value * 2)), 3) AS DOUBLE) "
-                            "AS reading FROM events",
         "table_counts": with_(silver_ctes("vitals", "activity", "sleep", "profile"),
                               _counts("vitals", "activity", "sleep", "profile")),
         "latency_summary": with_([BASE, LATENCY],

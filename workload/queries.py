@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulselake.config import LakeConfig
-from pulselake.functions.lenient import clamp_round
 from pulselake.functions.stats import mean_squared_error
 from pulselake.operators import daily, spine, timeline
 from pulselake.operators.anomaly import error_stats, flat_cells, label_errors, severity_rates
@@ -57,7 +56,7 @@ def comparable(rows: DataFrame) -> DataFrame:
 def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export rows to JSON documents and back to promoted fields, all topics of the hourly export."""
     rows = promote(decode(hourly_events(device.hourly_rows(spark, sf_dir), F.col("delivered"),
-                                        specs=HOURLY_TOPICS[:3])))
+                                        specs=HOURLY_TOPICS)))
     return comparable(
         rows.select(
             "topic", "user_id", "kafka_ingest_time", "event_date", "event_hour", "event_timestamp",
@@ -65,6 +64,7 @@ def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.get_json_object("payload", "$.bpm").cast("double").alias("payload_bpm"),
             F.get_json_object("payload", "$.activityType").alias("payload_activity"),
             F.get_json_object("payload", "$.ALERT").cast("double").alias("payload_alert"),
+            F.get_json_object("payload", "$.step_goal_label").alias("payload_goal"),
         )
     )
 
@@ -207,19 +207,17 @@ def goal_compliance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def key_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = [device.silver(spark, sf_dir, n) for n in ("vitals", "sleep", "vitals_daily")]
-    return comparable(spine.key_spine(tables))
+    tables = {n: device.silver(spark, sf_dir, n) for n in ("vitals", "sleep", "vitals_daily")}
+    return comparable(spine.covered_days(tables))
 
 
 def spine_left_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The chained form: spine, daily metrics, user attributes."""
-    sleep = daily.sleep_summary(device.silver(spark, sf_dir, "sleep"))
-    vitals = daily.vitals_daily_summary(device.silver(spark, sf_dir, "vitals_daily"))
-    wide = spine.key_spine([sleep, vitals, None])
-    wide = spine.attach_daily(wide, sleep, ["avg_sleep_efficiency", "avg_minutes_asleep"])
-    wide = spine.attach_daily(wide, vitals, ["avg_spo2", "avg_resting_hr"])
-    wide = spine.attach_daily(wide, None, ["never"])
-    return comparable(spine.attach_user(wide, device.silver(spark, sf_dir, "profile"), spine.PROFILE_COLUMNS))
+    """The chained form of the wide profile: spine, daily metrics of all tables, user attributes."""
+    tables = _gold_tables(spark, sf_dir)
+    days = spine.covered_days(tables).select(*USER_DAY)
+    parts = [spine.Attributes(tables[n], USER_DAY, tuple(columns)) for n, columns in spine.WELLNESS_METRICS.items()]
+    parts.append(spine.Attributes(device.silver(spark, sf_dir, "profile"), ("user_id",), spine.PROFILE_COLUMNS))
+    return comparable(spine.enrich(days, [*parts, spine.Attributes(None, USER_DAY, ("never",))]))
 
 
 # -- Features and windows ----------------------------------------------------
@@ -356,11 +354,6 @@ def baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(pool)
 
 
-def clamped_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = device.table(spark, sf_dir, "events")
-    return comparable(events.select("event_id", clamp_round(F.col("value") * 2, 30.0, 220.0).alias("reading")))
-
-
 def counts_per_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_counts({n: device.silver(spark, sf_dir, n) for n in ("vitals", "activity", "sleep", "profile")})
 
@@ -392,7 +385,7 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lake_wellness_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic log -> Bronze stream -> Silver -> Gold, read back from storage."""
     lake = _landed(spark, sf_dir, "lake", device.all_transport(spark, sf_dir))
-    run_lake(lake, with_insights=False)
+    run_lake(lake)
     return comparable(lake.require(GOLD, "daily_wellness_profile").drop("gold_updated_at"))
 
 
@@ -443,7 +436,6 @@ QUERIES: dict[str, Query] = {
     "csv_daily_events": csv_daily_events,
     "first_profile": first_profile,
     "baseline_pool": baseline,
-    "clamped_readings": clamped_readings,
     "table_counts": counts_per_table,
     "latency_summary": latency,
     "stream_bronze": stream_bronze,
