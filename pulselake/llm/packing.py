@@ -2,10 +2,10 @@
 
 Several sequence lengths are permitted and each costs ``fixed + length``. Items
 are placed in descending order of size: into the open bin with the least room
-that is enough, or else into a new bin, of the length that costs least for each
-token it can be expected to hold (the item and, as far as they reach, the
-smaller items still to come). At the end every bin is cut down to the least
-permitted length that holds its contents.
+that is enough, or else into a new bin, of the length that makes the whole rest
+cheapest: its own cost and the least cost of any bins that hold what would
+remain, which weighs all lengths jointly. At the end every bin is cut down to
+the least permitted length that holds its contents.
 
 Documents longer than the largest length are cut into pieces of that length and
 a rest; every token is placed exactly once. Items are dealt by hash into shards
@@ -34,17 +34,26 @@ FIXED = 64
 _SHARD_TOKENS = 8_000_000
 
 
+def least_costs(total: int, lengths: tuple[int, ...], fixed: int) -> list[int]:
+    """Cost of the cheapest bins for ``u`` times the smallest length, by ``u``."""
+    unit = min(lengths)
+    costs = [0]
+    for u in range(1, -(-total // unit) + 1):
+        costs.append(min(fixed + c + costs[max(0, u - c // unit)] for c in lengths))
+    return costs
+
+
 def pack(sizes: list[int], lengths: tuple[int, ...] = LENGTHS, fixed: int = FIXED) -> tuple[list[int], list[int], list[int]]:
     """Bin and offset of every item, and the length of every bin.
 
     ``sizes`` is descending and nothing in it exceeds the largest length.
     """
     lengths = tuple(sorted(lengths))
-    to_come = sum(sizes)
+    to_come, unit = sum(sizes), lengths[0]
+    rest = least_costs(to_come, lengths, fixed)
     bins: list[int] = []  # bin of each item
     offsets: list[int] = []
     used: list[int] = []
-    opened: list[int] = []
     room: list[tuple[int, int]] = []  # (room, bin), ascending
     for size in sizes:
         to_come -= size
@@ -53,10 +62,9 @@ def pack(sizes: list[int], lengths: tuple[int, ...] = LENGTHS, fixed: int = FIXE
             left, chosen = room.pop(at)
         else:
             fitting = lengths[bisect_left(lengths, size) :]
-            left = min(fitting, key=lambda c: ((fixed + c) / max(1, min(c, size + to_come)), c))
+            left = min(fitting, key=lambda c: (fixed + c + rest[-(-max(0, size + to_come - c) // unit)], c))
             chosen = len(used)
             used.append(0)
-            opened.append(left)
         bins.append(chosen)
         offsets.append(used[chosen])
         used[chosen] += size
