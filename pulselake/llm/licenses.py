@@ -80,7 +80,7 @@ SPELLINGS = {
     "whilst": "while", "noncommercial": "non commercial", "non infringement": "noninfringement", "per cent": "percent",
 }
 PUNCTUATION = r"[^\p{L}\p{N}\n]+"
-COPYRIGHT_LINE = r"(?m)^ ?(?:c ?)?(?:copyright|copr|c [0-9]{4}|all rights reserved ?$)\b.*$"
+COPYRIGHT_LINE = r"(?m)^ ?(?:(?:c ?)?(?:copyright|copr|c [0-9]{4})\b.*|all rights reserved ?)$"
 _OWNED = r"copyright|copr|c [0-9]{4}|all rights reserved"
 _VARIANTS = rf"\b(?:{'|'.join(SPELLINGS)})\b"
 
