@@ -6,13 +6,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA, PCAModel
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulselake.functions.stats import mean_squared_error, severity, z_score
+from pulselake.functions.stats import severity, z_score
 from pulselake.operators.timeline import FEATURES, WINDOW_ROWS, FeatureScaler
 
 # Fixed value: fewest windows worth fitting on.
@@ -42,9 +42,9 @@ class WindowModel:
     scaler: FeatureScaler
     center: np.ndarray
     components: np.ndarray
-    pca: PCAModel
     version: str = "unsaved"
     length: int = WINDOW_ROWS
+    explained: float | None = None
 
     @classmethod
     def fit(cls, windows: DataFrame, scaler: FeatureScaler, rank: int = 8,
@@ -56,24 +56,26 @@ class WindowModel:
         vectors = windows.select(array_to_vector(flat_cells(F.col("window"))).alias("cells"))
         pca = PCA(k=rank, inputCol="cells", outputCol="scores").fit(vectors)
         center = vectors.select(Summarizer.mean(F.col("cells")).alias("m")).first()["m"].toArray()
-        return cls(scaler, center, pca.pc.toArray(), pca, length=length)
+        explained = float(pca.explainedVariance.toArray().sum())
+        return cls(scaler, center, pca.pc.toArray(), length=length, explained=explained)
 
-    def reconstruct(self, flat: Column) -> Column:
-        """Projection of a flat window on the components, as a flat array.
+    def error(self, flat: Column) -> Column:
+        """Mean squared distance of a flat window from its projection on the components.
 
         The principal component model does not centre its input, so the mean
-        is handled here. Whole Arrow batches go through one matrix product.
+        is handled here. Whole Arrow batches go through one matrix product, and
+        one number per window comes back.
         """
         center, components = self.center, self.components
 
-        @F.pandas_udf("array<double>")
-        def rebuilt(cells: pd.Series) -> pd.Series:
+        @F.pandas_udf("double")
+        def distance(cells: pd.Series) -> pd.Series:
             if cells.empty:
-                return pd.Series([], dtype=object)
+                return pd.Series([], dtype="float64")
             matrix = np.stack(cells.to_numpy()).astype("float64") - center
-            return pd.Series(list(matrix @ components @ components.T + center))
+            return pd.Series(((matrix - matrix @ components @ components.T) ** 2).mean(axis=1))
 
-        return rebuilt(flat)
+        return distance(flat)
 
     def score(self, windows: DataFrame) -> DataFrame:
         """Reconstruction error of every window, on its cells as float32."""
@@ -81,7 +83,7 @@ class WindowModel:
         return shaped.select(
             "user_id",
             "event_date",
-            mean_squared_error(F.col("_flat"), self.reconstruct(F.col("_flat"))).alias("reconstruction_error"),
+            self.error(F.col("_flat")).alias("reconstruction_error"),
             F.lit(self.version).alias("model_version"),
         )
 
@@ -95,13 +97,12 @@ class WindowModel:
         """Store as the next version under ``root`` and return the version."""
         stored = stored_versions(root, spark)
         version = str(max(stored, default=0) + 1)
-        self.pca.write().save(f"{root}/components/version={version}")
         numbers = [
             (list(self.scaler.columns), list(self.scaler.means), list(self.scaler.scales),
-             self.center.tolist(), self.length)
+             self.center.tolist(), self.components.tolist(), self.length)
         ]
-        schema = "columns array<string>, means array<double>, scales array<double>, center array<double>, length int"
-        # Written last: a version counts as stored once its numbers are.
+        schema = ("columns array<string>, means array<double>, scales array<double>, center array<double>, "
+                  "components array<array<double>>, length int")
         spark.createDataFrame(numbers, schema).coalesce(1).write.parquet(f"{root}/numbers/version={version}")
         return version
 
@@ -113,9 +114,8 @@ class WindowModel:
             raise FileNotFoundError(f"no model stored under {root}")
         version = version or str(max(stored))
         numbers = spark.read.parquet(f"{root}/numbers/version={version}").first()
-        pca = PCAModel.load(f"{root}/components/version={version}")
         scaler = FeatureScaler(tuple(numbers["columns"]), tuple(numbers["means"]), tuple(numbers["scales"]))
-        return cls(scaler, np.array(numbers["center"]), pca.pc.toArray(), pca, version, numbers["length"])
+        return cls(scaler, np.array(numbers["center"]), np.array(numbers["components"]), version, numbers["length"])
 
 
 def stored_versions(root: str, spark: SparkSession) -> list[int]:

@@ -51,9 +51,9 @@ def land_batch(batch: DataFrame, batch_id: int, config: LakeConfig, stream_id: s
     )
 
 
-def start_bronze(spark: SparkSession, config: LakeConfig, *, drain: bool = False) -> StreamingQuery:
-    """Start landing. ``drain`` works off the backlog and stops."""
-    checkpoint = f"{config.layer('checkpoints')}/bronze"
+def start_bronze(spark: SparkSession, config: LakeConfig, *, drain: bool = False, name: str = "bronze") -> StreamingQuery:
+    """Start landing. ``drain`` works off the backlog and stops; ``name`` is that of the checkpoint."""
+    checkpoint = f"{config.layer('checkpoints')}/{name}"
     stream_id = stream_identity(spark, checkpoint)
 
     def sink(batch: DataFrame, batch_id: int) -> None:

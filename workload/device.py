@@ -138,8 +138,8 @@ def profile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def intraday_transport(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The continuous readings as transport rows."""
+def intraday_transport(spark: SparkSession, sf_dir: str, untraced: bool = False) -> DataFrame:
+    """The continuous readings as transport rows; ``untraced`` leaves a third without a trace id."""
     readings = _events(spark, sf_dir).select(
         F.col("user_id").cast("string").alias("user_id"),
         F.date_format("ts", "yyyy-MM-dd").alias("event_date"),
@@ -156,7 +156,7 @@ def intraday_transport(spark: SparkSession, sf_dir: str) -> DataFrame:
         rmssd=k * 3.25,
         breaths=4 + k * 0.375,
         emitted=F.col("emitted"),
-        trace_id=F.lpad(F.col("event_id").cast("string"), 32, "0"),
+        trace_id=F.when(F.lit(not untraced) | (k % 3 != 0), F.lpad(F.col("event_id").cast("string"), 32, "0")),
         ingest_time=F.timestamp_micros(F.unix_micros("emitted") + k * 10000),
     )
 
@@ -175,7 +175,7 @@ def transport(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return export_events(rows, [spec], source=source, hourly=hourly, ingest_time=F.col("delivered"))
 
 
-def all_transport(spark: SparkSession, sf_dir: str) -> DataFrame:
+def all_transport(spark: SparkSession, sf_dir: str, untraced: bool = False) -> DataFrame:
     """Transport rows of all eleven topics."""
     delivered = F.col("delivered")
     hourly = [s for s in HOURLY_TOPICS if s is not PROFILE]
@@ -184,7 +184,7 @@ def all_transport(spark: SparkSession, sf_dir: str) -> DataFrame:
         export_events(hourly_rows(spark, sf_dir), hourly, source=HOURLY_SOURCE, hourly=True, ingest_time=delivered)
         .unionByName(export_events(daily_rows(spark, sf_dir), daily, source=DAILY_SOURCE, hourly=False,
                                    ingest_time=delivered))
-        .unionByName(intraday_transport(spark, sf_dir))
+        .unionByName(intraday_transport(spark, sf_dir, untraced))
         .unionByName(transport(spark, sf_dir, PROFILE.name))
     )
 

@@ -114,7 +114,7 @@ WHOLES = {
 }
 TEXTS = {
     "user_id", "event_type", "trace_id", "activity_type", "badge_type", "age", "gender", "bmi", "step_goal",
-    "step_goal_label", "dominant_activity_type", "dominant_mood", "severity", "topic", "table_name",
+    "step_goal_label", "dominant_activity_type", "dominant_mood", "severity", "topic", "table_name", "mlflow_run_id",
 }
 
 
@@ -356,6 +356,24 @@ WINDOW_ERROR = f"""errors AS (
              + CAST(sleep_efficiency AS DOUBLE) * sleep_efficiency) OVER w / 14 AS error
   FROM filled WINDOW w AS ({_BY_ROW}) QUALIFY count(*) OVER w = 7)"""
 
+# A model that reproduces the first eight cells leaves the squares of the others.
+_OTHERS = " + ".join(
+    f"CAST({c} AS DOUBLE) * {c} * (position * 7 + {i} >= 8)::INTEGER" for i, c in enumerate(FEATURES)
+)
+CORNER = f"""corner AS (
+  SELECT user_id, event_date, sum({_OTHERS}) / 49 AS reconstruction_error FROM cells GROUP BY user_id, event_date)"""
+INSIGHTS = """error_stats AS (SELECT avg(reconstruction_error) AS m, stddev_pop(reconstruction_error) + 1e-8 AS s FROM corner),
+insight_z AS (SELECT *, (reconstruction_error - m) / s AS z_score FROM corner, error_stats),
+insights AS (
+  SELECT user_id, event_date, CAST(reconstruction_error AS FLOAT) AS reconstruction_error, CAST(z_score AS FLOAT) AS z_score,
+         CASE WHEN z_score >= 1.65 THEN 'red' WHEN z_score >= 1.29 THEN 'yellow'
+              WHEN z_score >= 1.04 THEN 'green' ELSE 'normal' END AS severity, 'fixed' AS mlflow_run_id FROM insight_z)"""
+_CELL_VARIANCES = " + ".join(f"sum(var_{c})" for c in FEATURES)
+CELL_VARIANCE = ("variances AS (SELECT position, count(*) AS n, "
+                 + ", ".join(f"var_pop(CAST({c} AS DOUBLE)) AS var_{c}" for c in FEATURES)
+                 + f" FROM cells GROUP BY position),\ncell_variance AS (SELECT ({_CELL_VARIANCES}) / 49 AS cell_variance, "
+                 "min(n) AS windows FROM variances)")
+
 LABELLED = """stats AS (SELECT avg(value) AS m, stddev_pop(value) + 1e-8 AS s FROM events),
 scored AS (SELECT event_id, (value - m) / s AS z_score FROM events, stats),
 labelled AS (
@@ -567,8 +585,16 @@ def oracles() -> dict[str, str]:
             [BASE, POOL],
             "SELECT user_id, CAST(event_date AS VARCHAR) AS event_date, event_hour, base_bpm, base_rmssd, "
             "base_breathing FROM pool"),
-        "table_counts": with_(silver_ctes("vitals", "activity", "sleep", "profile"),
-                              _counts("vitals", "activity", "sleep", "profile")),
+        "table_counts": with_(silver_ctes(*METRICS), _counts(*METRICS)),
+        "silver_rerun": with_(silver_ctes(*METRICS), _counts(*METRICS)),
+        "bronze_restart": with_([BASE], f"SELECT topic, event_date, 2 * n AS n, 2 AS streams FROM ({STREAM})"),
+        "fixed_model_scores": with_(
+            [*_FILL_CHAIN, _imputed("filled"), SCALED, WINDOWS, CORNER],
+            "SELECT *, '1' AS model_version FROM (" + plain([*USER_DAY, "reconstruction_error"], "corner") + ")"),
+        "ai_insights": with_([*_FILL_CHAIN, _imputed("filled"), SCALED, WINDOWS, CORNER, INSIGHTS],
+                             plain([*USER_DAY, "reconstruction_error", "z_score", "severity", "mlflow_run_id"], "insights")),
+        "pca_variance": with_([*_FILL_CHAIN, _imputed("filled"), SCALED, WINDOWS, CELL_VARIANCE],
+                              plain(["cell_variance", "windows"], "cell_variance", {"windows"})),
         "latency_summary": with_([BASE, LATENCY],
                                  plain(["event_type", "events", "mean_seconds", "sd_seconds"], "latency", {"events"})),
         "stream_bronze": with_([BASE], STREAM),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from pulselake.config import LakeConfig
 from pulselake.functions.stats import mean_squared_error
 from pulselake.operators import daily, spine, timeline
-from pulselake.operators.anomaly import error_stats, flat_cells, label_errors, severity_rates
+from pulselake.operators.anomaly import WindowModel, error_stats, flat_cells, insights, label_errors, severity_rates
 from pulselake.operators.baseline import baseline_pool
 from pulselake.operators.envelope import decode, promote, to_bronze, type_envelope
 from pulselake.operators.ingest import daily_events, first_profile_rows, hourly_events
@@ -20,10 +21,11 @@ from pulselake.operators.quality import latency_summary, table_counts
 from pulselake.operators.refine import deduplicate, parse_payload, refine, validate
 from pulselake.plans.insights import fit_and_label, prepare_windows, score_stored
 from pulselake.plans.lake_run import layer_presence, run_lake
+from pulselake.plans.silver import run_silver
 from pulselake.sources.csv_export import read_export
 from pulselake.sources.lake import BRONZE, GOLD, SILVER, Lake
 from pulselake.sources.topic_log import append_events
-from pulselake.sources.workspace import fresh_folder
+from pulselake.sources.workspace import fresh_folder, settle
 from pulselake.specs import ACTIVITY, HOURLY_TOPICS, PROFILE, TOPICS, USER_DAY, VITALS
 from pulselake.streaming.bronze import start_bronze
 from workload import device
@@ -309,6 +311,39 @@ def rescored_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(score_stored(lake, timeline.sliding_windows(model.scaler.transform(filled))))
 
 
+def _corner_model(scaler: timeline.FeatureScaler) -> WindowModel:
+    """A model with hand-set components: it reproduces the first eight cells of a window and no others."""
+    cells = len(timeline.FEATURES) * timeline.WINDOW_ROWS
+    return WindowModel(scaler, np.zeros(cells), np.eye(cells)[:, :8])
+
+
+def _corner_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All windows scored by that model as stored and loaded again."""
+    lake = Lake(spark, LakeConfig(fresh_folder(spark, "corner")))
+    prepared = prepare_windows(_features(spark, sf_dir))
+    _corner_model(prepared.scaler).save(lake.config.layer("models"), spark)
+    return score_stored(lake, prepared.windows)
+
+
+def fixed_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(_corner_scores(spark, sf_dir))
+
+
+def ai_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published table for hand-set components: error, z-score and severity."""
+    scored = settle(_corner_scores(spark, sf_dir))
+    return comparable(insights(label_errors(scored, error_stats(scored)), "fixed"))
+
+
+def pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variance of the cells by the fitted model: what it leaves, over the share it does not explain."""
+    prepared = prepare_windows(_features(spark, sf_dir))
+    windows = settle(prepared.windows)
+    model = WindowModel.fit(windows, prepared.scaler)
+    left = F.avg("reconstruction_error") / (1 - model.explained)
+    return comparable(model.score(windows).agg(left.alias("cell_variance"), F.count(F.lit(1)).alias("windows")))
+
+
 # -- Exports, pool, checks ---------------------------------------------------
 
 def csv_hourly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,7 +390,7 @@ def baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def counts_per_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table_counts({n: device.silver(spark, sf_dir, n) for n in ("vitals", "activity", "sleep", "profile")})
+    return table_counts({n: device.silver(spark, sf_dir, n) for n in TOPICS})
 
 
 def latency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -382,6 +417,24 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bronze_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second checkpoint reads all topics again into the same Bronze: nothing is replaced."""
+    lake = _landed(spark, sf_dir, "restart", device.all_transport(spark, sf_dir))
+    start_bronze(spark, lake.config, drain=True, name="renewed").awaitTermination()
+    stacked = reduce(DataFrame.unionByName, [lake.read_bronze(name) for name in TOPICS])
+    return stacked.groupBy("topic", "event_date").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("stream_id").alias("streams")
+    )
+
+
+def silver_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All topics refined twice, a third of the readings without a trace id: rows per Silver table."""
+    lake = _landed(spark, sf_dir, "rerun", device.all_transport(spark, sf_dir, untraced=True))
+    for _ in range(2):
+        run_silver(lake)
+    return table_counts({n: lake.require(SILVER, n) for n in TOPICS})
+
+
 def lake_wellness_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic log -> Bronze stream -> Silver -> Gold, read back from storage."""
     lake = _landed(spark, sf_dir, "lake", device.all_transport(spark, sf_dir))
@@ -432,6 +485,9 @@ QUERIES: dict[str, Query] = {
     "severity_rates": severity_share,
     "pca_scores": pca_scores,
     "rescored_windows": rescored_windows,
+    "fixed_model_scores": fixed_model_scores,
+    "ai_insights": ai_insights,
+    "pca_variance": pca_variance,
     "csv_hourly_events": csv_hourly_events,
     "csv_daily_events": csv_daily_events,
     "first_profile": first_profile,
@@ -439,6 +495,8 @@ QUERIES: dict[str, Query] = {
     "table_counts": counts_per_table,
     "latency_summary": latency,
     "stream_bronze": stream_bronze,
+    "bronze_restart": bronze_restart,
+    "silver_rerun": silver_rerun,
     "lake_wellness_profile": lake_wellness_profile,
     "lake_presence": lake_presence,
 }
