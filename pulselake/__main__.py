@@ -32,12 +32,13 @@ def parser() -> argparse.ArgumentParser:
     for name in ("silver", "run"):
         job = jobs.add_parser(name, help="Bronze to Silver" if name == "silver" else "all stages after Bronze")
         job.add_argument("--after-batch", type=int)
-        job.add_argument("--new-only", action="store_true", help="Bronze batches since the last such run")
+        job.add_argument("--full", action="store_true", help="all of Bronze, not only batches since the last run")
         job.add_argument("--append-only-intraday", action="store_true")
         if name == "run":
             job.add_argument("--since", type=dt.date.fromisoformat, help="rebuild Gold from this date on")
     gold = jobs.add_parser("gold", help="rebuild Gold")
     gold.add_argument("--since", type=dt.date.fromisoformat)
+    gold.add_argument("--full", action="store_true", help="all dates, not only those that changed")
     gold.add_argument("--strict-schema", action="store_true")
     jobs.add_parser("insights", help="fit the model and publish ai_insights")
     score = jobs.add_parser("score", help="score the present windows with a stored model")
@@ -57,7 +58,7 @@ def main(arguments: list[str] | None = None, lake: Lake | None = None):
         lake = Lake(lake_session(f"pulselake-{chosen.job}"), LakeConfig.from_env())
     silver_options = {
         "after_batch": getattr(chosen, "after_batch", None),
-        "new_only": getattr(chosen, "new_only", False),
+        "new_only": not getattr(chosen, "full", False) and getattr(chosen, "after_batch", None) is None,
         "append_only_intraday": getattr(chosen, "append_only_intraday", False),
     }
     match chosen.job:
@@ -69,9 +70,9 @@ def main(arguments: list[str] | None = None, lake: Lake | None = None):
         case "silver":
             report = run_silver(lake, **silver_options)
         case "run":
-            report = run_lake(lake, since=chosen.since, **silver_options)
+            report = run_lake(lake, since=chosen.since, full=chosen.full, **silver_options)
         case "gold":
-            report = run_gold(lake, strict_schema=chosen.strict_schema, since=chosen.since)
+            report = run_gold(lake, strict_schema=chosen.strict_schema, since=chosen.since, full=chosen.full)
         case "insights":
             report = run_insights(lake)
         case "score":

@@ -6,12 +6,16 @@ import datetime as dt
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulselake.operators import daily, spine
-from pulselake.sources.lake import GOLD, SILVER, Lake
+from pulselake.plans.silver import in_batches
+from pulselake.sources.lake import GOLD, SILVER, Lake, within_dates
+from pulselake.sources.workspace import settle
+from pulselake.specs import PROFILE, TOPICS
 
 log = logging.getLogger(__name__)
 
@@ -22,17 +26,24 @@ def audited(rows: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class GoldInput:
-    """The tables of a lake from one date on; from the beginning by default."""
+    """The tables of a lake: whole, from one date on, or on given dates only."""
 
     lake: Lake
     strict_schema: bool = False
     since: dt.date | None = None
+    dates: DataFrame | None = None
+
+    @property
+    def whole(self) -> bool:
+        return self.since is None and self.dates is None
 
     def daily(self, layer: str, name: str) -> DataFrame | None:
         table = self.lake.read(layer, name)
-        if table is None or self.since is None:
-            return table
-        return table.filter(F.col("event_date") >= F.lit(self.since))
+        if table is not None and self.since is not None:
+            table = table.filter(F.col("event_date") >= F.lit(self.since))
+        if table is not None and self.dates is not None:
+            table = within_dates(table, self.dates)
+        return table
 
     def profile(self) -> DataFrame | None:
         """One row per user, whatever the date it was received on."""
@@ -77,21 +88,65 @@ BUILDERS: dict[str, Callable[[GoldInput], DataFrame | None]] = {
 }
 
 
-def build_gold(lake: Lake, name: str, *, strict_schema: bool = False, since: dt.date | None = None) -> bool:
-    """Rebuild one Gold table; False when it has no input.
+def build_gold(source: GoldInput, name: str) -> bool:
+    """Build one Gold table; False when it has no input.
 
-    A Gold row depends on the Silver rows of its own date, so ``since``
-    rebuilds the later dates only and leaves the others in place.
+    A Gold row depends on the Silver rows of its own date, so a part of the
+    dates replaces those and leaves the others in place.
     """
-    rows = BUILDERS[name](GoldInput(lake, strict_schema, since))
+    rows = BUILDERS[name](source)
     if rows is None:
         log.info("%s: no input, skipped", name)
         return False
-    write = lake.overwrite if since is None else lake.overwrite_dates
+    write = source.lake.overwrite if source.whole else source.lake.overwrite_dates
     write(audited(rows), GOLD, name)
     return True
 
 
-def run_gold(lake: Lake, **options) -> list[str]:
-    """Rebuild all Gold tables that have input; names of the tables written."""
-    return [name for name in BUILDERS if build_gold(lake, name, **options)]
+def _covered(name: str) -> str:
+    """Name under which Gold records the batches of a topic it has covered."""
+    return f"gold/{name}"
+
+
+def changed_dates(lake: Lake) -> tuple[DataFrame, dict[str, dict[str, int]]]:
+    """Dates whose Gold rows may have changed, and the batches that changed them.
+
+    Those are the dates of all batches that Silver took in since Gold last
+    covered them, however old the dates; a new profile changes every date of
+    its user.
+    """
+    refined = {name: lake.refined_batches(name) for name in TOPICS}
+    parts = [lake.spark.createDataFrame([], "event_date string")]
+    for name, batches in refined.items():
+        done = lake.refined_batches(_covered(name))
+        fresh = {s: n for s, n in batches.items() if n > done.get(s, -1)}
+        if not fresh:
+            continue
+        rows = lake.read_bronze(name).filter(in_batches(done, fresh))
+        if name == PROFILE.name:
+            users = rows.select("user_id").distinct()
+            tables = [lake.read(SILVER, n) for n in TOPICS if n != name]
+            parts += [t.join(users, "user_id", "left_semi").select(F.col("event_date").cast("string")) for t in tables if t is not None]
+        else:
+            parts.append(rows.select("event_date"))
+    return settle(reduce(DataFrame.union, parts).distinct()), refined
+
+
+def run_gold(lake: Lake, *, strict_schema: bool = False, since: dt.date | None = None, full: bool = False) -> list[str]:
+    """Bring all Gold tables that have input up to date; names of the tables built.
+
+    By default only the dates that changed since the last run are rebuilt; all
+    are with ``full``, for the first run, and where ``strict_schema`` may change
+    the columns. ``since`` rebuilds the later dates, whatever changed.
+    """
+    refined = None
+    source = GoldInput(lake, strict_schema, since)
+    if since is None:
+        dates, refined = changed_dates(lake)
+        if not (full or strict_schema or lake.read(GOLD, "daily_wellness_profile") is None):
+            source = GoldInput(lake, dates=dates)
+    built = [name for name in BUILDERS if build_gold(source, name)]
+    for name, batches in (refined or {}).items():
+        if batches:
+            lake.note_refined(_covered(name), batches)
+    return built

@@ -38,26 +38,27 @@ def require_layer(lake: Lake, layer: str) -> None:
 
 
 def run_lake(lake: Lake, *, writer: Writer | None = None, with_insights: bool = True,
-             since: dt.date | None = None, **silver_options) -> dict[str, object]:
+             since: dt.date | None = None, full: bool = False, **silver_options) -> dict[str, object]:
     """All stages in order, each behind a check of the layer it reads.
 
-    Insights run before publishing, and only tables that this run wrote are
-    published: without a model the report says why under ``insights_skipped``
+    Silver takes in the batches since the last run and Gold the dates they
+    touched, unless ``full`` redoes all. Insights run before publishing, and
+    only tables that this run brought up to date are published: without a model the report says why under ``insights_skipped``
     and an earlier run's ``ai_insights`` stays unpublished. ``since`` limits the
     Gold rebuild to later dates.
     """
     report: dict[str, object] = {}
     require_layer(lake, BRONZE)
-    report["silver"] = run_silver(lake, **silver_options)
+    report["silver"] = run_silver(lake, **{"new_only": not full, **silver_options})
     require_layer(lake, SILVER)
     if with_insights:
         try:
             report["insights"] = run_insights(lake)
         except (TooFewWindows, NoInsightInput) as reason:
             report["insights_skipped"] = str(reason)
-    report["gold"] = run_gold(lake, since=since)
-    written = [*report["gold"], *(["ai_insights"] if "insights" in report else [])]
+    report["gold"] = run_gold(lake, since=since, full=full)
+    current = [*report["gold"], *(["ai_insights"] if "insights" in report else [])]
     require_layer(lake, GOLD)
     if writer is not None or lake.config.jdbc_url is not None:
-        report["published"] = publish_all(lake, writer, written)
+        report["published"] = publish_all(lake, writer, current)
     return report

@@ -15,29 +15,34 @@ from pulselake.specs import TOPICS, TopicSpec
 log = logging.getLogger(__name__)
 
 
+def in_batches(after: dict[str, int], upto: dict[str, int]) -> Column:
+    """Rows of the batches beyond ``after``, up to ``upto``, stream by stream."""
+    spans = [(F.col("stream_id") == s) & F.col("batch_id").between(after.get(s, -1) + 1, n) for s, n in upto.items()]
+    return reduce(Column.__or__, spans, F.lit(False))
+
+
 def refine_topic(lake: Lake, spec: TopicSpec, *, after_batch: int | None = None, new_only: bool = False,
                  append_only_intraday: bool = False) -> bool:
     """Bring one Silver table up to date; False when its Bronze is missing.
 
-    By default all of Bronze is read, as every key already stored is skipped
-    anyway. ``after_batch`` limits the read to newer batches; ``new_only``
-    takes that limit, for every stream, from the last recorded run, so that a daily run reads a
-    day and not the whole history. ``append_only_intraday`` appends intraday
-    deliveries without looking at stored rows.
+    ``new_only`` reads the batches that landed since the last run, for every
+    stream, so that a daily run reads a day and not the whole history. Without
+    it all of Bronze is read, as every key already stored is skipped anyway.
+    Either way the run is recorded; batches that land during it belong to the
+    next one. ``after_batch`` reads newer batches only and records nothing.
+    ``append_only_intraday`` appends intraday deliveries without looking at
+    stored rows.
     """
     bronze = lake.read_bronze(spec.name, after_batch)
     if bronze is None:
         log.info("%s: no Bronze table, skipped", spec.name)
         return False
-    pending = {}
-    if new_only:
-        done = lake.refined_batches(spec.name)
-        pending = {s: n for s, n in lake.newest_batches(spec.name).items() if n > done.get(s, -1)}
-        if not pending:
+    newest = lake.newest_batches(spec.name)
+    if after_batch is None:
+        done = lake.refined_batches(spec.name) if new_only else {}
+        if all(n <= done.get(s, -1) for s, n in newest.items()):
             return True
-        # Batches that land during the run belong to the next one.
-        span = [(F.col("stream_id") == s) & F.col("batch_id").between(done.get(s, -1) + 1, n) for s, n in pending.items()]
-        bronze = bronze.filter(reduce(Column.__or__, span))
+        bronze = bronze.filter(in_batches(done, newest))
     if spec.intraday and append_only_intraday:
         lake.append(refine(bronze, spec, unique=False), SILVER, spec.name)
     else:
@@ -45,8 +50,8 @@ def refine_topic(lake: Lake, spec: TopicSpec, *, after_batch: int | None = None,
         # dates of this input need comparing. Profiles are keyed by user alone.
         dates = bronze.select("event_date") if "event_timestamp" in spec.keys else None
         lake.insert_only(refine(bronze, spec), SILVER, spec.name, spec.keys, dates)
-    if pending:
-        lake.note_refined(spec.name, pending)
+    if after_batch is None:
+        lake.note_refined(spec.name, newest)
     return True
 
 

@@ -158,6 +158,34 @@ def test_gold_since_leaves_earlier_dates(lake):
     assert rows == {"2021-05-24": 80.0, "2021-05-25": 90.0}
 
 
+def test_gold_follows_late_rows(lake):
+    days = ("2021-05-24", "2021-05-25")
+    land(lake, 0, *[bronze_row({"bpm": 70}, date=d, stamp=f"{d}T07:00:00") for d in days],
+         *[bronze_row({"steps": 100.0, "calories": 1.0, "distance": 1.0}, kind="activity", date=d, stamp=f"{d}T07:00:00") for d in days])
+    run_silver(lake, new_only=True)
+    run_gold(lake)
+    before = {r["event_date"]: r["gold_updated_at"] for r in lake.require(GOLD, "daily_vitals_summary").collect()}
+    # A late row for the earlier day, in a batch of its own.
+    land(lake, 1, bronze_row({"bpm": 90}, stamp="2021-05-24T09:00:00"))
+    run_silver(lake, new_only=True)
+    run_gold(lake)
+    rows = {r["event_date"]: r for r in lake.require(GOLD, "daily_vitals_summary").collect()}
+    assert rows[day(days[0])]["avg_bpm"] == 80.0 and rows[day(days[1])]["avg_bpm"] == 70.0
+    assert rows[day(days[1])]["gold_updated_at"] == before[day(days[1])] < rows[day(days[0])]["gold_updated_at"]
+    assert {r["event_date"]: r["avg_bpm"] for r in lake.require(GOLD, "daily_wellness_profile").collect()} == {
+        day(days[0]): 80.0, day(days[1]): 70.0}
+    # A profile that comes later changes all days of its user.
+    land(lake, 2, bronze_row({"age": "<30", "step_goal": "50"}, kind="profile", date="2021-06-01", stamp="2021-06-01T00:00:00"))
+    run_silver(lake, new_only=True)
+    run_gold(lake)
+    found = lake.require(GOLD, "daily_wellness_profile").collect()
+    assert {(r["age"], r["goal_met_steps"]) for r in found} == {("<30", True)} and len(found) == 2
+    # Nothing new: nothing is rebuilt.
+    stamps = sorted(r["gold_updated_at"] for r in found)
+    run_gold(lake)
+    assert sorted(r["gold_updated_at"] for r in lake.require(GOLD, "daily_wellness_profile").collect()) == stamps
+
+
 def test_merge_reads_touched_dates_only(spark, lake):
     rows = spark.createDataFrame([("u", day(f"2021-01-0{i}")) for i in (1, 2, 3)], "user_id string, event_date date")
     lake.overwrite(rows, SILVER, "t")
