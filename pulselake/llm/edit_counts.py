@@ -14,6 +14,10 @@ Edits are ``struct<start, length, insert>`` in code points, applied in turn,
 each to the text that the ones before left; positions beyond the end mean the
 end, and null fields mean zero or nothing. Defined results: null texts count as
 empty and can be edited. A null list of edits is an empty one.
+
+``count_edits`` does all for documents that come with their edits.
+``build_trees`` gives rows to keep, and ``update_trees`` takes kept rows and a
+table of later edits, so that a text is encoded whole only once.
 """
 
 from __future__ import annotations
@@ -69,6 +73,17 @@ class SegmentTree:
         pieces = counter.cut(text)
         self._build([pieces[i : i + _LEAF] for i in range(0, len(pieces), _LEAF)] or [[]])
 
+    @classmethod
+    def stored(cls, counter: PretokenCounter, text: str, lengths: list[int], counts: list[int]) -> SegmentTree:
+        """The tree of a text from its stored pre-tokens; nothing is cut or encoded."""
+        tree = cls.__new__(cls)
+        tree.counter, tree.encoded_chars = counter, 0
+        ends = np.cumsum([0, *lengths]).tolist()
+        pieces = [text[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        cut = range(0, max(len(pieces), 1), _LEAF)
+        tree._build([pieces[i : i + _LEAF] for i in cut], [counts[i : i + _LEAF] for i in cut])
+        return tree
+
     def _build(self, leaves: list[list[str]], counts: list[list[int]] | None = None) -> None:
         self.leaves = leaves
         self.counts = [[*map(self.counter.count, leaf)] for leaf in leaves] if counts is None else counts
@@ -221,3 +236,62 @@ def count_edits(docs: DataFrame, edits: Column, ranks_path: str, id_column: str
     """
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"), edits.cast("array<struct<start:bigint,length:bigint,insert:string>>").alias("edits"))
     return rows.mapInArrow(_follow(ranks_path), "doc_id long, n_tokens long, n_edited long, n_chars_edited long, n_encoded_again long")
+
+
+_TREE = "doc_id long, text string, piece_chars array<int>, piece_tokens array<int>, n_tokens long"
+
+
+def _tree_rows(ids, trees: list[SegmentTree], again: list[int] | None = None) -> pa.RecordBatch:
+    """Trees as rows: the text and the size and tokens of each pre-token."""
+    ints = pa.list_(pa.int32())
+    columns = [
+        ids,
+        pa.array([t.text() for t in trees], pa.string()),
+        pa.array([[len(p) for leaf in t.leaves for p in leaf] for t in trees], ints),
+        pa.array([[n for own in t.counts for n in own] for t in trees], ints),
+        pa.array([t.total for t in trees], pa.int64()),
+    ]
+    names = ["doc_id", "text", "piece_chars", "piece_tokens", "n_tokens"]
+    if again is not None:
+        columns.append(pa.array(again, pa.int64()))
+        names.append("n_encoded_again")
+    return pa.RecordBatch.from_arrays(columns, names)
+
+
+def build_trees(docs: DataFrame, ranks_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per document to keep: doc_id, text, piece_chars, piece_tokens, n_tokens.
+
+    The rows hold the leaves of the segment tree; its sums follow from them.
+    """
+
+    def build(batches):
+        counter = _counter(ranks_path)
+        for batch in batches:
+            yield _tree_rows(batch["doc_id"], [SegmentTree(counter, t.as_py() or "") for t in batch["text"]])
+
+    return docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text")).mapInArrow(build, _TREE)
+
+
+def update_trees(trees: DataFrame, edits: DataFrame, ranks_path: str) -> DataFrame:
+    """The kept trees of the edited documents after their edits, with n_encoded_again.
+
+    ``edits`` has ``doc_id, seq, start, length, insert``; those of a document
+    apply in the order of ``seq``. Documents without edits are not returned:
+    their rows stay as they are kept.
+    """
+    listed = edits.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("seq", "start", "length", "insert"))).alias("edits"))
+
+    def update(batches):
+        counter = _counter(ranks_path)
+        for batch in batches:
+            states = (batch[c].to_pylist() for c in ("text", "piece_chars", "piece_tokens", "edits"))
+            made = []
+            for text, chars, counts, changes in zip(*states, strict=True):
+                tree = SegmentTree.stored(counter, text, chars, counts)
+                for edit in changes:
+                    tree.replace(edit["start"] or 0, edit["length"] or 0, edit["insert"] or "")
+                made.append(tree)
+            yield _tree_rows(batch["doc_id"], made, [t.encoded_chars for t in made])
+
+    joined = trees.join(listed, "doc_id").select("doc_id", "text", "piece_chars", "piece_tokens", "edits")
+    return joined.mapInArrow(update, f"{_TREE}, n_encoded_again long")

@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pulselake.llm import edit_counts
-from pulselake.llm.edit_counts import PretokenCounter, SegmentTree, count_edits
+from pulselake.llm.edit_counts import PretokenCounter, SegmentTree, build_trees, count_edits, update_trees
 from pulselake.llm.queries import op7_edit_token_counts, tokenizer_path
 from tests.llm.compare import SF_DIR
 from tests.llm.rows import awkward, awkward_docs, no_docs
@@ -81,3 +81,22 @@ def test_awkward_rows(spark):
     expected = [(d, whole(t or ""), whole(edited(t or "", 1, 0, "né w")) if (d or 0) % 2 == 0 else whole(t or "")) for d, t, *_ in awkward()]
     assert sorted(((r.doc_id, r.n_tokens, r.n_edited) for r in rows), key=str) == sorted(expected, key=str)
     assert count_edits(no_docs(spark), one, PATH).count() == 0
+
+
+def test_kept_trees_follow_later_edits(spark, folder):
+    docs = awkward_docs(spark).where("doc_id IS NOT NULL AND doc_id <> 8")
+    build_trees(docs, PATH).write.parquet(f"{folder}/trees")
+    trees = spark.read.parquet(f"{folder}/trees")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert {r.doc_id: r.n_tokens for r in trees.collect()} == {d: whole(t) for d, t in texts.items()}
+    edits = [(5, 2, 10, 4, "again "), (5, 1, 1000, 0, " first"), (1, 1, 0, 0, "was null"), (2, 1, 3, 3, None), (99, 1, 0, 0, "no such")]
+    table = spark.createDataFrame(edits, "doc_id long, seq int, start long, length long, insert string")
+    changed = update_trees(trees, table, PATH)
+    found = {r.doc_id: r for r in changed.collect()}
+    expected = {5: edited(edited(texts[5], 1000, 0, " first"), 10, 4, "again "), 1: "was null", 2: ""}
+    assert {d: r.text for d, r in found.items()} == expected
+    assert {d: r.n_tokens for d, r in found.items()} == {d: whole(t) for d, t in expected.items()}
+    assert found[5].n_encoded_again < 200
+    # Updated rows are trees again.
+    more = update_trees(changed.drop("n_encoded_again"), table.where("doc_id = 1"), PATH).first()
+    assert (more.text, more.n_tokens) == ("was nullwas null", whole("was nullwas null"))
