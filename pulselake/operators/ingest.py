@@ -31,6 +31,7 @@ from pulselake.specs import (
 HOURLY_SOURCE = "fitbit_csv"
 DAILY_SOURCE = "fitbit_daily_csv"
 INTRADAY_SOURCE = "synthetic_intraday"
+INTRADAY_TOPICS = (HEART_RATE_INTRADAY, HRV_INTRADAY, BREATHING_INTRADAY)
 
 
 def _cell(present: Collection[str], name: str) -> Column:
@@ -152,8 +153,9 @@ def daily_events(rows: DataFrame, ingest_time: Column | None = None,
 
 
 def intraday_events(readings: DataFrame, *, bpm: Column, rmssd: Column, breaths: Column,
-                    emitted: Column, trace_id: Column, ingest_time: Column | None = None) -> DataFrame:
-    """Continuous readings -> three intraday events per row.
+                    emitted: Column, trace_id: Column, ingest_time: Column | None = None,
+                    specs: Sequence[TopicSpec] = INTRADAY_TOPICS) -> DataFrame:
+    """Continuous readings -> an intraday event per row and topic, of all three topics by default.
 
     ``readings`` needs ``user_id``, ``event_date`` and ``event_hour``. The event
     timestamp is the emission time to the second, ``source_timestamp`` keeps
@@ -170,9 +172,8 @@ def intraday_events(readings: DataFrame, *, bpm: Column, rmssd: Column, breaths:
         trace_id.alias("trace_id"),
         F.lit(INTRADAY_SOURCE).alias("source"),
     ]
-    specs = (HEART_RATE_INTRADAY, HRV_INTRADAY, BREATHING_INTRADAY)
+    values = dict(zip(INTRADAY_TOPICS, (bpm, rmssd, breaths)))
     payloads = {
-        spec.name: F.struct(F.round(finite(value), 3).alias(spec.metrics[0].key))
-        for spec, value in zip(specs, (bpm, rmssd, breaths))
+        spec.name: F.struct(F.round(finite(values[spec]), 3).alias(spec.metrics[0].key)) for spec in specs
     }
     return _documents(readings, specs, envelope, F.col("user_id"), payloads, ingest_time)

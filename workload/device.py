@@ -9,13 +9,15 @@ rows and every tie rule decides some groups.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulselake.operators.envelope import to_bronze
-from pulselake.operators.ingest import DAILY_SOURCE, HOURLY_SOURCE, export_events, intraday_events
+from pulselake.operators.ingest import DAILY_SOURCE, HOURLY_SOURCE, INTRADAY_TOPICS, export_events, intraday_events
 from pulselake.operators.refine import refine
-from pulselake.specs import DAILY_TOPICS, HOURLY_TOPICS, PROFILE, TOPICS
+from pulselake.specs import DAILY_TOPICS, HOURLY_TOPICS, PROFILE, TOPICS, TopicSpec
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -138,7 +140,8 @@ def profile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def intraday_transport(spark: SparkSession, sf_dir: str, untraced: bool = False) -> DataFrame:
+def intraday_transport(spark: SparkSession, sf_dir: str, untraced: bool = False,
+                       specs: Sequence[TopicSpec] = INTRADAY_TOPICS) -> DataFrame:
     """The continuous readings as transport rows; ``untraced`` leaves a third without a trace id."""
     readings = _events(spark, sf_dir).select(
         F.col("user_id").cast("string").alias("user_id"),
@@ -158,6 +161,7 @@ def intraday_transport(spark: SparkSession, sf_dir: str, untraced: bool = False)
         emitted=F.col("emitted"),
         trace_id=F.when(F.lit(not untraced) | (k % 3 != 0), F.lpad(F.col("event_id").cast("string"), 32, "0")),
         ingest_time=F.timestamp_micros(F.unix_micros("emitted") + k * 10000),
+        specs=specs,
     )
 
 
@@ -165,7 +169,7 @@ def transport(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Transport rows of one topic."""
     spec = TOPICS[name]
     if spec.intraday:
-        return intraday_transport(spark, sf_dir).filter(F.col("topic") == spec.topic)
+        return intraday_transport(spark, sf_dir, specs=[spec])
     if spec is PROFILE:
         rows, source, hourly = profile_rows(spark, sf_dir), HOURLY_SOURCE, True
     elif spec in HOURLY_TOPICS:
