@@ -82,4 +82,44 @@ SELECT d.doc_id, CASE WHEN coalesce(d.text, '') = '' THEN 0 ELSE length(d.text)
 FROM documents d LEFT JOIN grouped g ON d.doc_id = g.doc_id
 """
 
-ORACLES: dict[str, str] = {"op5_source_mixing": _MIXING, "op10_license_scan": _LICENSES}
+_SUBSTRINGS = rf"""
+WITH split AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '{_WORD}'), []) AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM split)
+), later AS (
+  SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, i) > 1
+), gone AS (
+  SELECT doc_id, list(DISTINCT i + j) AS places FROM later, range(20) r(j) GROUP BY doc_id
+)
+SELECT s.doc_id, len(w)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(list_filter(w, lambda x, p: NOT coalesce(list_contains(places, p), false)), ' ')) AS kept_sha256
+FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id
+"""
+
+_VECTORS = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (
+  SELECT a, min(b) AS b FROM reach GROUP BY a
+), degree AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(l.b, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(l.b, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN degree d ON e.vec_id = d.a LEFT JOIN least l ON e.vec_id = l.a
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_substring_dedup": _SUBSTRINGS,
+    "op4_vector_dedup": _VECTORS,
+    "op5_source_mixing": _MIXING,
+    "op10_license_scan": _LICENSES,
+}
