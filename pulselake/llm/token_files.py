@@ -32,17 +32,18 @@ _ROWS = 64  # documents per Arrow batch of ids
 
 def _encoder(path: str, end: int):
     schema = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("part", pa.int32())])
-    last = np.array([end], "<u4").tobytes()
+    last = np.array([end], "<u4")
 
     def encode(batches):
         tokenizer = word_tokenizer(path)
         for batch in batches:
             for first in range(0, len(batch), _ROWS):
                 rows = batch.slice(first, _ROWS)
-                found = [(tokenizer.ids(t.as_buffer().to_pybytes()) if t.is_valid else b"") + last for t in rows["text"]]
-                counts = np.array([len(x) // 4 for x in found], np.int64)
+                texts = rows["text"].cast(pa.binary()).to_pylist()
+                found = [x for t in texts for x in (tokenizer.ids(t or b""), last)]
+                counts = np.array([*map(len, found[::2])], np.int64) + 1
                 offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), "<i4")))
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found).view(np.int32)))
                 yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["tie"], pa.array(counts), ids, rows["part"]], schema=schema)
 
     return encode

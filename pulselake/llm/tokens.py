@@ -8,12 +8,37 @@ bounded memo of its words' ids.
 from __future__ import annotations
 
 import os
+from array import array
 
 import numpy as np
 
-_KEPT = 400_000  # words a worker remembers
-_LONGEST = 48  # longer words are encoded each time
+_KEPT = 350_000  # words in the newer half of a worker's memo; the older has as many
+_LONGEST = 40  # longer words are encoded each time
 _CLOSING = b".,;:!?"
+# Byte-level symbols: printable bytes stand for themselves, the others for the
+# characters from U+0100 on, in order.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_SYMBOLS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
+class Memo(dict):
+    """The most recent entries: when the newer half is full, it replaces the older."""
+
+    def __init__(self):
+        self.older: dict = {}
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is not None:
+            self.keep(key, found)
+        return found
+
+    def keep(self, key, value) -> None:
+        if len(key) <= _LONGEST:
+            if len(self) >= _KEPT:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
 
 
 class WordTokenizer:
@@ -21,61 +46,55 @@ class WordTokenizer:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.words: dict[bytes, bytes] = {}
-        self.stems: dict[bytes, bytes] = {}
+        self.merge = self.tokenizer.model.tokenize
+        # Ids are kept in as few bytes as the vocabulary needs.
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.words, self.stems = Memo(), Memo()
         self.closing = {bytes([c]): self._whole(bytes([c])) for c in _CLOSING}
 
     def _whole(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return array(self.code, self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
 
     def _stem(self, stem: str) -> bytes | None:
-        """Ids of a run of letters by the merges directly; None if it is not one."""
-        if not stem.isascii():
-            stem = self.tokenizer.normalizer.normalize_str(stem)
-            # Letters of these blocks are letters to any version of Unicode.
-            if not stem.isalpha() or max(stem) >= "\u0250":
-                return None
-            stem = self.bytes.pre_tokenize_str(stem)[0][0]
-        elif stem.isalpha():
-            stem = stem.lower()
-        else:
+        """Ids of a run of letters by the merges directly; None if it is not one.
+
+        Only letters up to U+024F, which any version of Unicode has as letters,
+        in composed form, and lowers alike.
+        """
+        if not stem.isalpha():
             return None
-        ids = self.stems.get(stem)
+        plain = stem.isascii()
+        stem = stem.lower()
+        ids = self.stems[stem]
         if ids is None:
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(stem)], "<u4").tobytes()
-            if len(stem) <= _LONGEST:
-                if len(self.stems) >= _KEPT:
-                    self.stems.clear()
-                self.stems[stem] = ids
+            symbols = stem
+            if not plain:
+                if max(stem) >= "\u0250" or not stem.isalpha():
+                    return None
+                symbols = stem.encode().decode("latin-1").translate(_BYTE_SYMBOLS)
+            ids = array(self.code, [t.id for t in self.merge(symbols)]).tobytes()
+            self.stems.keep(stem, ids)
         return ids
 
     def _new(self, word: bytes) -> bytes:
-        """Ids of a word not remembered."""
-        stem, end = (word[:-1], self.closing[word[-1:]]) if word[-1:] in self.closing else (word, b"")
-        found = self._stem(stem.decode("utf-8", "replace")) if stem else None
-        return self._whole(word) if found is None else found + end
-
-    def ids(self, text: bytes) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit integers."""
-        parts = []
+        """Ids of a word not remembered: a run of letters, perhaps with a closing mark, or anything else."""
+        end = self.closing.get(word[-1:])
+        found = self._stem((word if end is None else word[:-1]).decode("utf-8", "replace"))
+        found = self._whole(word) if found is None else found if end is None else found + end
+        self.words.keep(word, found)
+        return found
+
+    def ids(self, text: bytes) -> np.ndarray:
+        """Ids of a text as unsigned 32-bit integers."""
         words = text.split()
-        remember = self.words.get
-        for word in words:
-            found = remember(word)
-            if found is None:
-                found = self._new(word)
-                if len(word) <= _LONGEST:
-                    if len(self.words) >= _KEPT:
-                        self.words.clear()
-                        remember = self.words.get
-                    self.words[word] = found
-            parts.append(found)
-        return b"".join(parts)
+        parts = [*map(self.words.get, words)]
+        if None in parts:
+            remember, new = self.words.__getitem__, self._new
+            parts = [p if p is not None else remember(w) or new(w) for p, w in zip(parts, words, strict=True)]
+        return np.frombuffer(b"".join(parts), f"={self.code}").astype("<u4")
 
 
 _LOADED: dict[str, WordTokenizer] = {}
