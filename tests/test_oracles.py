@@ -1,12 +1,13 @@
-"""Every registered query against its SQL, on whole tables."""
+"""Every query of the lake against its SQL, on whole tables."""
 
 import pytest
 
 import __spark_entry__ as entry_points
 from tests.compare import SF_DIR, connect, differences
+from workload.oracles import oracles
+from workload.queries import QUERIES
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+SQL = oracles()
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +30,8 @@ def test_without_sql(name, spark):
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+    assert set(QUERIES) <= set(entry_points.queries())
 
 
 def test_entry(spark):
