@@ -81,7 +81,9 @@ def with_next(docs: DataFrame, id_column: str, text_column: str, share: int = 4)
     follows = follows.withColumn("then", F.coalesce("then", "after")).select(
         "okey", "tie", "doc_id", "repeats", "n_chars", F.col("then.okey").alias("next_okey"), F.col("then.tie").alias("next_tie")
     )
-    texts = rows.select("okey", "tie", "text")
+    one = Window.partitionBy("okey", "tie").orderBy(F.lit(1))
+    # Both joins below read this one placement of the texts.
+    texts = rows.select("okey", "tie", "text").withColumn("n", F.row_number().over(one)).where("n = 1").drop("n")
     asked = follows.select(
         F.col("next_okey").alias("okey"), F.col("next_tie").alias("tie"), F.col("okey").alias("of_okey"), F.col("tie").alias("of_tie"),
         F.floor(F.col("n_chars") / share).cast("int").alias("length"),
@@ -89,10 +91,7 @@ def with_next(docs: DataFrame, id_column: str, text_column: str, share: int = 4)
     given = texts.join(asked.hint("merge"), ["okey", "tie"]).select(
         F.col("of_okey").alias("okey"), F.col("of_tie").alias("tie"), F.substring("text", F.lit(1), F.col("length")).alias("prefix")
     )
-    one = Window.partitionBy("okey", "tie").orderBy(F.lit(1))
-    given = given.withColumn("n", F.row_number().over(one)).where("n = 1").drop("n")
-    whole = texts.withColumn("n", F.row_number().over(one)).where("n = 1").drop("n")
-    return whole.join(follows.hint("merge"), ["okey", "tie"]).join(given.hint("merge"), ["okey", "tie"])
+    return texts.join(follows.hint("merge"), ["okey", "tie"]).join(given.hint("merge"), ["okey", "tie"])
 
 
 def fingerprints(texts: DataFrame, key_columns: list[str], kinds: dict[str, Column]) -> DataFrame:
