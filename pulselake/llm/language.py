@@ -32,6 +32,7 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 _LONGEST = 5
 _KEPT = 200_000  # memory bound of a worker's memo of unseen words
 _CHUNK = 100_000
+_DRAWS = 1 << 30
 
 
 @dataclass
@@ -125,12 +126,18 @@ def fit(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(label_column).alias("label")
     ).where("id IS NOT NULL AND label IS NOT NULL")
     top = keyed.groupBy("label").count().orderBy(F.desc("count"), "label").limit(languages)
-    names = sorted(r["label"] for r in top.collect())
+    counts = {r["label"]: r["count"] for r in top.collect()}
+    names = sorted(counts)
     if not names:
         return LanguageModel([], np.zeros((0, 0)), {}, [{} for _ in range(_LONGEST)])
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
+    # Hashes below a bound that leaves somewhat more than enough of each label, so
+    # that the ranking gets as few rows of a frequent label as of any other.
+    draw = F.pmod(F.xxhash64("id"), F.lit(_DRAWS))
+    bounds = F.create_map(*(F.lit(x) for name in names for x in (name, int(_DRAWS * min(1.0, (1.5 * rows + 500) / counts[name])))))
+    order = Window.partitionBy("label").orderBy("draw", "id")
     chosen = (
-        keyed.where(F.col("label").isin(names)).select("label", "id")
+        keyed.where(F.col("label").isin(names)).select("label", "id", draw.alias("draw"))
+        .where(F.col("draw") <= bounds[F.col("label")])
         .withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows).select("label", "id").distinct()
     )
     # At most rows x languages ids: a size fixed by the parameters.
