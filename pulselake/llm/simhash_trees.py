@@ -134,19 +134,22 @@ class Forest:
 
 
 def spanning(left: np.ndarray, right: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """Labels after joining the pairs: the least label of each connected set."""
+    """Labels after joining the pairs: the least label of each connected set.
+
+    ``label`` is the identity or the result of an earlier call, whose links stay.
+    """
+    label = label.copy()
     while True:
-        least = np.minimum(label[left], label[right])
-        before = label.copy()
-        np.minimum.at(label, left, least)
-        np.minimum.at(label, right, least)
+        # Roots are joined, not members, so whatever hangs on a root comes along.
+        a, b = label[left], label[right]
+        differ = a != b
+        if not differ.any():
+            return label
+        left, right, a, b = left[differ], right[differ], a[differ], b[differ]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
         # Follow the labels, which are positions of members themselves.
         while not np.array_equal(step := label[label], label):
             label = step
-        low = np.minimum(before, label)
-        np.minimum.at(label, before, low)
-        if np.array_equal(label[left], label[right]):
-            return label
 
 
 def _linked(radius: int):

@@ -67,6 +67,20 @@ def test_spanning_labels():
     assert spanning(left, right, np.arange(200)).tolist() == [expected[i] for i in range(200)]
 
 
+def test_spanning_goes_on_from_earlier_labels():
+    label = spanning(np.array([3, 4]), np.array([2, 2]), np.arange(5))
+    assert spanning(np.array([3, 4]), np.array([0, 1]), label).tolist() == [0] * 5
+    rng = np.random.default_rng(5)
+    for size in (20, 300):
+        label, pairs = np.arange(size), []
+        for _ in range(8):
+            left, right = rng.integers(0, size, (2, size // 10))
+            pairs += zip(left.tolist(), right.tolist(), strict=True)
+            label = spanning(left, right, label)
+            expected = plain_components(range(size), pairs)
+            assert label.tolist() == [expected[i] for i in range(size)]
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(400, 460)] + [(7, 7), (500, 3), (3, 500)]
