@@ -63,10 +63,21 @@ class Bucket:
         self.data = b" ".join(texts)
         self.starts, self.ends = word_spans(self.data)
         offsets = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        self.offsets = offsets
         self.first = np.searchsorted(self.starts, offsets)  # of each row, and the end
         self.first[-1] = len(self.starts)
         self.row_of = np.repeat(np.arange(len(texts)), np.diff(self.first))
 
+    def without(self, row: int, spans: list[int]) -> bytes | None:
+        """The text of a row, white space and all, less the spans of words and the white space after each."""
+        if not self.rows["text"][row].is_valid:
+            return None
+        pieces, at, end, low = [], self.offsets[row], self.offsets[row + 1] - 1, self.first[row]
+        for begin, stop in zip(spans[::2], spans[1::2], strict=True):
+            pieces.append(self.data[at : self.starts[low + begin]])
+            at = self.starts[low + stop] if low + stop < self.first[row + 1] else self.ends[low + stop - 1]
+        return b"".join([*pieces, self.data[at:end]])
+
 
 class Windows(Bucket):
     """A bucket with its windows and their keys: the shard number, then 28 bits."""
@@ -225,7 +236,7 @@ def _removal(width: int, schema: pa.Schema):
         np.add.at(edges, removed, 1)
         np.add.at(edges, np.minimum(removed + width, len(bucket.starts)), -1)
         stays = np.cumsum(edges[:-1]) == 0
-        texts, spans = [], []
+        texts, spans, cut = [], [], []
         for row in range(len(bucket.rows)):
             low, high = bucket.first[row], bucket.first[row + 1]
             own = stays[low:high]
@@ -235,6 +246,8 @@ def _removal(width: int, schema: pa.Schema):
             texts.append(b" ".join(words))
             change = np.flatnonzero(np.diff(np.concatenate(([1], own, [1])).astype(np.int8)))
             spans.append(change.tolist())
+            if "cut_text" in schema.names:
+                cut.append(bucket.without(row, spans[-1]))
         lengths = np.diff(bucket.first)
         gone = lengths - np.add.reduceat(np.append(stays, 0).astype(np.int64), bucket.first[:-1]) * (lengths > 0)
         out = {
@@ -244,6 +257,8 @@ def _removal(width: int, schema: pa.Schema):
             "n_removed": pa.array(gone, pa.int64()),
             "removed_spans": pa.array(spans, pa.list_(pa.int32())),
         }
+        if "cut_text" in schema.names:
+            out["cut_text"] = pa.array(cut, pa.binary()).view(pa.string())
         if "rest" in schema.names:
             out["rest"] = bucket.rows["rest"]
         return pa.table([pa.chunked_array([c]) if isinstance(c, pa.Array) else c for c in out.values()], schema=schema)
@@ -252,12 +267,13 @@ def _removal(width: int, schema: pa.Schema):
 
 
 def remove_repeats(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 20, carry: tuple[str, ...] = ()
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 20, carry: tuple[str, ...] = (), cut: bool = False
 ) -> DataFrame:
-    """Per row: doc_id, kept_text, n_words, n_removed, removed_spans and, with ``carry``, rest.
+    """Per row: doc_id, kept_text, n_words, n_removed, removed_spans and, with ``cut`` and ``carry``, cut_text and rest.
 
     ``removed_spans`` lists the word offsets at which removal begins and ends,
-    in turn; ``rest`` is a struct of the columns named in ``carry``.
+    in turn; ``cut_text`` is the text without them, its other white space as it
+    was; ``rest`` is a struct of the columns named in ``carry``.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
@@ -279,6 +295,8 @@ def remove_repeats(
     )
     answers = found.groupBy("shard").applyInArrow(_winners, "bucket long, suspects binary, kept binary")
     kinds = [("doc_id", "bigint"), ("kept_text", "string"), ("n_words", "bigint"), ("n_removed", "bigint"), ("removed_spans", "array<int>")]
+    if cut:
+        kinds.append(("cut_text", "string"))
     if carry:
         kinds.append(("rest", dealt.schema["rest"].dataType.simpleString()))
     result = ", ".join(f"{name} {kind}" for name, kind in kinds)

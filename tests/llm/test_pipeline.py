@@ -33,3 +33,12 @@ def test_whole_run(spark):
     assert {r.doc_id for r in rows.select("doc_id").collect()} <= {r.doc_id for r in kept.select("doc_id").collect()}
     again = corpus_pipeline.run(spark, SF_DIR)
     assert sorted(map(str, rows.collect())) == sorted(map(str, again.collect()))
+
+
+def test_substring_stage_keeps_white_space(spark):
+    passage = "\n".join(f"p{i}" for i in range(25))
+    texts = ["\tclean  text\n\n  indented\n", None, passage, f" Größe\n\n{passage}\n\n  after  it\n", f"start\n  {passage}\n"]
+    docs = spark.createDataFrame([(i, t, None if t is None else len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars int")
+    out = {r.doc_id: r for r in corpus_pipeline.substring_dedup(spark, docs, SF_DIR).collect()}
+    assert [out[i].text for i in range(5)] == [*texts[:3], " Größe\n\nafter  it\n", "start\n  \n"]
+    assert all(r.text is None or r.n_chars == len(r.text) for r in out.values())
