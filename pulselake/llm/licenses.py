@@ -1,7 +1,7 @@
 """License scans: canonical digests of entire texts, joined to known digests.
 
-A unit of text is brought to canonical form: lower case, copyright lines
-dropped, runs of punctuation and white space as one space, equivalent spellings
+A unit of text is brought to canonical form: lower case, copyright
+statements dropped, runs of punctuation and white space as one space, equivalent spellings
 as one. Its digest is hash-joined to the digests of known licences, so a unit
 matches only as a whole. Units are the entire document and each of its lines,
 since notices are single lines of longer documents.
@@ -80,7 +80,11 @@ SPELLINGS = {
     "whilst": "while", "noncommercial": "non commercial", "non infringement": "noninfringement", "per cent": "percent",
 }
 PUNCTUATION = r"[^\p{L}\p{N}\n]+"
+# The SQL form still uses this one.
 COPYRIGHT_LINE = r"(?m)^ ?(?:(?:c ?)?(?:copyright|copr|c [0-9]{4})\b.*|all rights reserved ?)$"
+#: A copyright statement on a line of its own: the word, then a year or an owner. Running text goes on with other words, wherever it is wrapped.
+_RUNNING = r"(?:holders?|owners?|notices?|interests?|laws?|licenses?|statements?|and|or|is|in|to|of|for)\b"
+STATEMENT_LINE = rf"(?m)^ ?(?:(?:c ?)?(?:(?:copyright|copr) (?!{_RUNNING})[^\s].*|c [0-9]{{4}}\b.*)|all rights reserved ?)$"
 _OWNED = r"copyright|copr|c [0-9]{4}|all rights reserved"
 _VARIANTS = rf"\b(?:{'|'.join(SPELLINGS)})\b"
 
@@ -103,7 +107,7 @@ def canonical_lines(rows: DataFrame, column: str) -> DataFrame:
     """
     plain = F.regexp_replace(F.lower(F.replace(column, F.lit("©"), F.lit("(c) "))), PUNCTUATION, " ")
     rows = rows.withColumn(column, plain)
-    return rows.withColumn(column, F.when(F.rlike(column, F.lit(_OWNED)), F.regexp_replace(column, COPYRIGHT_LINE, "")).otherwise(F.col(column)))
+    return rows.withColumn(column, F.when(F.rlike(column, F.lit(_OWNED)), F.regexp_replace(column, STATEMENT_LINE, "")).otherwise(F.col(column)))
 
 
 def digests(rows: DataFrame, column: str) -> DataFrame:

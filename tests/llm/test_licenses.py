@@ -1,3 +1,5 @@
+import textwrap
+
 from pulselake.llm.licenses import TEXTS, known_digests, known_texts, scan
 from tests.llm.compare import SF_DIR
 from tests.llm.rows import awkward, awkward_docs, no_docs
@@ -59,3 +61,10 @@ def test_known_digests_are_distinct_and_few(spark):
 def test_main_path_is_native(spark):
     plan = scan(spark.read.parquet(f"{SF_DIR}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_texts_in_any_wrap(spark):
+    cases = [(name, f"Copyright (c) 2021, Some One\n(c) 2019 Another\nCopyright The Authors\n\n{body}")
+             for name, text in TEXTS.items() for body in (*(textwrap.fill(text, w) for w in range(40, 131, 6)), " ".join(text.split()))]
+    rows = found(spark, [text for _, text in cases])
+    assert [rows[i].whole_license for i in range(len(cases))] == [name for name, _ in cases]
