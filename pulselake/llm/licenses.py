@@ -79,6 +79,58 @@ SPELLINGS = {
     "favour": "favor", "fulfil": "fulfill", "judgement": "judgment", "organisation": "organization", "recognised": "recognized",
     "whilst": "while", "noncommercial": "non commercial", "non infringement": "noninfringement", "per cent": "percent",
 }
+_REDISTRIBUTION = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+the following conditions are met:
+{0}Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+{1}Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+_ENDORSEMENT = """{2}Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission.
+"""
+_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR
+PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT,
+INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS
+OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_NUMBERED, _PLAIN = ("1. ", "2. ", "3. "), ("", "", "")
+# Entire texts and headers that the SQL form does not know.
+MORE_TEXTS = [
+    *(("BSD-2-Clause", (_REDISTRIBUTION + _DISCLAIMER).format(*n)) for n in (_NUMBERED, _PLAIN)),
+    *(("BSD-3-Clause", (_REDISTRIBUTION + _ENDORSEMENT + _DISCLAIMER).format(*n)) for n in (_NUMBERED, _PLAIN)),
+    ("Unlicense", """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or
+as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the
+detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of
+all present and future rights to this software under copyright law.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE
+LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
+OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    *(("Apache-2.0", f"""Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
+compliance with the License. You may obtain a copy of the License at {scheme}://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an
+"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
+language governing permissions and limitations under the License.""") for scheme in ("http", "https")),
+]
+MORE_TEXTS.append(("Unlicense", MORE_TEXTS[4][1] + "\nFor more information, please refer to <https://unlicense.org>"))
+MORE_TEXTS.append(("Unlicense", MORE_TEXTS[4][1] + "\nFor more information, please refer to <http://unlicense.org>"))
+# Title lines above entire texts.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License"),
+    "Unlicense": ("The Unlicense", "Unlicense"),
+}
+# Names in notices that the SQL form does not know.
+MORE_NAMES = {"Zlib": ("zlib", "zlib/libpng")}
 PUNCTUATION = r"[^\p{L}\p{N}\n]+"
 # The SQL form still uses this one.
 COPYRIGHT_LINE = r"(?m)^ ?(?:(?:c ?)?(?:copyright|copr|c [0-9]{4})\b.*|all rights reserved ?)$"
@@ -90,7 +142,7 @@ _VARIANTS = rf"\b(?:{'|'.join(SPELLINGS)})\b"
 
 
 def known_texts() -> list[tuple[str, str]]:
-    """``(licence id, text)`` of all texts and notices."""
+    """``(licence id, text)`` of the texts and notices that the SQL form knows."""
     names = {k: list(v) for k, v in NAMES.items()}
     for part in CC_PARTS:
         for version in CC_VERSIONS:
@@ -99,6 +151,14 @@ def known_texts() -> list[tuple[str, str]]:
     return list(TEXTS.items()) + notices
 
 
+def all_texts() -> list[tuple[str, str]]:
+    """``(licence id, text)`` of all texts, with and without a title line, and notices."""
+    whole = [*TEXTS.items(), *MORE_TEXTS]
+    titled = [(k, f"{title}\n{text}") for k, text in whole for title in TITLES.get(k, ())]
+    notices = [(k, n.format(name=name, id=k)) for k, v in MORE_NAMES.items() for name in v for n in NOTICES]
+    return known_texts() + MORE_TEXTS + titled + notices
+
+
 def canonical_lines(rows: DataFrame, column: str) -> DataFrame:
     """Bring a text column to canonical form, but for spellings, with its line breaks kept.
 
@@ -121,7 +181,7 @@ def digests(rows: DataFrame, column: str) -> DataFrame:
 
 def known_digests(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
     """``(license, digest)``, one row per digest."""
-    given = spark.createDataFrame(known_texts() if texts is None else texts, "license string, text string")
+    given = spark.createDataFrame(all_texts() if texts is None else texts, "license string, text string")
     known = digests(canonical_lines(given, "text"), "text").withColumnRenamed("text", "digest")
     return known.groupBy("digest").agg(F.min("license").alias("license"))
 

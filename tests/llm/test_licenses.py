@@ -1,6 +1,6 @@
 import textwrap
 
-from pulselake.llm.licenses import TEXTS, known_digests, known_texts, scan
+from pulselake.llm.licenses import MORE_TEXTS, TEXTS, TITLES, all_texts, known_digests, known_texts, scan
 from tests.llm.compare import SF_DIR
 from tests.llm.rows import awkward, awkward_docs, no_docs
 
@@ -65,6 +65,15 @@ def test_main_path_is_native(spark):
 
 def test_texts_in_any_wrap(spark):
     cases = [(name, f"Copyright (c) 2021, Some One\n(c) 2019 Another\nCopyright The Authors\n\n{body}")
-             for name, text in TEXTS.items() for body in (*(textwrap.fill(text, w) for w in range(40, 131, 6)), " ".join(text.split()))]
+             for name, text in (*TEXTS.items(), *MORE_TEXTS) for body in (*(textwrap.fill(text, w, break_long_words=False) for w in range(40, 131, 6)), " ".join(text.split()))]
     rows = found(spark, [text for _, text in cases])
     assert [rows[i].whole_license for i in range(len(cases))] == [name for name, _ in cases]
+
+
+def test_texts_below_their_title_and_zlib_notices(spark):
+    cases = [(name, f"{title}\n\nCopyright (c) 2021, Some One. All rights reserved.\n\n{text}") for name, text in (*TEXTS.items(), *MORE_TEXTS) for title in TITLES.get(name, ())]
+    cases += [("Zlib", "Released under the zlib License"), ("Zlib", "SPDX-License-Identifier: Zlib")]
+    assert {name for name, _ in cases} == {"MIT", "ISC", "Zlib", "BSD-2-Clause", "BSD-3-Clause", "Unlicense"}
+    rows = found(spark, [text for _, text in cases])
+    assert [rows[i].whole_license for i in range(len(cases))] == [name for name, _ in cases]
+    assert len(all_texts()) < 2000
