@@ -117,9 +117,93 @@ SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(l
 FROM embeddings e LEFT JOIN degree d ON e.vec_id = d.a LEFT JOIN least l ON e.vec_id = l.a
 """
 
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII column, four bits at a time."""
+    table = []
+    for entry in range(16):
+        for _ in range(4):
+            entry = entry >> 1 ^ (0xEDB88320 if entry & 1 else 0)
+        table.append(f"{entry}::UBIGINT")
+    step = lambda x: f"xor({x} >> 4, [{', '.join(table)}][({x} & 15)::BIGINT + 1])"
+    codes = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::UBIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {codes}), lambda c, b: {step(step('xor(c, b)'))}), 4294967295::UBIGINT)"
+
+
+def _edit(state: str, cost: str, mark: str, line: str | None = None) -> str:
+    text = f"{state}.t" if line is None else f"list_append({state}.t, {line})"
+    return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'e': {state}.e || '{mark}', 't': {text}}} END"
+
+
+def _keep(state: str, initial: str) -> str:
+    return f"CASE WHEN NOT r.gone AND r.initial = '{initial}' THEN {_edit(state, 'r.late', 'K', 'r.line')} END"
+
+
+def _change(state: str, role: str) -> str:
+    return f"CASE WHEN NOT r.gone THEN {_edit(state, '2 + r.late', 'R', f"'{role}:' || r.text")} END"
+
+
+def _closed(rows: str) -> str:
+    """Each state with the turns inserted that lead to it cheapest."""
+    users = ", ".join(_edit(s, "2", "I", "'user:'") for s in "nsa")
+    return f"""
+  SELECT conv_id, i, n, s, u, least(a, {_edit("u", "2", "I", "'assistant:'")}) AS a FROM (
+    SELECT conv_id, i, n, s, least(u, {users}) AS u, a FROM ({rows}))"""
+
+
+def _repair() -> str:
+    """Least edits by the four states of the role order: nothing yet, after ``s``, after ``u``, after ``a``."""
+    to_user = ", ".join(way for s in ("p.n", "p.s", "p.a") for way in (_keep(s, "u"), _change(s, "user")))
+    gone = {s: _edit(f"p.{s}", "3", "D") for s in "nsua"}
+    nothing = "NULL::STRUCT(c BIGINT, e VARCHAR, t VARCHAR[])"
+    start = "{'c': 0::BIGINT, 'e': '', 't': []::VARCHAR[]}"
+    begin = _closed(f"SELECT conv_id, 0::BIGINT AS i, {start} AS n, {nothing} AS s, {nothing} AS u, {nothing} AS a FROM conversations GROUP BY conv_id")
+    go_on = _closed(f"""
+    SELECT p.conv_id, r.i, {gone["n"]} AS n, least({gone["s"]}, {_keep("p.n", "s")}) AS s, least({gone["u"]}, {to_user}) AS u,
+           least({gone["a"]}, {_keep("p.u", "a")}, {_change("p.u", "assistant")}) AS a
+    FROM parse p JOIN judged r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i + 1""")
+    code = _crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")
+    return rf"""
+WITH RECURSIVE coded AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {code} % 20 AS code FROM conversations
+), spoilt AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+         CASE code WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE code WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM coded
+), told AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         CASE WHEN role = '' THEN ' ' ELSE substr(role, 1, 1) END AS initial,
+         regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS body
+  FROM spoilt
+), judged AS (
+  SELECT conv_id, i, turn, initial, text, role || ':' || text AS line, body = '' AS blank, body <> '' AND nth > 1 AS repeated,
+         body <> '' AND nth = 1 AND right(body, 1) NOT IN ('.', '!', '?') AS truncated,
+         body = '' OR nth > 1 AS gone, CASE WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS late,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS step
+  FROM told
+), parse AS ({begin}
+  UNION ALL {go_on}
+), counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (repeated) AS duplicate, count(*) FILTER (truncated) AS truncated,
+         count(*) FILTER (step NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id
+), best AS (
+  SELECT p.conv_id, least(p.n, p.a) AS found, c.* EXCLUDE (conv_id, n)
+  FROM parse p LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM p.conv_id WHERE p.i = coalesce(c.n, 0)
+)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, found.c::BIGINT AS cost, found.e AS audit,
+       sha256(array_to_string(found.t, chr(10))) AS repaired_sha256
+FROM best
+"""
+
+
 ORACLES: dict[str, str] = {
     "op2_substring_dedup": _SUBSTRINGS,
     "op4_vector_dedup": _VECTORS,
     "op5_source_mixing": _MIXING,
     "op10_license_scan": _LICENSES,
+    "op11_turn_repair": _repair(),
 }

@@ -15,6 +15,7 @@ from pulselake.llm import (
     simhash_trees,
     substrings,
     token_files,
+    turn_repair,
     vector_blocks,
 )
 from pulselake.sources.workspace import fresh_folder
@@ -107,6 +108,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents")).drop("matches")
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, least edits and digest of every conversation, after a quarter of the rows was spoilt."""
+    return turn_repair.repair(turn_repair.damaged(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_substring_dedup": op2_substring_dedup,
@@ -118,4 +124,5 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_license_scan": op10_license_scan,
+    "op11_turn_repair": op11_turn_repair,
 }

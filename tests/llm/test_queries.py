@@ -20,5 +20,5 @@ def test_same_rows_as_sql(name, spark):
     assert left == right and left
 
 
-def test_ten_operators_are_registered():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+def test_operators_are_registered():
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, len(QUERIES) + 1)]
