@@ -10,6 +10,7 @@ from pulselake.llm import (
     fingerprints,
     language,
     licenses,
+    merge_replay,
     mixing,
     packing,
     simhash_trees,
@@ -113,6 +114,14 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.repair(turn_repair.damaged(_table(spark, sf_dir, "conversations")))
 
 
+def op13_merge_replay(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) -> DataFrame:
+    """Byte-level ids of every document, and the bytes they stand for."""
+    path = ranks_path or tokenizer_path("byte_bpe_50k.tiktoken")
+    both = merge_replay.decode(merge_replay.encode(_table(spark, sf_dir, "documents"), path), path)
+    ids = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256)
+    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_substring_dedup": op2_substring_dedup,
@@ -125,4 +134,5 @@ QUERIES = {
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_license_scan": op10_license_scan,
     "op11_turn_repair": op11_turn_repair,
+    "op13_merge_replay": op13_merge_replay,
 }
