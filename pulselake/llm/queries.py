@@ -16,6 +16,7 @@ from pulselake.llm import (
     simhash_trees,
     substrings,
     token_files,
+    token_groups,
     turn_repair,
     vector_blocks,
 )
@@ -114,6 +115,12 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.repair(turn_repair.damaged(_table(spark, sf_dir, "conversations")))
 
 
+def op12_token_groups(spark: SparkSession, sf_dir: str, path_a: str | None = None, path_b: str | None = None) -> DataFrame:
+    """Groups and links of the tokens of two tokenizers in every document, by the counts of the linked ids in all."""
+    docs = _table(spark, sf_dir, "documents")
+    return token_groups.summaries(docs, path_a or tokenizer_path("byte_bpe_50k.json"), path_b or tokenizer_path("piece_bpe_32k.model"))
+
+
 def op13_merge_replay(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) -> DataFrame:
     """Byte-level ids of every document, and the bytes they stand for."""
     path = ranks_path or tokenizer_path("byte_bpe_50k.tiktoken")
@@ -134,5 +141,6 @@ QUERIES = {
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_license_scan": op10_license_scan,
     "op11_turn_repair": op11_turn_repair,
+    "op12_token_groups": op12_token_groups,
     "op13_merge_replay": op13_merge_replay,
 }
