@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pulselake.llm.edit_counts import PATTERN
 from pulselake.llm.text_units import Numbering, dealt, least_kind, pack, pack_words, stretches, text_bytes, unpack, unpack_words
 
-_BUCKET_BYTES = 24_000_000
+_BUCKET_BYTES = 12_000_000
 _SHARD_BYTES = 64_000_000
 _NONE = np.iinfo(np.int32).max  # rank of a pair that does not merge
 
@@ -213,8 +213,8 @@ def _answers(path: str, pattern: str):
     return answer
 
 
-def _assembled(path: str, pattern: str, shards: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+def _assembled(path: str, pattern: str, shards: int, decoded: bool):
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), *([("decoded", pa.binary())] if decoded else [])])
 
     def assemble(docs, answers):
         if not len(docs):
@@ -229,16 +229,23 @@ def _assembled(path: str, pattern: str, shards: int):
             flat.append(unpack(packed[shard][1], least_kind(vocabulary.width)))
             size += len(flat[-1])
         known = np.concatenate([*flat, np.zeros(0, np.int32)]).astype(np.int32)
-        found = [known[stretches(starts[own], counts[own])] for own in texts]
-        ends = np.cumsum([0, *map(len, found)])
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found)))
-        return pa.Table.from_arrays([docs["doc_id"].combine_chunks(), lists], schema=schema)
+        sizes = [int(counts[own].sum()) for own in texts]
+        ends = np.cumsum([0, *sizes])
+        ids = np.empty(ends[-1], np.int32)
+        for own, first, end in zip(texts, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            ids[first:end] = known[stretches(starts[own], counts[own])]
+        columns = [docs["doc_id"].combine_chunks(), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))]
+        if decoded:
+            columns.append(pa.array((vocabulary.decoded(ids[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)), pa.binary()))
+        return pa.Table.from_arrays(columns, schema=schema)
 
     return assemble
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str = PATTERN, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, ids`` of every row, without special tokens."""
+def encode(
+    docs: DataFrame, ranks_path: str, pattern: str = PATTERN, id_column: str = "doc_id", text_column: str = "text", decoded: bool = False
+) -> DataFrame:
+    """``doc_id, ids`` of every row, without special tokens; with ``decoded`` also the bytes that these ids stand for."""
     size = text_bytes(docs, text_column)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets, shards = max(partitions, -(-size // _BUCKET_BYTES)), max(8, -(-size // _SHARD_BYTES))
@@ -246,7 +253,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str = PATTERN, id_column:
     questions = rows.groupBy("bucket").applyInArrow(_questions(ranks_path, pattern, shards), "bucket long, shard long, words binary, lengths binary")
     answers = questions.groupBy("shard").applyInArrow(_answers(ranks_path, pattern), "bucket long, shard long, counts binary, ids binary")
     texts, replies = rows.groupBy("bucket"), answers.groupBy("bucket")
-    return texts.cogroup(replies).applyInArrow(_assembled(ranks_path, pattern, shards), "doc_id long, ids array<int>")
+    result = "doc_id long, ids array<int>" + ", decoded binary" * decoded
+    return texts.cogroup(replies).applyInArrow(_assembled(ranks_path, pattern, shards, decoded), result)
 
 
 def _decoded(path: str, place: int):

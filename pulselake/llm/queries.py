@@ -124,7 +124,7 @@ def op12_token_groups(spark: SparkSession, sf_dir: str, path_a: str | None = Non
 def op13_merge_replay(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) -> DataFrame:
     """Byte-level ids of every document, and the bytes they stand for."""
     path = ranks_path or tokenizer_path("byte_bpe_50k.tiktoken")
-    both = merge_replay.decode(merge_replay.encode(_table(spark, sf_dir, "documents"), path), path)
+    both = merge_replay.encode(_table(spark, sf_dir, "documents"), path, decoded=True)
     ids = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256)
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
