@@ -33,23 +33,37 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections import namedtuple
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulselake.llm import edit_counts
 from pulselake.llm.text_units import Numbering, dealt, ends_unit, pack, stretches, text_bytes, units, unpack
-from pulselake.llm.tokens import _BYTE_SYMBOLS
+from pulselake.llm.tokens import _BYTE_SYMBOLS, Memo
 from pulselake.sources.workspace import settle
 
 _CHUNK = 32_768
 _FAN_IN = 16
-_BUCKET_BYTES = 24_000_000
+_BUCKET_BYTES = 12_000_000
 _SHARD_BYTES = 64_000_000
 _LAST = 2**62
+_AT_ONCE = 4096  # words handed to a library in one call
+_COMMON = "\u0250"  # characters below are letters or not in any version of Unicode
+_CUT = regex.compile(edit_counts._CUT).findall
+
+
+Ids = namedtuple("Ids", "counts flat")
+
+
+def _as_ids(lists: list[array]) -> Ids:
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return Ids(counts, np.frombuffer(b"".join(lists), np.uint32).astype(np.int64))
 
 
 class TokenizerPair:
@@ -59,9 +73,14 @@ class TokenizerPair:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
+        ahead = self.a.pre_tokenizer
+        # Known to cut by the usual pattern and to change nothing, so words can be put together from their pre-tokens.
+        self.plain = self.a.normalizer is None and repr(ahead) == repr(ByteLevel(add_prefix_space=False))
+        self.memo = Memo()
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         byte_of = {chr(symbol): byte for byte, symbol in _BYTE_SYMBOLS.items()}
         entries = {i: token for token, i in self.a.get_vocab(with_added_tokens=False).items()}
@@ -71,6 +90,8 @@ class TokenizerPair:
         if any(re.search("[^▁]▁|\n", p) for p in pieces):
             raise ValueError("pieces that reach across a space or line feed are not supported")
         self.ahead = len(self.b.encode("\n"))
+        # Each byte has a symbol of its own, so nothing can be lost on this side.
+        self.lossless = self.plain and set(byte_of) | {chr(b) for b in range(256) if b not in _BYTE_SYMBOLS} <= set(entries.values())
         bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.width = len(bytes_b)
         self.bytes = {}
@@ -80,11 +101,34 @@ class TokenizerPair:
         names = lambda n, mark: np.array([b"%d%s" % (i, mark) for i in range(n)], object)
         self.names = {(side, mark): names(n, mark) for side, n, marks in (("a", len(bytes_a), b",|"), ("b", self.width, b",;")) for mark in (marks[:1], marks[1:])}
 
-    def ids_a(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.a.encode_batch(words, add_special_tokens=False)]
-
-    def ids_b(self, words: list[str]) -> list[list[int]]:
-        return [ids[self.ahead :] for ids in self.b.encode(["\n" + w for w in words], num_threads=1)]
+    def ids_a(self, words: list[str]) -> Ids:
+        """Ids by the byte-level BPE: words of common letters from remembered pre-tokens, others by the library as they are."""
+        lists: list = [None] * len(words)
+        others = []
+        for i, word in enumerate(words):
+            if self.plain and (word.isascii() or max(word) < _COMMON):
+                lists[i] = own = array("I")
+                for piece in _CUT(word):
+                    found = self.memo[piece]
+                    if found is None:
+                        symbols = piece.encode().decode("latin-1").translate(_BYTE_SYMBOLS)
+                        found = array("I", [t.id for t in self.a.model.tokenize(symbols)])
+                        self.memo.keep(piece, found)
+                    own += found
+            else:
+                others.append(i)
+        for first in range(0, len(others), _AT_ONCE):
+            own = others[first : first + _AT_ONCE]
+            for i, found in zip(own, self.a.encode_batch([words[i] for i in own], add_special_tokens=False), strict=True):
+                lists[i] = array("I", found.ids)
+        return _as_ids(lists)
+
+    def ids_b(self, words: list[str]) -> Ids:
+        lists: list = []
+        for first in range(0, len(words), _AT_ONCE):
+            found = self.b.encode(["\n" + w for w in words[first : first + _AT_ONCE]], num_threads=1)
+            lists += [array("I", ids[self.ahead :]) for ids in found]
+        return _as_ids(lists)
 
     def spelled(self, side: str, ids: np.ndarray) -> np.ndarray:
         starts, lengths, flat = self.bytes[side]
@@ -101,14 +145,6 @@ def tokenizer_pair(path_a: str, path_b: str) -> TokenizerPair:
     return _LOADED[path_a, path_b]
 
 
-Ids = namedtuple("Ids", "counts flat")
-
-
-def _as_ids(lists: list[list[int]]) -> Ids:
-    counts = np.fromiter(map(len, lists), np.int64, len(lists))
-    return Ids(counts, np.fromiter((i for own in lists for i in own), np.int64, int(counts.sum())))
-
-
 def _differs(pair: TokenizerPair, side: str, ids: Ids, words: list[str]) -> np.ndarray:
     """Which words are not the bytes of their ids."""
     data = [w.encode() for w in words]
@@ -193,7 +229,8 @@ def opened(text: str) -> tuple[Fragment, str]:
 def _unlike(pair: TokenizerPair, text: str) -> bool:
     """Whether a tokenizer does not give a closed text back."""
     words = list(set(units(text)))
-    return any(_differs(pair, side, _as_ids(ids(words)), words).any() for side, ids in (("a", pair.ids_a), ("b", pair.ids_b))) if words else False
+    sides = [("b", pair.ids_b)] if pair.lossless else [("a", pair.ids_a), ("b", pair.ids_b)]
+    return any(_differs(pair, side, ids(words), words).any() for side, ids in sides) if words else False
 
 
 def _chunks(batches):
@@ -301,7 +338,7 @@ def _questions(path_a: str, path_b: str, shards: int):
     def ask(key, table):
         pair, bucket = tokenizer_pair(path_a, path_b), key[0].as_py()
         words, texts = _numbered(table)
-        a, b = _as_ids(pair.ids_a(words)), _as_ids(pair.ids_b(words))
+        a, b = pair.ids_a(words), pair.ids_b(words)
         groups = Groups(pair, words, a, b)
         good = [own for own in texts if not groups.bad[own].any()]
         times = np.bincount(np.concatenate([*good, np.zeros(0, np.int32)]), minlength=len(words))
