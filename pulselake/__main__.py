@@ -18,7 +18,7 @@ from pulselake.plans.silver import run_silver
 from pulselake.session import lake_session
 from pulselake.sources.jdbc import publish_all
 from pulselake.sources.lake import Lake
-from pulselake.streaming.bronze import start_bronze
+from pulselake.streaming.bronze import clear_bronze, compact_bronze, start_bronze
 
 
 def parser() -> argparse.ArgumentParser:
@@ -29,6 +29,10 @@ def parser() -> argparse.ArgumentParser:
     ingest.add_argument("path")
     bronze = jobs.add_parser("bronze", help="land topics in Bronze until stopped")
     bronze.add_argument("--drain", action="store_true", help="work off the backlog and stop")
+    compact = jobs.add_parser("compact", help="rewrite landed batches of closed dates into few files")
+    compact.add_argument("before", help="first date that is still open")
+    compact.add_argument("--whole", action="store_true", help="rewrite what was rewritten before, too")
+    jobs.add_parser("clear", help="delete batches that were rewritten; no reader may be older than the last compact")
     for name in ("silver", "run"):
         job = jobs.add_parser(name, help="Bronze to Silver" if name == "silver" else "all stages after Bronze")
         job.add_argument("--after-batch", type=int)
@@ -67,6 +71,10 @@ def main(arguments: list[str] | None = None, lake: Lake | None = None):
             report = chosen.path
         case "bronze":
             report = start_bronze(lake.spark, lake.config, drain=chosen.drain).awaitTermination()
+        case "compact":
+            report = compact_bronze(lake, chosen.before, whole=chosen.whole)
+        case "clear":
+            report = clear_bronze(lake)
         case "silver":
             report = run_silver(lake, **silver_options)
         case "run":

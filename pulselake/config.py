@@ -11,8 +11,8 @@ from collections.abc import Mapping
 class LakeConfig:
     """Where the layers live and how they are written.
 
-    ``table_format`` is any partitioned Spark format; ``"delta"`` works where
-    its jar is on the class path, ``"parquet"`` works everywhere.
+    ``table_format`` is a partitioned file format, ``"parquet"`` or ``"orc"``;
+    what makes the files tables is kept in small records beside them.
     """
 
     root: str

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulselake.operators import daily, spine
-from pulselake.plans.silver import in_batches
 from pulselake.sources.lake import GOLD, SILVER, Lake, within_dates
+from pulselake.sources.seals import in_batches
 from pulselake.sources.workspace import settle
 from pulselake.specs import PROFILE, TOPICS
 
@@ -98,8 +98,10 @@ def build_gold(source: GoldInput, name: str) -> bool:
     if rows is None:
         log.info("%s: no input, skipped", name)
         return False
-    write = source.lake.overwrite if source.whole else source.lake.overwrite_dates
-    write(audited(rows), GOLD, name)
+    if source.whole:
+        source.lake.overwrite(audited(rows), GOLD, name)
+    else:
+        source.lake.overwrite_dates(audited(rows), name)
     return True
 
 
@@ -122,7 +124,7 @@ def changed_dates(lake: Lake) -> tuple[DataFrame, dict[str, dict[str, int]]]:
         fresh = {s: n for s, n in batches.items() if n > done.get(s, -1)}
         if not fresh:
             continue
-        rows = lake.read_bronze(name).filter(in_batches(done, fresh))
+        rows = lake.read_bronze(name, upto=batches).filter(in_batches(done, fresh))
         if name == PROFILE.name:
             users = rows.select("user_id").distinct()
             tables = [lake.read(SILVER, n) for n in TOPICS if n != name]

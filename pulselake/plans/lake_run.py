@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from pulselake.operators.anomaly import TooFewWindows
+from pulselake.operators.quality import table_counts
 from pulselake.plans.gold import BUILDERS, run_gold
 from pulselake.plans.insights import NoInsightInput, run_insights
 from pulselake.plans.silver import run_silver
@@ -26,10 +28,13 @@ class LayerMissing(RuntimeError):
 
 
 def layer_presence(lake: Lake, layer: str) -> DataFrame:
-    """One row per expected table: whether it exists and its row count."""
+    """One row per expected table: whether it exists and its row count, counted in one job."""
     found = {name: lake.read(layer, name) for name in LAYER_TABLES[layer]}
-    rows = [(name, df is not None, None if df is None else df.count()) for name, df in found.items()]
-    return lake.spark.createDataFrame(rows, "table_name string, table_exists boolean, n bigint")
+    there = {name: table for name, table in found.items() if table is not None}
+    absent = lake.spark.createDataFrame([(name, False, None) for name in found if name not in there], "table_name string, table_exists boolean, n bigint")
+    if not there:
+        return absent
+    return table_counts(there).select("table_name", F.lit(True).alias("table_exists"), "n").unionByName(absent)
 
 
 def require_layer(lake: Lake, layer: str) -> None:

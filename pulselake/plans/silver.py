@@ -3,24 +3,15 @@
 from __future__ import annotations
 
 import logging
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from pulselake.operators.refine import refine
 from pulselake.sources.lake import SILVER, Lake
+from pulselake.sources.seals import in_batches
 from pulselake.specs import TOPICS, TopicSpec
 
 log = logging.getLogger(__name__)
 
 
-def in_batches(after: dict[str, int], upto: dict[str, int]) -> Column:
-    """Rows of the batches beyond ``after``, up to ``upto``, stream by stream."""
-    spans = [(F.col("stream_id") == s) & F.col("batch_id").between(after.get(s, -1) + 1, n) for s, n in upto.items()]
-    return reduce(Column.__or__, spans, F.lit(False))
-
-
 def refine_topic(lake: Lake, spec: TopicSpec, *, after_batch: int | None = None, new_only: bool = False,
                  append_only_intraday: bool = False) -> bool:
     """Bring one Silver table up to date; False when its Bronze is missing.
@@ -28,16 +19,17 @@ def refine_topic(lake: Lake, spec: TopicSpec, *, after_batch: int | None = None,
     ``new_only`` reads the batches that landed since the last run, for every
     stream, so that a daily run reads a day and not the whole history. Without
     it all of Bronze is read, as every key already stored is skipped anyway.
-    Either way the run is recorded; batches that land during it belong to the
-    next one. ``after_batch`` reads newer batches only and records nothing.
+    Either way the run is recorded. The sealed batches are listed first and
+    only those are read, so a batch that lands meanwhile, or is half there,
+    belongs to the next run. ``after_batch`` reads newer batches only and records nothing.
     ``append_only_intraday`` appends intraday deliveries without looking at
     stored rows.
     """
-    bronze = lake.read_bronze(spec.name, after_batch)
+    newest = lake.newest_batches(spec.name)
+    bronze = lake.read_bronze(spec.name, after_batch, newest)
     if bronze is None:
         log.info("%s: no Bronze table, skipped", spec.name)
         return False
-    newest = lake.newest_batches(spec.name)
     if after_batch is None:
         done = lake.refined_batches(spec.name) if new_only else {}
         if all(n <= done.get(s, -1) for s, n in newest.items()):

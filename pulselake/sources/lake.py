@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +12,14 @@ from pyspark.sql.types import StructType
 
 from pulselake.config import LakeConfig
 from pulselake.operators.refine import not_stored
+from pulselake.sources.seals import Generations, Seals, in_batches
+from pulselake.sources.versions import Versions
 from pulselake.specs import BRONZE_SCHEMA
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
 _PROGRESS = "name string, stream_id string, batch_id long"
-_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND", "DELTA_PATH_DOES_NOT_EXIST")
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def read_if_exists(spark: SparkSession, table_format: str, path: str, schema: StructType | str | None = None,
@@ -49,17 +52,20 @@ class Lake:
     def __init__(self, spark: SparkSession, config: LakeConfig):
         self.spark = spark
         self.config = config
+        self.seals = Seals(spark, config)
+        self.generations = Generations(spark, config)
+        self.gold = Versions(spark, config.layer(GOLD), self._read_folder)
+
+    def _read_folder(self, path: str) -> DataFrame | None:
+        table = read_if_exists(self.spark, self.config.table_format, path)
+        # A table whose only dates are missing would be inferred as text.
+        return None if table is None else table.withColumn("event_date", F.col("event_date").cast("date"))
 
     def read(self, layer: str, name: str) -> DataFrame | None:
         """The stored table, or None if it does not exist."""
-        path = self.config.table(layer, name)
         if layer == BRONZE:
             return self.read_bronze(name)
-        table = read_if_exists(self.spark, self.config.table_format, path)
-        if table is None:
-            return None
-        # A table whose only dates are missing would be inferred as text.
-        return table.withColumn("event_date", F.col("event_date").cast("date"))
+        return self.gold.read(name) if layer == GOLD else self._read_folder(self.config.table(layer, name))
 
     def require(self, layer: str, name: str) -> DataFrame:
         table = self.read(layer, name)
@@ -67,39 +73,53 @@ class Lake:
             raise FileNotFoundError(f"{layer} table {name} does not exist")
         return table
 
-    def read_bronze(self, name: str, after_batch: int | None = None) -> DataFrame | None:
-        """Raw rows of one topic, optionally only batches after a given one.
+    def read_bronze(self, name: str, after_batch: int | None = None, upto: dict[str, int] | None = None) -> DataFrame | None:
+        """Raw rows of one topic in sealed batches, optionally only those after a given one.
 
-        The schema is declared, so dates stay text; topic and batch are
-        partition columns and prune the file listing.
+        ``upto`` names the last batch of each stream to read; without it, that
+        is what is sealed now. Rows come from the generations that hold them and
+        otherwise from the batches. The schema is declared, so dates stay text;
+        topic, and stream and batch outside generations, are partition columns
+        and prune the file listing.
         """
-        root = self.config.layer(BRONZE)
-        rows = read_if_exists(self.spark, self.config.table_format, f"{root}/topic={name}", BRONZE_SCHEMA,
-                              basePath=root)
-        if rows is None:
+        upto = self.newest_batches(name) if upto is None else upto
+        live = self.generations.live()
+        parts = [rows.filter(~live.holds()) for rows in [self.read_batches(name)] if rows is not None]
+        for generation in live.names:
+            folder = self.generations.folder(generation)
+            rows = read_if_exists(self.spark, self.config.table_format, f"{folder}/topic={name}", BRONZE_SCHEMA, basePath=folder)
+            parts += [] if rows is None else [rows]
+        if not parts or not upto:
             return None
+        rows = reduce(DataFrame.unionByName, parts).filter(in_batches({}, upto))
         return rows if after_batch is None else rows.filter(F.col("batch_id") > after_batch)
 
+    def read_batches(self, name: str | None = None) -> DataFrame | None:
+        """Rows as they landed, of one topic or of all, whether sealed or rewritten or not."""
+        root = self.config.layer(BRONZE)
+        return read_if_exists(
+            self.spark, self.config.table_format, root if name is None else f"{root}/topic={name}", BRONZE_SCHEMA, basePath=root
+        )
+
     def append(self, rows: DataFrame, layer: str, name: str) -> None:
         self._write(rows, layer, name, "append")
 
     def overwrite(self, rows: DataFrame, layer: str, name: str) -> None:
-        """Replace the table, schema included."""
-        self._write(rows, layer, name, "overwrite")
+        """Replace the table, schema included; a Gold table at once, when all is written."""
+        if layer == GOLD:
+            self.gold.replace(name, lambda folder: self._save(rows, folder, "overwrite"))
+        else:
+            self._write(rows, layer, name, "overwrite")
 
-    def overwrite_dates(self, rows: DataFrame, layer: str, name: str) -> None:
-        """Replace the dates that ``rows`` contain and keep all others."""
-        self._write(rows, layer, name, "overwrite", partitions="dynamic")
+    def overwrite_dates(self, rows: DataFrame, name: str) -> None:
+        """Replace the dates of a Gold table that ``rows`` contain, at once, and keep all others."""
+        self.gold.replace_dates(name, lambda folder: self._save(rows, folder, "overwrite"))
+        if self.gold.crowded(name):
+            self.overwrite(self.require(GOLD, name), GOLD, name)
 
     def newest_batches(self, name: str) -> dict[str, int]:
-        """Highest batch of each stream in Bronze; reads the partition columns only.
-
-        There is one stream per checkpoint that ever landed rows.
-        """
-        bronze = self.read_bronze(name)
-        if bronze is None:
-            return {}
-        return {r["stream_id"]: r["n"] for r in bronze.groupBy("stream_id").agg(F.max("batch_id").alias("n")).collect()}
+        """Highest sealed batch of each stream with rows of the topic."""
+        return self.seals.newest(name)
 
     def refined_batches(self, name: str) -> dict[str, int]:
         """Highest batch of each stream recorded as refined."""
@@ -129,17 +149,11 @@ class Lake:
             stored = within_dates(stored, dates)
         self.append(not_stored(rows, stored, tuple(keys)), layer, name)
 
-    def _write(self, rows: DataFrame, layer: str, name: str, mode: str, partitions: str = "static") -> None:
-        whole = mode == "overwrite" and partitions == "static"
-        (
-            by_date(rows)
-            .write.format(self.config.table_format)
-            .mode(mode)
-            .option("overwriteSchema", str(whole).lower())
-            .option("partitionOverwriteMode", partitions)
-            .partitionBy("event_date")
-            .save(self.config.table(layer, name))
-        )
+    def _write(self, rows: DataFrame, layer: str, name: str, mode: str) -> None:
+        self._save(rows, self.config.table(layer, name), mode)
+
+    def _save(self, rows: DataFrame, folder: str, mode: str) -> None:
+        by_date(rows).write.format(self.config.table_format).mode(mode).partitionBy("event_date").save(folder)
 
 
 def within_dates(stored: DataFrame, dates: DataFrame) -> DataFrame:
