@@ -6,9 +6,15 @@ knows none of them, into the next shorter, and so on. The language with the
 best mean over the words wins.
 
 The model is fitted on a bounded sample: at most ``rows`` labelled documents of
-each of the ``languages`` most frequent labels, chosen by a hash of the id. It
-holds at most ``words`` words and, for each n-gram length, ``grams`` n-grams of
-each language, which bounds what is broadcast.
+each label and at most about ``most_rows`` of all, chosen by a hash of the id.
+It knows every word and n-gram of the sample in every label, however rare. It
+is stored sparse, one number per word and language that has it, built in one
+task and handed to the workers as compressed bytes, so it grows with the text
+of the sample and not with words times languages; the driver never unpacks it.
+
+A word is a letter and the letters and marks after it. The score is the share
+of the best language in the evidence of the words, of which at most
+``_EVIDENCE`` count, so that it does not saturate on long texts.
 
 Defined results: null texts and texts without letters give ``und`` and score
 0; so does every text if nothing is labelled. Ties go to the label that comes
@@ -18,71 +24,144 @@ Repeated rows are scored alike; other columns are never looked at.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import regex
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulselake.llm.text_units import stretches
+
 UNKNOWN = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+# The letters below U+0250, where there are no marks.
+_COMMON_LETTERS = re.compile("[A-Za-zªµºÀ-ÖØ-öø-ɏ]+")
 _LONGEST = 5
+_EVIDENCE = 20
 _KEPT = 200_000  # memory bound of a worker's memo of unseen words
+_CELLS = 4_000_000
 _CHUNK = 100_000
 _DRAWS = 1 << 30
 
 
+def words_of(text: str | None) -> list[str]:
+    """The words of a text, in lower case."""
+    text = (text or "").lower()
+    return (_COMMON_LETTERS if text.isascii() or max(text) < "\u0250" else _LETTERS).findall(text)
+
+
+@dataclass(frozen=True)
+class Weights:
+    """Log frequencies of words or n-grams: ``base`` holds for all, ``extra`` is added per language that has one."""
+
+    rows: dict[str, int]
+    base: np.ndarray
+    ends: np.ndarray
+    columns: np.ndarray
+    extra: np.ndarray
+
+    @classmethod
+    def counted(cls, items: list[str], columns: np.ndarray, counts: np.ndarray, languages: int) -> Weights:
+        """From one count per item and language, in the order of the items."""
+        new = [a != b for a, b in zip(items, [None, *items[:-1]], strict=True)]
+        rows = {w: n for n, w in enumerate(w for w, first in zip(items, new, strict=True) if first)}
+        totals = np.bincount(columns, counts, languages)
+        starts = np.flatnonzero(new)
+        return cls(rows, np.log(0.5 / (totals + 0.5 * len(rows) + 1)), np.append(starts[1:], len(items)), columns, np.log(2 * counts + 1))
+
+    def total(self, rows: np.ndarray) -> np.ndarray:
+        """Sum over items, by language."""
+        starts = np.append(0, self.ends)[rows]
+        at = stretches(starts, self.ends[rows] - starts)
+        return len(rows) * self.base + np.bincount(self.columns[at], self.extra[at], len(self.base))
+
+
 @dataclass
 class LanguageModel:
-    """Log frequencies: a row of ``table`` per word or n-gram, a column per language."""
+    """Weights of words and of n-grams by length, packed; unpacked where they are first used."""
 
     languages: list[str]
-    table: np.ndarray
-    words: dict[str, int]
-    grams: list[dict[str, int]]
+    data: bytes
     memo: dict[str, int] = field(default_factory=dict, repr=False)
     extra: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)), repr=False)
 
+    @classmethod
+    def packed(cls, languages: list[str], weights: list[Weights]) -> LanguageModel:
+        return cls(languages, zstandard.compress(pickle.dumps(weights), 3))
+
+    def __getstate__(self):
+        return {"languages": self.languages, "data": self.data, "memo": {}, "extra": np.zeros((0, 0))}
+
+    @cached_property
+    def weights(self) -> list[Weights]:
+        """Of words, then of n-grams of one character, two, and so on."""
+        return pickle.loads(zstandard.decompress(self.data)) if self.data else []
+
+    @property
+    def words(self) -> dict[str, int]:
+        return self.weights[0].rows
+
+    @property
+    def grams(self) -> list[dict[str, int]]:
+        """N-grams by length; their numbers are rows of ``table``."""
+        firsts = np.cumsum([len(w.rows) for w in self.weights])
+        return [{g: int(first) + n for g, n in w.rows.items()} for first, w in zip(firsts, self.weights[1:], strict=False)]
+
+    @property
+    def table(self) -> np.ndarray:
+        """All weights as one dense table, for inspection of small models."""
+        return np.concatenate([np.stack([w.total(np.array([n])) for n in range(len(w.rows))]) for w in self.weights if w.rows])
+
     def backed_off(self, word: str) -> np.ndarray:
         """Scores of an unseen word: the mean of its longest known n-grams."""
         marked = f"<{word}>"
         for length in range(min(_LONGEST, len(marked)), 0, -1):
-            known = self.grams[length - 1]
+            known = self.weights[length].rows
             rows = [known[g] for g in (marked[i : i + length] for i in range(len(marked) - length + 1)) if g in known]
             if rows:
-                return self.table[rows].mean(axis=0)
+                return self.weights[length].total(np.array(rows)) / len(rows)
         return np.zeros(len(self.languages))
 
     def total(self, words: list[str]) -> np.ndarray:
         """Sum of the scores of at most ``_CHUNK`` words."""
         rows = [*map(self.words.get, words)]
-        seen = np.fromiter((r for r in rows if r is not None), np.int64)
+        total = self.weights[0].total(np.fromiter((r for r in rows if r is not None), np.int64))
         new = [w for w, r in zip(words, rows, strict=True) if r is None]
-        total = self.table[seen].sum(axis=0)
         if not new:
             return total
+        kept = max(1, min(_KEPT, _CELLS // len(self.languages)))
+        for first in range(0, len(new), kept):
+            total = total + self._unseen(new[first : first + kept], kept)
+        return total
+
+    def _unseen(self, new: list[str], kept: int) -> np.ndarray:
         if not len(self.extra):
-            self.extra = np.empty((_KEPT, len(self.languages)))
+            self.extra = np.empty((kept, len(self.languages)))
         missing = set(new).difference(self.memo)
-        if len(self.memo) + len(missing) > _KEPT:
+        if len(self.memo) + len(missing) > len(self.extra):
             self.memo.clear()
             missing = set(new)
         for word in missing:
             self.memo[word] = at = len(self.memo)
             self.extra[at] = self.backed_off(word)
-        return total + self.extra[[*map(self.memo.__getitem__, new)]].sum(axis=0)
+        return self.extra[[*map(self.memo.__getitem__, new)]].sum(axis=0)
 
     def score(self, text: str | None) -> tuple[str, float]:
         """The best language and its share of the evidence, 0 to 1."""
-        words = _LETTERS.findall(text.lower()) if text else []
+        words = words_of(text)
         if not words or not self.languages:
             return UNKNOWN, 0.0
         mean = sum(self.total(words[i : i + _CHUNK]) for i in range(0, len(words), _CHUNK)) / len(words)
         best = int(np.argmax(mean))
-        weight = np.exp((mean - mean[best]) * min(len(words), 20))
+        weight = np.exp((mean - mean[best]) * min(len(words), _EVIDENCE))
         return self.languages[best], float(1 / weight.sum())
 
 
@@ -92,7 +171,7 @@ def _word_counts(batches):
         counts: dict[str, Counter] = {}
         for label, text in zip(batch["label"], batch["text"], strict=True):
             if text:
-                counts.setdefault(label, Counter()).update(_LETTERS.findall(text.lower()))
+                counts.setdefault(label, Counter()).update(words_of(text))
         yield pd.DataFrame(
             [(label, word, n) for label, found in counts.items() for word, n in found.items()],
             columns=["label", "word", "n"],
@@ -111,66 +190,61 @@ def _gram_counts(batches):
         yield pd.DataFrame([(*key, n) for key, n in counts.items()], columns=["label", "length", "gram", "n"])
 
 
+def _model(names: list[str]):
+    """Put all counts together; rows come by length (0 for words) and item."""
+
+    def build(batches):
+        columns = {name: i for i, name in enumerate(names)}
+        kept = [([], [], []) for _ in range(_LONGEST + 1)]
+        for batch in batches:
+            for label, length, item, n in zip(*(batch[c].to_pylist() for c in ("label", "length", "item", "n")), strict=True):
+                items, places, counts = kept[length]
+                items.append(item)
+                places.append(columns[label])
+                counts.append(n)
+        weights = [Weights.counted(items, np.array(places, np.int64), np.array(counts, np.int64), len(names)) for items, places, counts in kept]
+        yield pa.RecordBatch.from_pylist([{"model": LanguageModel.packed(names, weights).data}], pa.schema([("model", pa.binary())]))
+
+    return build
+
+
 def fit(
     labelled: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "lang",
     rows: int = 3000,
-    languages: int = 64,
-    words: int = 40_000,
-    grams: int = 4_000,
+    most_rows: int = 200_000,
 ) -> LanguageModel:
     """Fit a model on the labelled rows; the docstring of the module states the bounds."""
     keyed = labelled.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(label_column).alias("label")
     ).where("id IS NOT NULL AND label IS NOT NULL")
-    top = keyed.groupBy("label").count().orderBy(F.desc("count"), "label").limit(languages)
-    counts = {r["label"]: r["count"] for r in top.collect()}
+    counts = {r["label"]: r["count"] for r in keyed.groupBy("label").count().collect()}  # one row per label
     names = sorted(counts)
     if not names:
-        return LanguageModel([], np.zeros((0, 0)), {}, [{} for _ in range(_LONGEST)])
+        return LanguageModel([], b"")
+    rows = max(1, min(rows, most_rows // len(names)))
     # Hashes below a bound that leaves somewhat more than enough of each label, so
     # that the ranking gets as few rows of a frequent label as of any other.
     draw = F.pmod(F.xxhash64("id"), F.lit(_DRAWS))
-    bounds = F.create_map(*(F.lit(x) for name in names for x in (name, int(_DRAWS * min(1.0, (1.5 * rows + 500) / counts[name])))))
+    bounds = labelled.sparkSession.createDataFrame(
+        [(name, int(_DRAWS * min(1.0, (1.5 * rows + 500) / n))) for name, n in counts.items()], "label string, bound long"
+    )
     order = Window.partitionBy("label").orderBy("draw", "id")
     chosen = (
-        keyed.where(F.col("label").isin(names)).select("label", "id", draw.alias("draw"))
-        .where(F.col("draw") <= bounds[F.col("label")])
+        keyed.select("label", "id", draw.alias("draw")).join(F.broadcast(bounds), "label").where("draw <= bound")
         .withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows).select("label", "id").distinct()
     )
-    # At most rows x languages ids: a size fixed by the parameters.
+    # At most about most_rows ids: a size fixed by the parameters.
     sample = keyed.join(F.broadcast(chosen), ["label", "id"], "left_semi")
     counted = sample.select("label", "text").mapInPandas(_word_counts, "label string, word string, n long")
     counted = counted.groupBy("label", "word").agg(F.sum("n").alias("n"))
     pieces = counted.mapInPandas(_gram_counts, "label string, length int, gram string, n long")
     pieces = pieces.groupBy("label", "length", "gram").agg(F.sum("n").alias("n"))
-
-    def most(counts: DataFrame, keys: list[str], item: str, bound: int) -> list:
-        place = Window.partitionBy(*keys).orderBy(F.desc("n"), item)
-        total = Window.partitionBy(*keys)
-        ranked = counts.withColumn("all_n", F.sum("n").over(total)).withColumn("place", F.row_number().over(place))
-        return ranked.where(F.col("place") <= bound).select(*keys, item, "n", "all_n").collect()
-
-    column = {name: i for i, name in enumerate(names)}
-    table: list[np.ndarray] = []
-
-    def rows_of(found: list, item: str) -> dict[str, int]:
-        totals, counts = np.zeros(len(names)), {}
-        for r in found:
-            totals[column[r["label"]]] = r["all_n"]
-            counts.setdefault(r[item], np.zeros(len(names)))[column[r["label"]]] = r["n"]
-        index = {}
-        for name in sorted(counts):
-            index[name] = len(table)
-            table.append(np.log((counts[name] + 0.5) / (totals + 0.5 * len(counts) + 1)))
-        return index
-
-    known = rows_of(most(counted, ["label"], "word", words), "word")
-    found = most(pieces, ["label", "length"], "gram", grams)
-    by_length = [rows_of([r for r in found if r["length"] == k], "gram") for k in range(1, _LONGEST + 1)]
-    return LanguageModel(names, np.array(table).reshape(-1, len(names)), known, by_length)
+    both = counted.select("label", F.lit(0).alias("length"), F.col("word").alias("item"), "n").union(pieces.select("label", "length", "gram", "n"))
+    ordered = both.repartition(1).sortWithinPartitions("length", "item", "label")
+    return LanguageModel(names, bytes(ordered.mapInArrow(_model(names), "model binary").first()["model"]))
 
 
 def prediction(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> Column:
