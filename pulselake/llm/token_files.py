@@ -40,7 +40,7 @@ def _encoder(path: str, end: int):
             for first in range(0, len(batch), _ROWS):
                 rows = batch.slice(first, _ROWS)
                 texts = rows["text"].cast(pa.binary()).to_pylist()
-                found = [x for t in texts for x in (tokenizer.ids(t or b""), last)]
+                found = [x for own in tokenizer.ids_of([t or b"" for t in texts]) for x in (own, last)]
                 counts = np.array([*map(len, found[::2])], np.int64) + 1
                 offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found).view(np.int32)))

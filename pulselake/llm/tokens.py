@@ -2,19 +2,23 @@
 
 The word tokenizer drops white space, and no token spans it, so a text's ids
 are those of its words one after another. Words repeat, so each worker keeps a
-bounded memo of its words' ids.
+bounded memo of its words' ids. New words of a batch that are runs of common
+letters are encoded together by ``LetterMerges``, others by the library one by
+one.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from array import array
 
 import numpy as np
 
-_KEPT = 350_000  # words in the newer half of a worker's memo; the older has as many
+_KEPT = 500_000  # words in the newer half of a worker's memo; the older has as many
 _LONGEST = 40  # longer words are encoded each time
 _CLOSING = b".,;:!?"
+_COMMON = "\u0250"  # characters below are letters or not, and composed, in any version of Unicode
 # Byte-level symbols: printable bytes stand for themselves, the others for the
 # characters from U+0100 on, in order.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -41,6 +45,62 @@ class Memo(dict):
             self[key] = value
 
 
+class LetterMerges:
+    """The merges of a word tokenizer as ranks over bytes, by which many runs of letters are encoded in one call.
+
+    A space ends each word and merges first, into the last byte, which stands
+    for the symbol with the word end. The rank encoder merges any two tokens
+    that spell a token, the tokenizer only the two of its merge. Both do the
+    same if every token's own text merges to that token: as long as nothing
+    merged across the ends of a stretch, it has merged as it would alone, and
+    just before it is one token it is the two of the merge. ``of`` checks this.
+    """
+
+    def __init__(self, encoding, ids: np.ndarray, ends: np.ndarray):
+        self.encoding, self.ids, self.ends = encoding, ids, ends
+
+    @classmethod
+    def of(cls, tokenizer) -> LetterMerges | None:
+        """The merges of a tokenizer of this kind; None if it is not of this kind."""
+        model = json.loads(tokenizer.to_str())["model"]
+        suffix = model.get("end_of_word_suffix")
+        if not suffix or model.get("continuing_subword_prefix") or model.get("ignore_merges") or model.get("dropout"):
+            return None
+        bytes_of = {chr(_BYTE_SYMBOLS.get(b, b)): b for b in range(256)}
+        vocabulary, merges = model["vocab"], [tuple(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+        place = {pair: n for n, pair in enumerate(merges)}
+
+        def alone(token: str) -> list[str]:
+            parts = [*token.removesuffix(suffix)]
+            parts[-1] += suffix if token.endswith(suffix) else ""
+            while len(parts) > 1:
+                found, at = min((place.get(p, len(merges)), i) for i, p in enumerate(zip(parts[:-1], parts[1:], strict=True)))
+                if found == len(merges):
+                    break
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            return parts
+
+        tokens = [*bytes_of, *(s + suffix for s in bytes_of), *(a + b for a, b in merges)]
+        if not all(t in vocabulary for t in tokens) or len(set(tokens)) < len(tokens) or any(alone(a + b) != [a + b] for a, b in merges):
+            return None
+        spelled = [bytes(bytes_of[c] for c in t.removesuffix(suffix)) + b" " * t.endswith(suffix) for t in tokens]
+        # Single bytes come first, then those with the word end, then the merges; a space inside a word does not occur.
+        ranks = {s: n for n, s in enumerate(spelled) if n < 256 or s.find(b" ") in (-1, len(s) - 1)}
+        if len(ranks) < len(tokens) - 256:
+            return None
+        import tiktoken
+
+        encoding = tiktoken.Encoding("letters", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
+        return cls(encoding, np.array([vocabulary[t] for t in tokens]), np.array([t.endswith(suffix) for t in tokens]))
+
+    def encode(self, words: list[str], code: str) -> list[bytes]:
+        """Ids of each word, packed."""
+        found = np.array(self.encoding.encode_ordinary(" ".join(words) + " "), np.int64)
+        ends = (np.flatnonzero(self.ends[found]) + 1) * array(code).itemsize
+        data = self.ids[found].astype(f"={code}").tobytes()
+        return [data[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
+
+
 class WordTokenizer:
     """Ids of texts by a tokenizer file whose tokens never span white space."""
 
@@ -53,6 +113,7 @@ class WordTokenizer:
         # Ids are kept in as few bytes as the vocabulary needs.
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.words, self.stems = Memo(), Memo()
+        self.letters = LetterMerges.of(self.tokenizer)
         self.closing = {bytes([c]): self._whole(bytes([c])) for c in _CLOSING}
 
     def _whole(self, word: bytes) -> bytes:
@@ -72,7 +133,7 @@ class WordTokenizer:
         if ids is None:
             symbols = stem
             if not plain:
-                if max(stem) >= "\u0250" or not stem.isalpha():
+                if max(stem) >= _COMMON or not stem.isalpha():
                     return None
                 symbols = stem.encode().decode("latin-1").translate(_BYTE_SYMBOLS)
             ids = array(self.code, [t.id for t in self.merge(symbols)]).tobytes()
@@ -87,14 +148,37 @@ class WordTokenizer:
         self.words.keep(word, found)
         return found
 
+    def _learn(self, words: set[bytes]) -> None:
+        """Remember the ids of new words."""
+        runs: list[tuple[bytes, str, bytes]] = []
+        for word in words:
+            older = self.words.older.get(word)
+            end = self.closing.get(word[-1:])
+            stem = (word if end is None else word[:-1]).decode("utf-8", "replace")
+            if older is not None:
+                self.words.keep(word, older)
+            elif self.letters is not None and len(word) <= _LONGEST and stem.isalpha() and (stem.isascii() or max(stem) < _COMMON and stem.lower().isalpha()):
+                runs.append((word, stem.lower(), end or b""))
+        for (word, _, end), found in zip(runs, self.letters.encode([stem for _, stem, _ in runs], self.code) if runs else [], strict=True):
+            self.words.keep(word, found + end)
+
+    def ids_of(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of texts as unsigned 32-bit integers."""
+        split = [text.split() for text in texts]
+        found = [[*map(self.words.get, words)] for words in split]
+        new = {w for words, parts in zip(split, found, strict=True) if None in parts for w, p in zip(words, parts, strict=True) if p is None}
+        if new:
+            self._learn(new)
+        out, remember = [], self.words.__getitem__
+        for words, parts in zip(split, found, strict=True):
+            if None in parts:
+                parts = [p if p is not None else remember(w) or self._new(w) for p, w in zip(parts, words, strict=True)]
+            out.append(np.frombuffer(b"".join(parts), f"={self.code}").astype("<u4"))
+        return out
+
     def ids(self, text: bytes) -> np.ndarray:
-        """Ids of a text as unsigned 32-bit integers."""
-        words = text.split()
-        parts = [*map(self.words.get, words)]
-        if None in parts:
-            remember, new = self.words.__getitem__, self._new
-            parts = [p if p is not None else remember(w) or new(w) for p, w in zip(parts, words, strict=True)]
-        return np.frombuffer(b"".join(parts), f"={self.code}").astype("<u4")
+        """Ids of one text."""
+        return self.ids_of([text])[0]
 
 
 _LOADED: dict[str, WordTokenizer] = {}
