@@ -12,9 +12,10 @@ from pyspark.sql.types import StructType
 
 from pulselake.config import LakeConfig
 from pulselake.operators.refine import not_stored
+from pulselake.sources.schemas import Schemas, evolved
 from pulselake.sources.seals import Generations, Seals, in_batches
 from pulselake.sources.versions import Versions
-from pulselake.specs import BRONZE_SCHEMA
+from pulselake.specs import BRONZE_SCHEMA, TOPICS
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
@@ -54,10 +55,18 @@ class Lake:
         self.config = config
         self.seals = Seals(spark, config)
         self.generations = Generations(spark, config)
-        self.gold = Versions(spark, config.layer(GOLD), self._read_folder)
-
-    def _read_folder(self, path: str) -> DataFrame | None:
-        table = read_if_exists(self.spark, self.config.table_format, path)
+        self.schemas = Schemas(spark, config)
+        self.gold = Versions(spark, config.layer(GOLD), lambda name, path: self._read_folder(GOLD, name, path))
+
+    def schema(self, layer: str, name: str) -> StructType | None:
+        """The declared schema of a table; that of a Silver table also follows from its topic."""
+        stored = self.schemas.stored(layer, name)
+        if layer == SILVER and name in TOPICS and stored is not None:
+            return evolved(stored, TOPICS[name].silver_schema, f"{layer}.{name}")
+        return stored
+
+    def _read_folder(self, layer: str, name: str, path: str) -> DataFrame | None:
+        table = read_if_exists(self.spark, self.config.table_format, path, self.schema(layer, name))
         # A table whose only dates are missing would be inferred as text.
         return None if table is None else table.withColumn("event_date", F.col("event_date").cast("date"))
 
@@ -65,7 +74,7 @@ class Lake:
         """The stored table, or None if it does not exist."""
         if layer == BRONZE:
             return self.read_bronze(name)
-        return self.gold.read(name) if layer == GOLD else self._read_folder(self.config.table(layer, name))
+        return self.gold.read(name) if layer == GOLD else self._read_folder(layer, name, self.config.table(layer, name))
 
     def require(self, layer: str, name: str) -> DataFrame:
         table = self.read(layer, name)
@@ -102,17 +111,20 @@ class Lake:
         )
 
     def append(self, rows: DataFrame, layer: str, name: str) -> None:
+        self.schemas.declare(layer, name, rows.schema)
         self._write(rows, layer, name, "append")
 
     def overwrite(self, rows: DataFrame, layer: str, name: str) -> None:
         """Replace the table, schema included; a Gold table at once, when all is written."""
         if layer == GOLD:
-            self.gold.replace(name, lambda folder: self._save(rows, folder, "overwrite"))
+            self.gold.replace(name, lambda folder: self._save(rows, folder, "overwrite"), lambda: self.schemas.declare(GOLD, name, rows.schema, anew=True))
         else:
+            self.schemas.declare(layer, name, rows.schema, anew=True)
             self._write(rows, layer, name, "overwrite")
 
     def overwrite_dates(self, rows: DataFrame, name: str) -> None:
         """Replace the dates of a Gold table that ``rows`` contain, at once, and keep all others."""
+        self.schemas.declare(GOLD, name, rows.schema)
         self.gold.replace_dates(name, lambda folder: self._save(rows, folder, "overwrite"))
         if self.gold.crowded(name):
             self.overwrite(self.require(GOLD, name), GOLD, name)
@@ -143,7 +155,7 @@ class Lake:
         """
         stored = self.read(layer, name)
         if stored is None:
-            self._write(rows, layer, name, "overwrite")
+            self.overwrite(rows, layer, name)
             return
         if dates is not None:
             stored = within_dates(stored, dates)

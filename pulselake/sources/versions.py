@@ -46,7 +46,7 @@ def _on(dates: frozenset[dt.date | None]) -> Column:
 class Versions:
     """The versioned tables of one folder. One writer at a time per table."""
 
-    def __init__(self, spark: SparkSession, folder: str, read: Callable[[str], DataFrame | None]):
+    def __init__(self, spark: SparkSession, folder: str, read: Callable[[str, str], DataFrame | None]):
         self.spark, self.folder, self.read_folder = spark, folder, read
         self.manifests = f"{folder}_manifests"
 
@@ -75,14 +75,16 @@ class Versions:
         replaced = frozenset().union(*(p.dates for p in parts if p.dates is not None))
         tables = []
         for part in parts:
-            rows = self.read_folder(f"{self.folder}/{part.version}")
+            rows = self.read_folder(name, f"{self.folder}/{part.version}")
             if rows is not None:
                 tables.append(rows.filter(~_on(replaced) if part.dates is None else _on(part.dates)) if replaced else rows)
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables) if tables else None
 
-    def replace(self, name: str, write: Callable[[str], None]) -> None:
-        """Replace the table by what ``write`` puts into the folder it is given."""
-        self._commit(name, [Part(self._written(name, write))])
+    def replace(self, name: str, write: Callable[[str], None], ahead: Callable[[], object] = lambda: None) -> None:
+        """Replace the table by what ``write`` puts into the folder it is given; ``ahead`` is done just before readers see it."""
+        version = self._written(name, write)
+        ahead()
+        self._commit(name, [Part(version)])
 
     def replace_dates(self, name: str, write: Callable[[str], None]) -> None:
         """Replace the dates that ``write`` puts into the folder it is given, and keep all others."""
@@ -91,7 +93,7 @@ class Versions:
             self.replace(name, write)
             return
         version = self._written(name, write)
-        rows = self.read_folder(f"{self.folder}/{version}")
+        rows = self.read_folder(name, f"{self.folder}/{version}")
         dates = frozenset() if rows is None else frozenset(r["event_date"] for r in rows.select("event_date").distinct().collect())
         if not dates:
             delete(self.spark, f"{self.folder}/{version}")

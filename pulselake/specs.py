@@ -25,6 +25,9 @@ ENVELOPE = (
     "event_type",
 )
 
+_ENVELOPE_TYPES = (T.StringType(), T.TimestampType(), T.DateType(), T.IntegerType(), T.TimestampType(), T.StringType())
+ENVELOPE_FIELDS = tuple(T.StructField(name, kind) for name, kind in zip(ENVELOPE, _ENVELOPE_TYPES, strict=True))
+
 TOPIC_PREFIX = "wearable_"
 
 
@@ -58,6 +61,11 @@ class Metric:
     def wire_type(self) -> T.DataType:
         return T.StringType() if self.kind in ("text", "text_flag") else T.FloatType()
 
+    @property
+    def silver_type(self) -> T.DataType:
+        kinds = {"real": T.FloatType(), "whole": T.IntegerType(), "text": T.StringType()}
+        return kinds.get(self.kind, T.BooleanType())
+
     @property
     def export_is_text(self) -> bool:
         return self.sent_as_text or self.kind in ("text", "text_flag")
@@ -85,6 +93,13 @@ class TopicSpec:
     def columns(self) -> tuple[str, ...]:
         return tuple(m.silver for m in self.metrics)
 
+    @cached_property
+    def silver_schema(self) -> T.StructType:
+        """The columns of the topic's Silver table."""
+        carried = [T.StructField("trace_id", T.StringType())] if self.intraday else []
+        metrics = [T.StructField(m.silver, m.silver_type) for m in self.metrics]
+        return T.StructType([*ENVELOPE_FIELDS, *carried, *metrics, T.StructField("processed_at", T.TimestampType())])
+
 
 def _flags(*names: str, prefix: str = "", renamed: dict[str, str] | None = None) -> tuple[Metric, ...]:
     renamed = renamed or {}

@@ -1,16 +1,19 @@
 """Seals, rewritten Bronze and versioned Gold."""
 
+import dataclasses
 import glob
 
 import pytest
 from pyspark.sql import functions as F
 
 from pulselake.config import LakeConfig
+from pulselake.operators.refine import refine
 from pulselake.plans.gold import run_gold
 from pulselake.plans.silver import refine_topic, run_silver
 from pulselake.sources import versions
 from pulselake.sources.lake import BRONZE, GOLD, SILVER, Lake
-from pulselake.specs import TOPICS
+from pulselake.sources.schemas import SchemaClash
+from pulselake.specs import TOPICS, Metric
 from pulselake.streaming.bronze import clear_bronze, compact_bronze, land_batch
 from tests.rows import bronze, bronze_row, day
 
@@ -222,3 +225,55 @@ def test_a_table_from_before_manifests_is_read(spark, lake):
     assert found(lake) == [("a", DATES[0], 1)]
     lake.overwrite_dates(table(spark, ("b", DATES[1], 2)), "t")
     assert found(lake) == [("a", DATES[0], 1), ("b", DATES[1], 2)]
+
+
+def with_metric(spec, metric):
+    return dataclasses.replace(spec, metrics=(*spec.metrics, metric))
+
+
+@pytest.mark.parametrize("name", sorted(TOPICS))
+def test_silver_rows_have_the_declared_schema(spark, name):
+    rows = refine(bronze(spark), TOPICS[name])
+    assert [(f.name, f.dataType) for f in rows.schema] == [(f.name, f.dataType) for f in TOPICS[name].silver_schema]
+
+
+@pytest.mark.parametrize("newer_first", [False, True])
+def test_a_metric_that_comes_later(lake, monkeypatch, newer_first):
+    old, dates = TOPICS["vitals"], (DATES[1], DATES[0]) if newer_first else (DATES[0], DATES[1])
+    land(lake, 0, bronze_row({"bpm": 70, "spin": 3.5}, date=dates[0], stamp=f"{dates[0]}T07:00:00"))
+    run_silver(lake, new_only=True)
+    run_gold(lake)
+    new = with_metric(old, Metric("spin", "whole"))
+    monkeypatch.setitem(TOPICS, "vitals", new)
+    # Declared with the topic, before anything is written.
+    assert [r["spin"] for r in lake.require(SILVER, "vitals").collect()] == [None]
+    land(lake, 1, bronze_row({"bpm": 71, "spin": 4.5}, date=dates[1], stamp=f"{dates[1]}T07:00:00"))
+    refine_topic(lake, new, new_only=True)
+    found = {str(r["event_date"]): (r["bpm"], r["spin"]) for r in lake.require(SILVER, "vitals").collect()}
+    assert found == {dates[0]: (70.0, None), dates[1]: (71.0, 4)}
+    assert lake.require(SILVER, "vitals").columns[-1] == "event_date" and len(lake.schemas._versions(SILVER, "vitals")) == 2
+    # Without the metric in the topic, what is stored stays readable, and so does a run.
+    monkeypatch.setitem(TOPICS, "vitals", old)
+    land(lake, 2, bronze_row({"bpm": 72}, date=DATES[2], stamp=f"{DATES[2]}T07:00:00"))
+    refine_topic(lake, old, new_only=True)
+    assert {r["bpm"]: r["spin"] for r in lake.require(SILVER, "vitals").collect()} == {70.0: None, 71.0: 4, 72.0: None}
+
+
+def test_a_column_of_another_type_is_refused(spark, lake):
+    land(lake, 0, bronze_row({"bpm": 70}))
+    run_silver(lake)
+    rows = lake.require(SILVER, "vitals").withColumn("bpm", F.lit("70"))
+    with pytest.raises(SchemaClash, match="bpm"):
+        lake.append(rows, SILVER, "vitals")
+    with pytest.raises(SchemaClash):
+        lake.overwrite_dates(table(spark, ("a", DATES[0], 1)).withColumn("n", F.lit(1.5)), "never") or lake.overwrite_dates(
+            table(spark, ("a", DATES[0], 1)), "never")
+    assert lake.require(SILVER, "vitals").count() == 1
+    # A whole rebuild takes the schema of its rows.
+    lake.overwrite(table(spark, ("a", DATES[0], 1)), GOLD, "t")
+    lake.overwrite(table(spark, ("a", DATES[0], 1)).withColumn("n", F.lit("x")), GOLD, "t")
+    assert found(lake) == [("a", DATES[0], "x")]
+    bad = broken(table(spark, ("x", DATES[0], 9), ("last", DATES[1], 9)))
+    with pytest.raises(Exception, match="lost"):
+        lake.overwrite(bad, GOLD, "t")
+    assert found(lake) == [("a", DATES[0], "x")]

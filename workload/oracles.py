@@ -593,11 +593,14 @@ def oracles() -> dict[str, str]:
             "SELECT *, '1' AS model_version FROM (" + plain([*USER_DAY, "reconstruction_error"], "corner") + ")"),
         "ai_insights": with_([*_FILL_CHAIN, _imputed("filled"), SCALED, WINDOWS, CORNER, INSIGHTS],
                              plain([*USER_DAY, "reconstruction_error", "z_score", "severity", "mlflow_run_id"], "insights")),
+        "stored_insights": with_([*_FILL_CHAIN, _imputed("filled"), SCALED, WINDOWS, CORNER, INSIGHTS],
+                                 plain([*USER_DAY, "reconstruction_error", "z_score", "severity", "mlflow_run_id"], "insights")),
         "pca_variance": with_([*_FILL_CHAIN, _imputed("filled"), SCALED, WINDOWS, CELL_VARIANCE],
                               plain(["cell_variance", "windows"], "cell_variance", {"windows"})),
         "latency_summary": with_([BASE, LATENCY],
                                  plain(["event_type", "events", "mean_seconds", "sd_seconds"], "latency", {"events"})),
         "stream_bronze": with_([BASE], STREAM),
+        "bronze_compacted": with_([BASE], STREAM),
         "lake_wellness_profile": WELLNESS_SQL,
         "lake_presence": with_(
             [BASE],

@@ -21,13 +21,13 @@ from pulselake.operators.quality import latency_summary, table_counts
 from pulselake.operators.refine import deduplicate, parse_payload, refine, validate
 from pulselake.plans.insights import fit_and_label, prepare_windows, score_stored
 from pulselake.plans.lake_run import layer_presence, run_lake
-from pulselake.plans.silver import run_silver
+from pulselake.plans.silver import refine_topic, run_silver
 from pulselake.sources.csv_export import read_export
 from pulselake.sources.lake import BRONZE, GOLD, SILVER, Lake
 from pulselake.sources.topic_log import append_events
 from pulselake.sources.workspace import fresh_folder, settle
 from pulselake.specs import ACTIVITY, HOURLY_TOPICS, PROFILE, TOPICS, USER_DAY, VITALS
-from pulselake.streaming.bronze import start_bronze
+from pulselake.streaming.bronze import clear_bronze, compact_bronze, start_bronze
 from workload import device
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -410,7 +410,10 @@ def _landed(spark: SparkSession, sf_dir: str, purpose: str, events: DataFrame) -
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All topics streamed into Bronze; rows per topic and date."""
     lake = _landed(spark, sf_dir, "stream", device.all_transport(spark, sf_dir))
-    tables = [lake.read_bronze(name) for name in TOPICS]
+    return _per_topic_and_date([lake.read_bronze(name) for name in TOPICS])
+
+
+def _per_topic_and_date(tables: list[DataFrame | None]) -> DataFrame:
     stacked = reduce(DataFrame.unionByName, [t for t in tables if t is not None])
     return stacked.groupBy("topic", "event_date").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users")
@@ -428,13 +431,50 @@ def bronze_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All topics refined twice, a third of the readings without a trace id: rows per Silver table."""
-    lake = _landed(spark, sf_dir, "rerun", device.all_transport(spark, sf_dir, untraced=True))
-    for _ in range(2):
-        run_silver(lake)
+    """All topics refined again and again, a third of the readings without a trace id: rows per Silver table.
+
+    A batch lands while the first run is half through, the second run takes in
+    what is new, the third reads everything.
+    """
+    events = device.all_transport(spark, sf_dir, untraced=True)
+    late = F.pmod(F.xxhash64("key", "topic", "timestamp"), F.lit(3)) == 0
+    lake = _landed(spark, sf_dir, "rerun", events.filter(~late))
+    for n, spec in enumerate(TOPICS.values()):
+        if n == len(TOPICS) // 2:
+            append_events(events.filter(late), lake.config)
+            start_bronze(spark, lake.config, drain=True).awaitTermination()
+        refine_topic(lake, spec, new_only=True)
+    run_silver(lake, new_only=True)
+    run_silver(lake)
     return table_counts({n: lake.require(SILVER, n) for n in TOPICS})
 
 
+def bronze_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All topics landed in several batches, of which two rewrites leave few files; rows per topic and date."""
+    events = device.all_transport(spark, sf_dir)
+    part = F.pmod(F.xxhash64("key", "topic", "timestamp"), F.lit(3))
+    dates = device.table(spark, sf_dir, "events").agg(F.min("ts").cast("date").alias("low"), F.max("ts").cast("date").alias("high")).first()
+    lake = Lake(spark, LakeConfig(fresh_folder(spark, "compacted")))
+    for n in range(3):
+        append_events(events.filter(part == n), lake.config)
+        start_bronze(spark, lake.config, drain=True).awaitTermination()
+        if n:
+            # The last dates are still open; the second rewrite holds what came later for dates of the first.
+            compact_bronze(lake, dates["low"] + (dates["high"] - dates["low"]) * n / 2)
+            clear_bronze(lake)
+    return _per_topic_and_date([lake.read_bronze(name) for name in TOPICS])
+
+
+def stored_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ai_insights`` as read back after a first and a second run replaced each other."""
+    lake = Lake(spark, LakeConfig(fresh_folder(spark, "insights")))
+    scored = settle(_corner_scores(spark, sf_dir))
+    labelled = label_errors(scored, error_stats(scored))
+    for run in ("first", "fixed"):
+        lake.overwrite(insights(labelled.filter(F.lit(run == "fixed") | (F.col("severity") != "normal")), run), GOLD, "ai_insights")
+    return comparable(lake.require(GOLD, "ai_insights"))
+
+
 def lake_wellness_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic log -> Bronze stream -> Silver -> Gold, read back from storage."""
     lake = _landed(spark, sf_dir, "lake", device.all_transport(spark, sf_dir))
@@ -497,6 +537,8 @@ QUERIES: dict[str, Query] = {
     "stream_bronze": stream_bronze,
     "bronze_restart": bronze_restart,
     "silver_rerun": silver_rerun,
+    "bronze_compacted": bronze_compacted,
+    "stored_insights": stored_insights,
     "lake_wellness_profile": lake_wellness_profile,
     "lake_presence": lake_presence,
 }
