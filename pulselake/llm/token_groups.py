@@ -33,19 +33,16 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from array import array
 from collections import namedtuple
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulselake.llm import edit_counts
 from pulselake.llm.text_units import Numbering, dealt, ends_unit, pack, stretches, text_bytes, units, unpack
-from pulselake.llm.tokens import _BYTE_SYMBOLS, Memo
+from pulselake.llm.tokens import _BYTE_SYMBOLS, rank_encoding
 from pulselake.sources.workspace import settle
 
 _CHUNK = 32_768
@@ -55,15 +52,15 @@ _SHARD_BYTES = 64_000_000
 _LAST = 2**62
 _AT_ONCE = 4096  # words handed to a library in one call
 _COMMON = "\u0250"  # characters below are letters or not in any version of Unicode
-_CUT = regex.compile(edit_counts._CUT).findall
+_TOGETHER = {"a": 1 << 18, "b": 1 << 13}  # bytes of words encoded as one text
 
 
 Ids = namedtuple("Ids", "counts flat")
 
 
-def _as_ids(lists: list[array]) -> Ids:
-    counts = np.fromiter(map(len, lists), np.int64, len(lists))
-    return Ids(counts, np.frombuffer(b"".join(lists), np.uint32).astype(np.int64))
+def _joins(word: str) -> bool:
+    """Whether a unit is encoded alike between other units."""
+    return word[0] in " \n" and not word[-1].isspace()
 
 
 class TokenizerPair:
@@ -80,7 +77,7 @@ class TokenizerPair:
         ahead = self.a.pre_tokenizer
         # Known to cut by the usual pattern and to change nothing, so words can be put together from their pre-tokens.
         self.plain = self.a.normalizer is None and repr(ahead) == repr(ByteLevel(add_prefix_space=False))
-        self.memo = Memo()
+        self.ranks = rank_encoding(self.a) if self.plain else None
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         byte_of = {chr(symbol): byte for byte, symbol in _BYTE_SYMBOLS.items()}
         entries = {i: token for token, i in self.a.get_vocab(with_added_tokens=False).items()}
@@ -102,33 +99,53 @@ class TokenizerPair:
         self.names = {(side, mark): names(n, mark) for side, n, marks in (("a", len(bytes_a), b",|"), ("b", self.width, b",;")) for mark in (marks[:1], marks[1:])}
 
     def ids_a(self, words: list[str]) -> Ids:
-        """Ids by the byte-level BPE: words of common letters from remembered pre-tokens, others by the library as they are."""
-        lists: list = [None] * len(words)
-        others = []
-        for i, word in enumerate(words):
-            if self.plain and (word.isascii() or max(word) < _COMMON):
-                lists[i] = own = array("I")
-                for piece in _CUT(word):
-                    found = self.memo[piece]
-                    if found is None:
-                        symbols = piece.encode().decode("latin-1").translate(_BYTE_SYMBOLS)
-                        found = array("I", [t.id for t in self.a.model.tokenize(symbols)])
-                        self.memo.keep(piece, found)
-                    own += found
-            else:
-                others.append(i)
-        for first in range(0, len(others), _AT_ONCE):
-            own = others[first : first + _AT_ONCE]
-            for i, found in zip(own, self.a.encode_batch([words[i] for i in own], add_special_tokens=False), strict=True):
-                lists[i] = array("I", found.ids)
-        return _as_ids(lists)
+        """Ids by the byte-level BPE; common words together by rank, others by the library as they are."""
+
+        def alone(own: list[str]) -> list[list[int]]:
+            return [e.ids for e in self.a.encode_batch(own, add_special_tokens=False)]
+
+        def together(text: str) -> list[int]:
+            return self.ranks.encode_ordinary(text)
+
+        common = [self.ranks is not None and _joins(w) and (w.isascii() or max(w) < _COMMON) for w in words]
+        return self._ids("a", words, common, together, alone)
 
     def ids_b(self, words: list[str]) -> Ids:
-        lists: list = []
-        for first in range(0, len(words), _AT_ONCE):
-            found = self.b.encode(["\n" + w for w in words[first : first + _AT_ONCE]], num_threads=1)
-            lists += [array("I", ids[self.ahead :]) for ids in found]
-        return _as_ids(lists)
+        """Ids by the pieces; a line feed ahead keeps the first word apart from the start of a text."""
+
+        def alone(own: list[str]) -> list[list[int]]:
+            return [ids[self.ahead :] for ids in self.b.encode(["\n" + w for w in own], num_threads=1)]
+
+        def together(text: str) -> list[int]:
+            return self.b.encode("\n" + text)[self.ahead :]
+
+        return self._ids("b", words, [_joins(w) and "▁" not in w for w in words], together, alone)
+
+    def _ids(self, side: str, words: list[str], common: list[bool], together, alone) -> Ids:
+        """Encode runs of common words as one text, which is cut by the bytes of its ids; the others one by one."""
+        sizes = np.fromiter((len(w.encode()) for w in words), np.int64, len(words))
+        counts, starts, pool, filled = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [], 0
+        which = np.array(common, bool)
+        runs, others = np.flatnonzero(which), [np.flatnonzero(~which)]
+        for own in np.split(runs, np.flatnonzero(np.diff(np.cumsum(sizes[runs]) // _TOGETHER[side])) + 1) if len(runs) else []:
+            ids = np.array(together("".join([words[i] for i in own.tolist()])), np.int64)
+            ends, borders = np.append(0, np.cumsum(self.bytes[side][1][ids])), np.append(0, np.cumsum(sizes[own]))
+            at = np.searchsorted(ends, borders)
+            if at[-1] >= len(ends) or (ends[at] != borders).any():
+                others.append(own)
+                continue
+            counts[own], starts[own] = np.diff(at), at[:-1] + filled
+            pool.append(ids)
+            filled += len(ids)
+        rest = np.concatenate(others)
+        for first in range(0, len(rest), _AT_ONCE):
+            own = rest[first : first + _AT_ONCE]
+            lists = alone([words[i] for i in own.tolist()])
+            counts[own] = [*map(len, lists)]
+            starts[own] = np.cumsum(counts[own]) - counts[own] + filled
+            pool.append(np.fromiter((i for ids in lists for i in ids), np.int64, int(counts[own].sum())))
+            filled += len(pool[-1])
+        return Ids(counts, np.concatenate([*pool, np.zeros(0, np.int64)])[stretches(starts, counts)])
 
     def spelled(self, side: str, ids: np.ndarray) -> np.ndarray:
         starts, lengths, flat = self.bytes[side]
@@ -166,9 +183,8 @@ def _differs(pair: TokenizerPair, side: str, ids: Ids, words: list[str]) -> np.n
 class Groups:
     """Groups and links of many units, unit after unit."""
 
-    def __init__(self, pair: TokenizerPair, words: list[str], a: Ids, b: Ids):
-        self.pair = pair
-        self.bad = _differs(pair, "a", a, words) | _differs(pair, "b", b, words)
+    def __init__(self, pair: TokenizerPair, a: Ids, b: Ids, bad: np.ndarray):
+        self.pair, self.bad = pair, bad
         self.good = np.flatnonzero(~self.bad)
         starts = [np.cumsum(x.counts) - x.counts for x in (a, b)]
         self.a, self.b = (x.flat[stretches(s[self.good], x.counts[self.good])] for x, s in zip((a, b), starts, strict=True))
@@ -176,7 +192,7 @@ class Groups:
         self.ends_a, self.ends_b = (np.cumsum(pair.bytes[side][1][ids]) for side, ids in (("a", self.a), ("b", self.b)))
         self.cuts = np.intersect1d(self.ends_a, self.ends_b, assume_unique=True)
         unit_ends = np.append(0, self.ends_a)[np.cumsum(self.n_a[self.good])]
-        self.n_groups = np.zeros(len(words), np.int64)
+        self.n_groups = np.zeros(len(bad), np.int64)
         self.n_groups[self.good] = np.diff(np.searchsorted(self.cuts, unit_ends, "right"), prepend=0)
         # Between two neighbouring ends lies one token of each side, and no two such stretches have the same two tokens.
         self.n_links = self.n_a + self.n_b - self.n_groups
@@ -226,6 +242,16 @@ def opened(text: str) -> tuple[Fragment, str]:
     return Fragment(own[0], own[-1], True, False), "".join(own[1:-1])
 
 
+def _encoded(pair: TokenizerPair, words: list[str]) -> tuple[Ids, Ids, np.ndarray]:
+    """Ids of both sides, and which words either side does not give back; these have no ids on the second."""
+    a, b = pair.ids_a(words), pair.ids_b(words)
+    bad = _differs(pair, "b", b, words)
+    if not pair.lossless:
+        bad |= _differs(pair, "a", a, words)
+    kept = np.where(bad, 0, b.counts)
+    return a, Ids(kept, b.flat[stretches(np.cumsum(b.counts) - b.counts, kept)]), bad
+
+
 def _unlike(pair: TokenizerPair, text: str) -> bool:
     """Whether a tokenizer does not give a closed text back."""
     words = list(set(units(text)))
@@ -338,8 +364,8 @@ def _questions(path_a: str, path_b: str, shards: int):
     def ask(key, table):
         pair, bucket = tokenizer_pair(path_a, path_b), key[0].as_py()
         words, texts = _numbered(table)
-        a, b = pair.ids_a(words), pair.ids_b(words)
-        groups = Groups(pair, words, a, b)
+        a, b, bad = _encoded(pair, words)
+        groups = Groups(pair, a, b, bad)
         good = [own for own in texts if not groups.bad[own].any()]
         times = np.bincount(np.concatenate([*good, np.zeros(0, np.int32)]), minlength=len(words))
         links, place = np.unique(groups.links, return_inverse=True)
@@ -392,7 +418,7 @@ def _results(path_a: str, path_b: str, shards: int, keep: bool):
         words, numbers = _numbered(texts)
         packed = {row.pop("shard"): row for row in answers.to_pylist()}
         ids = [unpack(packed[-1][c], np.uint32).astype(np.int64) for c in "wxyz"]
-        groups = Groups(pair, words, Ids(*ids[:2]), Ids(*ids[2:]))
+        groups = Groups(pair, Ids(*ids[:2]), Ids(*ids[2:]), ids[2] == 0)
         links, place = np.unique(groups.links, return_inverse=True)
         shard = links % pair.width % shards
         totals, best = np.zeros(len(links), np.int64), np.zeros(len(links), np.int64)

@@ -45,6 +45,49 @@ class Memo(dict):
             self[key] = value
 
 
+def merge_pairs(model: dict) -> list[tuple[str, str]]:
+    return [tuple(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+
+
+def merges_alone(merges: list[tuple[str, str]], suffix: str = "") -> bool:
+    """Whether the text of every merged token, by itself, merges to that token."""
+    place = {pair: n for n, pair in enumerate(merges)}
+
+    def alone(token: str) -> list[str]:
+        ended = bool(suffix) and token.endswith(suffix)
+        parts = [*(token.removesuffix(suffix) if ended else token)]
+        parts[-1] += suffix if ended else ""
+        while len(parts) > 1:
+            found, at = min((place.get(p, len(merges)), i) for i, p in enumerate(zip(parts[:-1], parts[1:], strict=True)))
+            if found == len(merges):
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return parts
+
+    return all(alone(a + b) == [a + b] for a, b in merges)
+
+
+def rank_encoding(tokenizer):
+    """A byte-level BPE as a rank encoder with the same ids, for texts of common letters; None if it cannot be one.
+
+    ``LetterMerges`` says why the two agree. Ids have to ascend with the merges.
+    """
+    import tiktoken
+
+    from pulselake.llm.edit_counts import PATTERN
+
+    model = json.loads(tokenizer.to_str())["model"]
+    merges, vocabulary = merge_pairs(model), model["vocab"]
+    bytes_of = {chr(_BYTE_SYMBOLS.get(b, b)): b for b in range(256)}
+    if any(model.get(k) for k in ("end_of_word_suffix", "continuing_subword_prefix", "ignore_merges", "dropout")) or not set(bytes_of) <= set(vocabulary):
+        return None
+    ids = [vocabulary.get(a + b, -1) for a, b in merges]
+    if any(x >= y for x, y in zip([-1, *ids], ids, strict=False)) or not merges_alone(merges):
+        return None
+    ranks = {bytes([b]): vocabulary[c] for c, b in bytes_of.items()} | {bytes(bytes_of[c] for c in a + b): vocabulary[a + b] for a, b in merges}
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class LetterMerges:
     """The merges of a word tokenizer as ranks over bytes, by which many runs of letters are encoded in one call.
 
@@ -67,21 +110,9 @@ class LetterMerges:
         if not suffix or model.get("continuing_subword_prefix") or model.get("ignore_merges") or model.get("dropout"):
             return None
         bytes_of = {chr(_BYTE_SYMBOLS.get(b, b)): b for b in range(256)}
-        vocabulary, merges = model["vocab"], [tuple(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
-        place = {pair: n for n, pair in enumerate(merges)}
-
-        def alone(token: str) -> list[str]:
-            parts = [*token.removesuffix(suffix)]
-            parts[-1] += suffix if token.endswith(suffix) else ""
-            while len(parts) > 1:
-                found, at = min((place.get(p, len(merges)), i) for i, p in enumerate(zip(parts[:-1], parts[1:], strict=True)))
-                if found == len(merges):
-                    break
-                parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            return parts
-
+        vocabulary, merges = model["vocab"], merge_pairs(model)
         tokens = [*bytes_of, *(s + suffix for s in bytes_of), *(a + b for a, b in merges)]
-        if not all(t in vocabulary for t in tokens) or len(set(tokens)) < len(tokens) or any(alone(a + b) != [a + b] for a, b in merges):
+        if not all(t in vocabulary for t in tokens) or len(set(tokens)) < len(tokens) or not merges_alone(merges, suffix):
             return None
         spelled = [bytes(bytes_of[c] for c in t.removesuffix(suffix)) + b" " * t.endswith(suffix) for t in tokens]
         # Single bytes come first, then those with the word end, then the merges; a space inside a word does not occur.
