@@ -32,6 +32,7 @@ from pulselake.sources.workspace import settle
 LENGTHS = (512, 1024, 2048, 4096, 8192)
 FIXED = 64
 _SHARD_TOKENS = 8_000_000
+_SHARD_ROWS = 50_000
 
 
 def least_costs(total: int, lengths: tuple[int, ...], fixed: int) -> list[int]:
@@ -101,14 +102,16 @@ def best_fit(
     text, largest = F.col(text_column), max(lengths)
     size = F.greatest(F.coalesce((word_count(text) if tokens is None else tokens).cast("bigint"), F.lit(0)), F.lit(0))
     # Written once: the number of shards needs the total, and texts are read once only.
-    sized = settle(docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("tie"), size.alias("size")))
-    total = sized.agg(F.sum("size")).first()[0] or 0
-    shards = max(1, -(-int(total) // _SHARD_TOKENS))
+    sized = settle(docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("tie"), size.alias("size"), F.monotonically_increasing_id().alias("row")))
+    total, rows = sized.agg(F.sum("size"), F.count(F.lit(1))).first()
+    # By rows too: a shard of empty or very short documents has few tokens.
+    shards = max(1, -(-int(total or 0) // _SHARD_TOKENS), -(-rows // _SHARD_ROWS))
     last = F.greatest(F.ceil(F.col("size") / F.lit(largest)) - 1, F.lit(0).cast("bigint"))
     pieces = sized.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).withColumn("piece_start", F.col("piece") * largest)
+    # Numbered as they were written, so that repeated rows spread too.
     items = pieces.select(
         "doc_id", "tie", "piece", "piece_start", F.least(F.col("size") - F.col("piece_start"), F.lit(largest)).alias("n_tokens"),
-        F.pmod(F.xxhash64("doc_id", "tie", "piece"), F.lit(shards)).alias("shard"),
+        F.pmod(F.xxhash64("doc_id", "tie", "piece", "row"), F.lit(shards)).alias("shard"),
     )
     schema = "doc_id long, piece long, piece_start long, n_tokens long, shard long, bin long, bin_length long, bin_offset long"
     return items.groupBy("shard").applyInPandas(_packer(lengths, fixed), schema)

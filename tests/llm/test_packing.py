@@ -122,3 +122,9 @@ def test_cost_decides_the_length():
     # A long bin is worth it only if enough is to come.
     assert pack([600], LENGTHS, FIXED)[2] == [1024]
     assert pack([600] + [400] * 18, LENGTHS, FIXED)[2] == [8192]
+
+
+def test_empty_texts_are_dealt_over_shards(spark):
+    docs = spark.range(120_000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("doc_id"), F.lit("").alias("text"))
+    found = best_fit(docs).groupBy("shard").count().collect()
+    assert len(found) == 3 and max(r["count"] for r in found) < 60_000
