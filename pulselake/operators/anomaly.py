@@ -6,13 +6,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulselake.functions.stats import severity, z_score
+from pulselake.operators.moments import Moments, moments
 from pulselake.operators.timeline import FEATURES, WINDOW_ROWS, FeatureScaler
 
 # Fixed value: fewest windows worth fitting on.
@@ -49,15 +47,23 @@ class WindowModel:
     @classmethod
     def fit(cls, windows: DataFrame, scaler: FeatureScaler, rank: int = 8,
             length: int = WINDOW_ROWS) -> "WindowModel":
-        """Fit on all windows; only a cells x cells matrix reaches the driver."""
+        """Fit on all windows in one pass; only cells x cells matrices reach the driver."""
+        found = moments(windows.select(flat_cells(F.col("window")).alias("cells")), "cells")
+        if found is None:
+            raise TooFewWindows("no windows to fit on")
+        return cls.from_moments(found, scaler, rank, length)
+
+    @classmethod
+    def from_moments(cls, found: Moments, scaler: FeatureScaler, rank: int = 8, length: int = WINDOW_ROWS) -> "WindowModel":
+        """The principal components of windows by their moments, which may come from several parts."""
         missing = [c for c, mean in zip(scaler.columns, scaler.means) if mean is None]
         if missing:
             raise ValueError(f"features without any value: {', '.join(missing)}")
-        vectors = windows.select(array_to_vector(flat_cells(F.col("window"))).alias("cells"))
-        pca = PCA(k=rank, inputCol="cells", outputCol="scores").fit(vectors)
-        center = vectors.select(Summarizer.mean(F.col("cells")).alias("m")).first()["m"].toArray()
-        explained = float(pca.explainedVariance.toArray().sum())
-        return cls(scaler, center, pca.pc.toArray(), length=length, explained=explained)
+        values, axes = np.linalg.eigh(found.covariance)
+        order = np.argsort(-values, kind="stable")[:rank]
+        total = values.sum()
+        explained = float(values[order].sum() / total) if total > 0 else 1.0
+        return cls(scaler, found.mean, axes[:, order], length=length, explained=explained)
 
     def error(self, flat: Column) -> Column:
         """Mean squared distance of a flat window from its projection on the components.

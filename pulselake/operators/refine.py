@@ -91,5 +91,12 @@ def refine(bronze: DataFrame, spec: TopicSpec, *, unique: bool = True, audit: bo
 
 
 def not_stored(batch: DataFrame, stored: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Batch rows whose key is not stored yet."""
-    return batch.join(stored.select(*keys), on=list(keys), how="left_anti")
+    """Batch rows whose key is not stored yet.
+
+    Stored keys are first reduced to those of the batch. A batch that was
+    settled has a known size: a small one is broadcast, so stored keys are
+    filtered where they are read and not shuffled, and only the few that match
+    meet the batch again; for a large one Spark joins both sides by key.
+    """
+    known = stored.select(*keys).join(batch.select(*keys), on=list(keys), how="left_semi")
+    return batch.join(known, on=list(keys), how="left_anti")

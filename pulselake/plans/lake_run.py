@@ -14,6 +14,7 @@ from pulselake.plans.insights import NoInsightInput, run_insights
 from pulselake.plans.silver import run_silver
 from pulselake.sources.jdbc import Writer, publish_all
 from pulselake.sources.lake import BRONZE, GOLD, SILVER, Lake
+from pulselake.sources.workspace import scratch
 from pulselake.specs import TOPICS
 
 LAYER_TABLES = {
@@ -52,6 +53,11 @@ def run_lake(lake: Lake, *, writer: Writer | None = None, with_insights: bool =
     and an earlier run's ``ai_insights`` stays unpublished. ``since`` limits the
     Gold rebuild to later dates.
     """
+    with scratch(lake.spark):  # everything a run keeps is in the lake
+        return _run_stages(lake, writer, with_insights, since, full, silver_options)
+
+
+def _run_stages(lake: Lake, writer: Writer | None, with_insights: bool, since: dt.date | None, full: bool, silver_options: dict) -> dict[str, object]:
     report: dict[str, object] = {}
     require_layer(lake, BRONZE)
     report["silver"] = run_silver(lake, **{"new_only": not full, **silver_options})

@@ -15,6 +15,7 @@ from pulselake.operators.refine import not_stored
 from pulselake.sources.schemas import Schemas, evolved
 from pulselake.sources.seals import Generations, Seals, in_batches
 from pulselake.sources.versions import Versions
+from pulselake.sources.workspace import scratch, settle
 from pulselake.specs import BRONZE_SCHEMA, TOPICS
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
@@ -151,15 +152,17 @@ class Lake:
 
         ``dates`` holds the candidate dates of ``rows``. When the key implies
         the date, naming them confines the read of stored keys to the touched
-        partitions.
+        partitions; the dates are then taken from the rows themselves.
         """
         stored = self.read(layer, name)
         if stored is None:
             self.overwrite(rows, layer, name)
             return
-        if dates is not None:
-            stored = within_dates(stored, dates)
-        self.append(not_stored(rows, stored, tuple(keys)), layer, name)
+        with scratch(self.spark):
+            batch = settle(rows)  # read several times, and its size decides how the keys are joined
+            if dates is not None:
+                stored = within_dates(stored, batch if "event_date" in batch.columns else dates)
+            self.append(not_stored(batch, stored, tuple(keys)), layer, name)
 
     def _write(self, rows: DataFrame, layer: str, name: str, mode: str) -> None:
         self._save(rows, self.config.table(layer, name), mode)

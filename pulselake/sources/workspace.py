@@ -8,10 +8,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pulselake.sources.files import delete
+
 _FOLDER_SETTING = "spark.checkpoint.dir"
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,8 +38,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
-    """A path in the shared folder that nothing has used before."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A path in the shared folder, or in the present scratch folder, that nothing has used before."""
+    return f"{_SCRATCH.get() or shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder in the shared folder for all that is settled inside, deleted at the end.
+
+    Only what does not outlive the block may be settled in it: its results must
+    have been stored elsewhere by then.
+    """
+    folder = f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+    before = _SCRATCH.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCRATCH.reset(before)
+        delete(spark, folder)
 
 
 def settle(rows: DataFrame) -> DataFrame:

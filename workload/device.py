@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pulselake.operators.envelope import to_bronze
 from pulselake.operators.ingest import DAILY_SOURCE, HOURLY_SOURCE, INTRADAY_TOPICS, export_events, intraday_events
 from pulselake.operators.refine import refine
-from pulselake.specs import DAILY_TOPICS, HOURLY_TOPICS, PROFILE, TOPICS, TopicSpec
+from pulselake.sources.workspace import fresh_folder
+from pulselake.specs import BRONZE_SCHEMA, DAILY_TOPICS, HOURLY_TOPICS, PROFILE, TOPICS, TopicSpec
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -199,3 +200,11 @@ def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def silver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return refine(bronze(spark, sf_dir, name), TOPICS[name], audit=False)
+
+
+def landed_silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The Silver rows of all topics, their events made and parsed once and stored by topic."""
+    folder = fresh_folder(spark, "topics")
+    to_bronze(all_transport(spark, sf_dir)).write.partitionBy("topic").parquet(folder)
+    landed = spark.read.schema(BRONZE_SCHEMA).parquet(folder)
+    return {name: refine(landed.filter(F.col("topic") == name), spec, audit=False) for name, spec in TOPICS.items()}

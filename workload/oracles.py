@@ -493,12 +493,25 @@ def _counts(*names: str) -> str:
 
 
 MERGED = """merged AS (
-  SELECT user_id, event_date, event_timestamp, bpm,
-         CASE WHEN event_hour < 12 THEN temperature ELSE CAST(-1 AS FLOAT) END AS temperature FROM vitals)"""
+  SELECT * REPLACE (CASE WHEN event_hour < 12 THEN temperature ELSE CAST(-1 AS FLOAT) END AS temperature) FROM vitals)"""
 
 USER_DAY = ["user_id", "event_date"]
 
 
+CSV_TOPICS = [name for name in PARSED if name not in INTRADAY]
+
+
+def _metric_totals() -> str:
+    """Known values and their total for every metric; texts count their characters."""
+    def total(column: str) -> str:
+        value = f"length({column})" if column in TEXTS else f"CAST({column} AS INTEGER)" if column in FLAGS else column
+        return f"round(coalesce(sum(CAST({value} AS DOUBLE)), 0), 3)"
+
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS topic, '{c}' AS metric, count({c}) AS known, {total(c)} + 0.0 AS total FROM {name}_parsed"
+        for name in CSV_TOPICS for c in METRICS[name])
+
+
 def oracles() -> dict[str, str]:
     activity = ENVELOPE + METRICS["activity"]
     goals = with_([*silver_ctes("activity", "profile"), ACTIVITY_DAY],
@@ -523,7 +536,7 @@ def oracles() -> dict[str, str]:
             plain(["user_id", "kafka_ingest_time", "event_timestamp", *METRICS["profile"]], "kept")),
         **{f"silver_{name}": silver_sql(name) for name in METRICS},
         "insert_only_merge": with_([*silver_ctes("vitals"), MERGED],
-                                   plain([*USER_DAY, "event_timestamp", "bpm", "temperature"], "merged")),
+                                   plain(ENVELOPE + METRICS["vitals"], "merged")),
         "intraday_redelivery": with_(
             silver_ctes("heart_rate_intraday"),
             plain(["user_id", "kafka_ingest_time", "event_date", "event_hour", "event_timestamp", "trace_id", "bpm"],
@@ -577,6 +590,7 @@ def oracles() -> dict[str, str]:
                                 plain([f"anomaly_rate_{n}" for n in ("red", "yellow", "green")], "rates")),
         "csv_hourly_events": with_([BASE, FIRST_ROW], CSV_HOURLY),
         "csv_daily_events": with_([BASE], _csv_daily()),
+        "csv_all_metrics": with_([BASE, *map(parsed_cte, CSV_TOPICS)], _metric_totals()),
         "first_profile": with_(
             [BASE, FIRST_ROW],
             f"SELECT user_id AS id, CAST(event_date AS VARCHAR) AS date, event_hour || '.0' AS hour "

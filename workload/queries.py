@@ -26,7 +26,7 @@ from pulselake.sources.csv_export import read_export
 from pulselake.sources.lake import BRONZE, GOLD, SILVER, Lake
 from pulselake.sources.topic_log import append_events
 from pulselake.sources.workspace import fresh_folder, settle
-from pulselake.specs import ACTIVITY, HOURLY_TOPICS, PROFILE, TOPICS, USER_DAY, VITALS
+from pulselake.specs import ACTIVITY, DAILY_TOPICS, HOURLY_TOPICS, PROFILE, TOPICS, USER_DAY, VITALS, TopicSpec
 from pulselake.streaming.bronze import clear_bronze, compact_bronze, start_bronze
 from workload import device
 
@@ -115,7 +115,7 @@ def insert_only_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake.overwrite(arriving.filter(F.col("event_hour") < 12), SILVER, "vitals")
     changed = arriving.withColumn("temperature", F.lit(-1.0).cast("float"))
     lake.insert_only(changed, SILVER, "vitals", VITALS.keys, changed.select("event_date"))
-    return comparable(lake.require(SILVER, "vitals").select(*USER_DAY, "event_timestamp", "bpm", "temperature"))
+    return comparable(lake.require(SILVER, "vitals"))
 
 
 def intraday_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,21 +171,20 @@ def daily_intraday_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(daily.intraday_summary(*_intraday_tables(spark, sf_dir)))
 
 
-def _gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _gold_tables(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {
-        "daily_vitals_summary": daily.vitals_summary(device.silver(spark, sf_dir, "vitals")),
-        "daily_activity_summary": _activity_summary(spark, sf_dir),
-        "daily_context_summary": daily.context_summary(device.silver(spark, sf_dir, "context")),
-        "daily_sleep_summary": daily.sleep_summary(device.silver(spark, sf_dir, "sleep")),
-        "daily_intraday_summary": daily.intraday_summary(*_intraday_tables(spark, sf_dir)),
-        "daily_vitals_daily_summary": daily.vitals_daily_summary(device.silver(spark, sf_dir, "vitals_daily")),
+        "daily_vitals_summary": daily.vitals_summary(silver["vitals"]),
+        "daily_activity_summary": daily.activity_summary(silver["activity"], silver["profile"]),
+        "daily_context_summary": daily.context_summary(silver["context"]),
+        "daily_sleep_summary": daily.sleep_summary(silver["sleep"]),
+        "daily_intraday_summary": daily.intraday_summary(*[silver[f"{n}_intraday"] for n in ("heart_rate", "hrv", "breathing")]),
+        "daily_vitals_daily_summary": daily.vitals_daily_summary(silver["vitals_daily"]),
     }
 
 
 def daily_wellness_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(
-        spine.wellness_profile(_gold_tables(spark, sf_dir), device.silver(spark, sf_dir, "profile"))
-    )
+    silver = device.landed_silver(spark, sf_dir)
+    return comparable(spine.wellness_profile(_gold_tables(silver), silver["profile"]))
 
 
 def mode_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,7 +214,7 @@ def key_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spine_left_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chained form of the wide profile: spine, daily metrics of all tables, user attributes."""
-    tables = _gold_tables(spark, sf_dir)
+    tables = _gold_tables(device.landed_silver(spark, sf_dir))
     days = spine.covered_days(tables).select(*USER_DAY)
     parts = [spine.Attributes(tables[n], USER_DAY, tuple(columns)) for n, columns in spine.WELLNESS_METRICS.items()]
     parts.append(spine.Attributes(device.silver(spark, sf_dir, "profile"), ("user_id",), spine.PROFILE_COLUMNS))
@@ -377,6 +376,30 @@ def csv_daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_all_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every metric of both exports after CSV, documents and Bronze: known values and their total."""
+    found = []
+    for purpose, rows, events, specs in (
+        ("hourly-csv", device.hourly_rows, hourly_events, HOURLY_TOPICS), ("daily-csv", device.daily_rows, daily_events, DAILY_TOPICS)
+    ):
+        folder = fresh_folder(spark, purpose)
+        rows(spark, sf_dir).write.option("header", True).option("escape", '"').csv(folder)
+        bronze = to_bronze(events(read_export(spark, folder), F.col("delivered").try_cast("timestamp")))
+        for spec in specs:
+            if spec is not PROFILE:
+                found.append(_metric_totals(parse_payload(bronze.filter(F.col("topic") == spec.name), spec), spec))
+    return comparable(reduce(DataFrame.unionByName, found))
+
+
+def _metric_totals(parsed: DataFrame, spec: TopicSpec) -> DataFrame:
+    def total(name: str, kind: str) -> Column:
+        value = F.length(name) if kind == "text" else F.col(name).cast("int") if kind in ("flag", "text_flag") else F.col(name)
+        return F.round(F.coalesce(F.sum(value.cast("double")), F.lit(0.0)), 3)
+
+    cells = [F.struct(F.lit(m.silver).alias("metric"), F.count(m.silver).alias("known"), total(m.silver, m.kind).alias("total")) for m in spec.metrics]
+    return parsed.agg(F.array(*cells).alias("cells")).select(F.lit(spec.name).alias("topic"), F.inline("cells"))
+
+
 def first_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = first_profile_rows(device.hourly_rows(spark, sf_dir))
     return comparable(rows.select("id", "date", "hour"))
@@ -530,6 +553,7 @@ QUERIES: dict[str, Query] = {
     "pca_variance": pca_variance,
     "csv_hourly_events": csv_hourly_events,
     "csv_daily_events": csv_daily_events,
+    "csv_all_metrics": csv_all_metrics,
     "first_profile": first_profile,
     "baseline_pool": baseline,
     "table_counts": counts_per_table,
