@@ -22,12 +22,21 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulselake.llm.tokens import word_tokenizer
 
-_ROWS = 64  # documents per Arrow batch of ids
+_BYTES = 4_000_000  # of text per Arrow batch of ids, unless one text has more
+
+
+def _slices(batch: pa.RecordBatch):
+    """Runs of rows of a batch by the bytes of their texts."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = np.flatnonzero(np.diff(ends // _BYTES)) + 1
+    for first, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)], strict=True):
+        yield batch.slice(first, end - first)
 
 
 def _encoder(path: str, end: int):
@@ -37,13 +46,11 @@ def _encoder(path: str, end: int):
     def encode(batches):
         tokenizer = word_tokenizer(path)
         for batch in batches:
-            for first in range(0, len(batch), _ROWS):
-                rows = batch.slice(first, _ROWS)
-                texts = rows["text"].cast(pa.binary()).to_pylist()
-                found = [x for own in tokenizer.ids_of([t or b"" for t in texts]) for x in (own, last)]
-                counts = np.array([*map(len, found[::2])], np.int64) + 1
+            for rows in _slices(batch):
+                found, ends = tokenizer.ids_of(rows["text"])
+                counts = np.diff(ends, prepend=0) + 1
                 offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found).view(np.int32)))
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.insert(found, ends, last).view(np.int32)))
                 yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["tie"], pa.array(counts), ids, rows["part"]], schema=schema)
 
     return encode

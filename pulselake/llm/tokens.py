@@ -14,17 +14,29 @@ import os
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from pulselake.llm.text_units import stretches
 
 _KEPT = 500_000  # words in the newer half of a worker's memo; the older has as many
 _LONGEST = 40  # longer words are encoded each time
 _CLOSING = b".,;:!?"
 _COMMON = "\u0250"  # characters below are letters or not, and composed, in any version of Unicode
+_CLOSERS = pa.array([*_CLOSING.decode()])
+# Letters below U+0250 that lower to one letter: all but U+0130.
+_COMMON_RUN = "^[A-Za-zªµºÀ-ÖØ-öø-įı-ɏ]+$"
 # Byte-level symbols: printable bytes stand for themselves, the others for the
 # characters from U+0100 on, in order.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_SYMBOLS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
+def _listed(column: pa.Array) -> list:
+    """The values of a column of texts or bytes; numpy makes them faster than one by one."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class Memo(dict):
     """The most recent entries: when the newer half is full, it replaces the older."""
 
@@ -179,37 +191,46 @@ class WordTokenizer:
         self.words.keep(word, found)
         return found
 
-    def _learn(self, words: set[bytes]) -> None:
-        """Remember the ids of new words."""
-        runs: list[tuple[bytes, str, bytes]] = []
-        for word in words:
-            older = self.words.older.get(word)
-            end = self.closing.get(word[-1:])
-            stem = (word if end is None else word[:-1]).decode("utf-8", "replace")
-            if older is not None:
-                self.words.keep(word, older)
-            elif self.letters is not None and len(word) <= _LONGEST and stem.isalpha() and (stem.isascii() or max(stem) < _COMMON and stem.lower().isalpha()):
-                runs.append((word, stem.lower(), end or b""))
-        for (word, _, end), found in zip(runs, self.letters.encode([stem for _, stem, _ in runs], self.code) if runs else [], strict=True):
-            self.words.keep(word, found + end)
-
-    def ids_of(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of texts as unsigned 32-bit integers."""
-        split = [text.split() for text in texts]
-        found = [[*map(self.words.get, words)] for words in split]
-        new = {w for words, parts in zip(split, found, strict=True) if None in parts for w, p in zip(words, parts, strict=True) if p is None}
-        if new:
-            self._learn(new)
-        out, remember = [], self.words.__getitem__
-        for words, parts in zip(split, found, strict=True):
-            if None in parts:
-                parts = [p if p is not None else remember(w) or self._new(w) for p, w in zip(parts, words, strict=True)]
-            out.append(np.frombuffer(b"".join(parts), f"={self.code}").astype("<u4"))
-        return out
+    def _learn(self, words: pa.Array) -> None:
+        """Remember the ids of new words that are runs of common letters, perhaps with a closing mark."""
+        if self.letters is None:
+            return
+        words = words.filter(pc.less_equal(pc.binary_length(words), _LONGEST))
+        last = pc.utf8_slice_codeunits(words, -1, 1 << 30)
+        stems = pc.if_else(pc.is_in(last, value_set=_CLOSERS), pc.utf8_slice_codeunits(words, 0, -1), words)
+        runs = pc.match_substring_regex(stems, _COMMON_RUN)
+        words, last, stems = words.filter(runs), last.filter(runs), pc.utf8_lower(stems.filter(runs))
+        if not len(words):
+            return
+        ends = [self.closing.get(c, b"") for c in _listed(last.cast(pa.binary()))]
+        keep = self.words.keep
+        for word, found, end in zip(_listed(words.cast(pa.binary())), self.letters.encode(_listed(stems), self.code), ends, strict=True):
+            keep(word, found + end)
+
+    def ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts as unsigned 32-bit integers, one text after another, and where each ends; null is empty.
+
+        Only the distinct words of the texts are looked up.
+        """
+        split = pc.ascii_split_whitespace(texts.fill_null(""))
+        encoded = split.flatten().dictionary_encode()
+        words = _listed(encoded.dictionary.cast(pa.binary()))
+        found = [*map(self.words.get, words)]
+        if None in found:
+            remember = self.words.__getitem__
+            found = [ids if ids is not None else remember(w) for ids, w in zip(found, words, strict=True)]
+            self._learn(encoded.dictionary.filter(pa.array([ids is None for ids in found])))
+            found = [ids if ids is not None else self.words.get(w) or remember(w) or self._new(w) for ids, w in zip(found, words, strict=True)]
+        pool = np.frombuffer(b"".join(found), f"={self.code}").astype("<u4")
+        counts = np.fromiter(map(len, found), np.int64, len(found)) // array(self.code).itemsize
+        places = encoded.indices.to_numpy(zero_copy_only=False)
+        sizes = counts[places]
+        ends = np.append(0, np.cumsum(sizes))[split.offsets.to_numpy()[1:].astype(np.int64) - split.offsets[0].as_py()]
+        return pool[stretches((np.cumsum(counts) - counts)[places], sizes)], ends
 
     def ids(self, text: bytes) -> np.ndarray:
         """Ids of one text."""
-        return self.ids_of([text])[0]
+        return self.ids_of(pa.array([text], pa.binary()).cast(pa.string()))[0]
 
 
 _LOADED: dict[str, WordTokenizer] = {}
