@@ -97,7 +97,7 @@ OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CA
 WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
 THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
 _NUMBERED, _PLAIN = ("1. ", "2. ", "3. "), ("", "", "")
-# Entire texts and headers that the SQL form does not know.
+# More entire texts and headers.
 MORE_TEXTS = [
     *(("BSD-2-Clause", (_REDISTRIBUTION + _DISCLAIMER).format(*n)) for n in (_NUMBERED, _PLAIN)),
     *(("BSD-3-Clause", (_REDISTRIBUTION + _ENDORSEMENT + _DISCLAIMER).format(*n)) for n in (_NUMBERED, _PLAIN)),
@@ -129,11 +129,9 @@ TITLES = {
     "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License"),
     "Unlicense": ("The Unlicense", "Unlicense"),
 }
-# Names in notices that the SQL form does not know.
+# More names in notices.
 MORE_NAMES = {"Zlib": ("zlib", "zlib/libpng")}
 PUNCTUATION = r"[^\p{L}\p{N}\n]+"
-# The SQL form still uses this one.
-COPYRIGHT_LINE = r"(?m)^ ?(?:(?:c ?)?(?:copyright|copr|c [0-9]{4})\b.*|all rights reserved ?)$"
 #: A copyright statement on a line of its own: the word, then a year or an owner. Running text goes on with other words, wherever it is wrapped.
 _RUNNING = r"(?:holders?|owners?|notices?|interests?|laws?|licenses?|statements?|and|or|is|in|to|of|for)\b"
 STATEMENT_LINE = rf"(?m)^ ?(?:(?:c ?)?(?:(?:copyright|copr) (?!{_RUNNING})[^\s].*|c [0-9]{{4}}\b.*)|all rights reserved ?)$"
@@ -142,7 +140,7 @@ _VARIANTS = rf"\b(?:{'|'.join(SPELLINGS)})\b"
 
 
 def known_texts() -> list[tuple[str, str]]:
-    """``(licence id, text)`` of the texts and notices that the SQL form knows."""
+    """``(licence id, text)`` of the first texts, and of notices."""
     names = {k: list(v) for k, v in NAMES.items()}
     for part in CC_PARTS:
         for version in CC_VERSIONS:

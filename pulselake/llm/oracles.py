@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pulselake.llm.licenses import COPYRIGHT_LINE, PUNCTUATION, SPELLINGS, known_texts
+from pulselake.llm.licenses import _RUNNING, PUNCTUATION, SPELLINGS, all_texts
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -19,7 +19,13 @@ def _spelled(column: str) -> str:
 
 def _lines(column: str) -> str:
     plain = f"regexp_replace(lower(replace({column}, '©', '(c) ')), '{PUNCTUATION}', ' ', 'g')"
-    return f"regexp_replace({plain}, '{COPYRIGHT_LINE}', '', 'g')"
+    # Without a look ahead: a statement goes on, and not with one of the words of running text.
+    owner = "^ ?(c ?)?(copyright|copr) "
+    statement = (
+        rf"(regexp_matches(l, '{owner}[^\s]') AND NOT regexp_matches(l, '{owner}{_RUNNING}')) "
+        r"OR regexp_matches(l, '^ ?(c ?)?c [0-9]{4}\b') OR regexp_matches(l, '^ ?all rights reserved ?$')"
+    )
+    return f"array_to_string(list_transform(string_split({plain}, chr(10)), lambda l: CASE WHEN {statement} THEN '' ELSE l END), chr(10))"
 
 
 def _flat(column: str) -> str:
@@ -58,7 +64,7 @@ WITH rated AS (
 SELECT doc_id, size::BIGINT AS size, source, source_size::BIGINT AS source_size, target, copies, (copies * size)::BIGINT AS taken FROM counted
 """
 
-_KNOWN = ", ".join(f"({_literal(name)}, {_literal(text)})" for name, text in known_texts())
+_KNOWN = ", ".join(f"({_literal(name)}, {_literal(text)})" for name, text in all_texts())
 _LICENSES = rf"""
 WITH known AS (
   SELECT md5({_flat(_lines("t"))}) AS digest, min(name) AS license FROM (VALUES {_KNOWN}) v(name, t) GROUP BY 1

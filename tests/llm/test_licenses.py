@@ -77,3 +77,26 @@ def test_texts_below_their_title_and_zlib_notices(spark):
     rows = found(spark, [text for _, text in cases])
     assert [rows[i].whole_license for i in range(len(cases))] == [name for name, _ in cases]
     assert len(all_texts()) < 2000
+
+
+def test_sql_knows_the_same_texts(spark):
+    import duckdb
+
+    from pulselake.llm.licenses import all_texts
+    from pulselake.llm.oracles import ORACLES
+
+    head = ["Copyright (c) 2024 Some Owner", "© 2023 Owner, all rights reserved", "All rights reserved.", "Copyright notices stay", "Copyright and more", ""]
+    wrapped = lambda t, n: "\n".join(" ".join(t.split()[i : i + n]) for i in range(0, len(t.split()), n))
+    rows = []
+    for i, (_, text) in enumerate(all_texts()):
+        rows += [(2 * i, f"{head[i % 6]}\n{text}"), (2 * i + 1, wrapped(text, 5 + i % 9) + ("\n" + head[i % 5]) * (i % 2))]
+    rows += [(10_000, None), (10_001, ""), (10_002, "plain text\nof no licence")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ours = {r.doc_id: tuple(r)[1:5] for r in scan(docs).collect()}
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    connection.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    relation = connection.sql(ORACLES["op10_license_scan"])
+    at = {c: i for i, c in enumerate(relation.columns)}
+    theirs = {r[at["doc_id"]]: tuple(r[at[c]] for c in ("n_lines", "whole_license", "n_license_lines", "licenses")) for r in relation.fetchall()}
+    assert ours == theirs and sum(v[1] is not None for v in ours.values()) > len(rows) // 2
