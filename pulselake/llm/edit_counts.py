@@ -13,7 +13,12 @@ back, so pre-tokens that end so much earlier are unaffected.
 Edits are ``struct<start, length, insert>`` in code points, applied in turn,
 each to the text that the ones before left; positions beyond the end mean the
 end, and null fields mean zero or nothing. Defined results: null texts count as
-empty and can be edited. A null list of edits is an empty one.
+empty and can be edited. A null list of edits is an empty one. Repeated rows
+each have their counts; rows without an id keep a null id and, as kept trees,
+meet no later edits; edits of an id apply to every kept row of that id, and
+edits of one ``seq`` in the order of their other fields. A tree of a very long
+text is held by one task, in memory that grows with that text alone. Other
+columns are never looked at.
 
 ``count_edits`` does all for documents that come with their edits.
 ``build_trees`` gives rows to keep, and ``update_trees`` takes kept rows and a

@@ -29,6 +29,7 @@ import re
 from collections import Counter
 from dataclasses import dataclass, field
 from functools import cached_property
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -38,7 +39,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulselake.llm.text_units import stretches
+from pulselake.llm.text_units import Numbering, stretches
 
 UNKNOWN = "und"
 _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -64,6 +65,7 @@ class Weights:
 
     rows: dict[str, int]
     base: np.ndarray
+    starts: np.ndarray
     ends: np.ndarray
     columns: np.ndarray
     extra: np.ndarray
@@ -75,13 +77,17 @@ class Weights:
         rows = {w: n for n, w in enumerate(w for w, first in zip(items, new, strict=True) if first)}
         totals = np.bincount(columns, counts, languages)
         starts = np.flatnonzero(new)
-        return cls(rows, np.log(0.5 / (totals + 0.5 * len(rows) + 1)), np.append(starts[1:], len(items)), columns, np.log(2 * counts + 1))
+        return cls(rows, np.log(0.5 / (totals + 0.5 * len(rows) + 1)), starts, np.append(starts[1:], len(items)), columns, np.log(2 * counts + 1))
 
-    def total(self, rows: np.ndarray) -> np.ndarray:
-        """Sum over items, by language."""
-        starts = np.append(0, self.ends)[rows]
-        at = stretches(starts, self.ends[rows] - starts)
-        return len(rows) * self.base + np.bincount(self.columns[at], self.extra[at], len(self.base))
+    def means(self, lists: list[list[int]]) -> np.ndarray:
+        """Mean over the items of each list, by language; no list is empty."""
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        items = np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum()))
+        lengths = self.ends[items] - self.starts[items]
+        at = stretches(self.starts[items], lengths)
+        out = np.zeros((len(lists), len(self.base)))
+        np.add.at(out, (np.repeat(np.repeat(np.arange(len(lists)), sizes), lengths), self.columns[at]), self.extra[at])
+        return self.base + out / sizes[:, None]
 
 
 @dataclass
@@ -118,29 +124,45 @@ class LanguageModel:
     @property
     def table(self) -> np.ndarray:
         """All weights as one dense table, for inspection of small models."""
-        return np.concatenate([np.stack([w.total(np.array([n])) for n in range(len(w.rows))]) for w in self.weights if w.rows])
+        return np.concatenate([w.means([[n] for n in range(len(w.rows))]) for w in self.weights if w.rows])
 
     def backed_off(self, word: str) -> np.ndarray:
         """Scores of an unseen word: the mean of its longest known n-grams."""
-        marked = f"<{word}>"
-        for length in range(min(_LONGEST, len(marked)), 0, -1):
-            known = self.weights[length].rows
-            rows = [known[g] for g in (marked[i : i + length] for i in range(len(marked) - length + 1)) if g in known]
-            if rows:
-                return self.weights[length].total(np.array(rows)) / len(rows)
-        return np.zeros(len(self.languages))
-
-    def total(self, words: list[str]) -> np.ndarray:
-        """Sum of the scores of at most ``_CHUNK`` words."""
-        rows = [*map(self.words.get, words)]
-        total = self.weights[0].total(np.fromiter((r for r in rows if r is not None), np.int64))
-        new = [w for w, r in zip(words, rows, strict=True) if r is None]
-        if not new:
-            return total
+        return self._backed_off([word])[0]
+
+    def _backed_off(self, words: list[str]) -> np.ndarray:
+        found: list[tuple[list[int], list[list[int]]]] = [([], []) for _ in range(_LONGEST + 1)]
+        for place, word in enumerate(words):
+            marked = f"<{word}>"
+            for length in range(min(_LONGEST, len(marked)), 0, -1):
+                known = self.weights[length].rows
+                rows = [known[g] for g in [marked[i : i + length] for i in range(len(marked) - length + 1)] if g in known]
+                if rows:
+                    found[length][0].append(place)
+                    found[length][1].append(rows)
+                    break
+        out = np.zeros((len(words), len(self.languages)))
+        for length, (places, lists) in enumerate(found):
+            if places:
+                out[places] = self.weights[length].means(lists)
+        return out
+
+    def rows_of(self, words: list[str]) -> np.ndarray:
+        """Scores of distinct words, a row each."""
+        known = self.weights[0]
+        places = np.fromiter(map(known.rows.get, words, repeat(-1)), np.int64, len(words))
+        seen, new = np.flatnonzero(places >= 0), np.flatnonzero(places < 0)
+        out = np.empty((len(words), len(self.languages)))
+        out[seen] = known.base
+        starts = known.starts[places[seen]]
+        lengths = known.ends[places[seen]] - starts
+        at = stretches(starts, lengths)
+        out[np.repeat(seen, lengths), known.columns[at]] += known.extra[at]
         kept = max(1, min(_KEPT, _CELLS // len(self.languages)))
         for first in range(0, len(new), kept):
-            total = total + self._unseen(new[first : first + kept], kept)
-        return total
+            own = new[first : first + kept]
+            out[own] = self._unseen([words[i] for i in own.tolist()], kept)
+        return out
 
     def _unseen(self, new: list[str], kept: int) -> np.ndarray:
         if not len(self.extra):
@@ -149,21 +171,50 @@ class LanguageModel:
         if len(self.memo) + len(missing) > len(self.extra):
             self.memo.clear()
             missing = set(new)
-        for word in missing:
-            self.memo[word] = at = len(self.memo)
-            self.extra[at] = self.backed_off(word)
-        return self.extra[[*map(self.memo.__getitem__, new)]].sum(axis=0)
-
-    def score(self, text: str | None) -> tuple[str, float]:
-        """The best language and its share of the evidence, 0 to 1."""
-        words = words_of(text)
-        if not words or not self.languages:
-            return UNKNOWN, 0.0
-        mean = sum(self.total(words[i : i + _CHUNK]) for i in range(0, len(words), _CHUNK)) / len(words)
+        learned = sorted(missing)
+        self.extra[len(self.memo) : len(self.memo) + len(learned)] = self._backed_off(learned)
+        self.memo.update(zip(learned, range(len(self.memo), len(self.memo) + len(learned))))
+        return self.extra[[*map(self.memo.__getitem__, new)]]
+
+    def scores(self, texts) -> list[tuple[str, float]]:
+        """The best language of each text and its share of the evidence, 0 to 1.
+
+        Words of many texts are looked up together, each distinct one once.
+        """
+        if not self.languages:
+            return [(UNKNOWN, 0.0) for _ in texts]
+        most = max(1, min(_CHUNK, _CELLS // len(self.languages)))
+        sums, counts, number, parts, held = [], [], Numbering(), [], 0
+
+        def add_up():
+            table = self.rows_of([*number])
+            for i, own in parts:
+                sums[i] += table[own].sum(axis=0)
+            number.clear()
+            parts.clear()
+
+        for i, text in enumerate(texts):
+            words = words_of(text)
+            sums.append(np.zeros(len(self.languages)))
+            counts.append(len(words))
+            for first in range(0, len(words), most):
+                parts.append((i, number.of(words[first : first + most])))
+                held += len(parts[-1][1])
+                if held >= 8 * most or len(number) >= most:
+                    add_up()
+                    held = 0
+        add_up()
+        return [self._judged(total / n, n) if n else (UNKNOWN, 0.0) for total, n in zip(sums, counts, strict=True)]
+
+    def _judged(self, mean: np.ndarray, words: int) -> tuple[str, float]:
         best = int(np.argmax(mean))
-        weight = np.exp((mean - mean[best]) * min(len(words), _EVIDENCE))
+        weight = np.exp((mean - mean[best]) * min(words, _EVIDENCE))
         return self.languages[best], float(1 / weight.sum())
 
+    def score(self, text: str | None) -> tuple[str, float]:
+        """``scores`` of one text."""
+        return self.scores([text])[0]
+
 
 def _word_counts(batches):
     """Counts of the words of each batch, by language."""
@@ -254,7 +305,7 @@ def prediction(docs: DataFrame, model: LanguageModel, text_column: str = "text")
     @F.pandas_udf("lang string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
         known = shared.value
-        return pd.DataFrame([known.score(t) for t in texts], columns=["lang", "score"])
+        return pd.DataFrame(known.scores(texts), columns=["lang", "score"])
 
     return predict(F.col(text_column))
 

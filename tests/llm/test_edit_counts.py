@@ -100,3 +100,14 @@ def test_kept_trees_follow_later_edits(spark, folder):
     # Updated rows are trees again.
     more = update_trees(changed.drop("n_encoded_again"), table.where("doc_id = 1"), PATH).first()
     assert (more.text, more.n_tokens) == ("was nullwas null", whole("was nullwas null"))
+
+
+def test_repeated_rows_and_rows_without_an_id(spark):
+    docs = spark.createDataFrame([(1, "one two"), (1, "one two"), (1, "other"), (None, "no id"), (2, None)], "doc_id long, text string")
+    kept = build_trees(docs, PATH)
+    assert sorted((r.doc_id is None, r.n_tokens) for r in kept.collect()) == [(False, 0), (False, 1), (False, 2), (False, 2), (True, 2)]
+    edits = spark.createDataFrame([(1, 1, 0, 0, "b "), (1, 0, 0, 0, "a "), (None, 0, 0, 0, "x"), (2, 0, 0, 0, "y"), (3, 0, 0, 0, "z")],
+                                  "doc_id long, seq int, start long, length long, insert string")
+    found = sorted((r.doc_id, r.text, r.n_tokens) for r in update_trees(kept, edits, PATH).collect())
+    assert found == [(1, "b a one two", 4), (1, "b a one two", 4), (1, "b a other", 3), (2, "y", 1)]
+    assert all(n == whole(t) for _, t, n in found)
