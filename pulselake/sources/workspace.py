@@ -58,13 +58,13 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         delete(spark, folder)
 
 
-def settle(rows: DataFrame) -> DataFrame:
-    """Write ``rows`` to the shared folder and read them from there on.
+def settle(rows: DataFrame, path: str | None = None) -> DataFrame:
+    """Write ``rows`` to the shared folder, or to ``path``, and read them from there on.
 
     A Parquet table rather than a checkpoint: it is compressed, later reads
     take only the columns they need, and its size is known to the planner.
     """
     spark = rows.sparkSession
-    path = fresh_folder(spark, "settled")
+    path = path or fresh_folder(spark, "settled")
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
