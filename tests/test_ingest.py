@@ -6,6 +6,7 @@ from pulselake.operators.envelope import decode, promote, to_bronze
 from pulselake.operators.ingest import daily_events, first_profile_rows, hourly_events
 from pulselake.operators.baseline import baseline_pool
 from pulselake.sources.csv_export import read_export
+from pulselake.specs import PROFILE
 from tests.rows import one, transport
 
 HOURLY = """id,date,hour,bpm,steps,activityType,RESTED/RELAXED,mindfulness_session,age,step_goal,min_goal,step_goal_label
@@ -116,3 +117,13 @@ def test_baseline_pool(spark):
     assert (pool["u1", "1"]["base_bpm"], pool["u1", "1"]["base_rmssd"], pool["u1", "1"]["base_breathing"]) == (70, 31, None)
     assert pool["u1", "2"]["base_bpm"] is None
     assert (pool["u2", "0"]["base_rmssd"], pool["u2", "0"]["base_breathing"]) == (None, None)
+
+
+def test_first_profile_of_rows_alike_is_the_earliest_arrival(spark):
+    """Rows alike in all that a profile holds: the arrival decides, however the rows are dealt."""
+    rows = spark.range(400).selectExpr(
+        "'u' || id % 40 AS id", "'2021-05-24' AS date", "'0.0' AS hour", "'<30' AS age", "timestamp_seconds(1000 + (id * 37) % 400) AS delivered")
+    least = {r["id"]: r["t"] for r in rows.groupBy("id").agg(F.min("delivered").alias("t")).collect()}
+    for dealt in (rows.orderBy(F.desc("delivered")).coalesce(1), rows.repartition(7)):
+        sent = hourly_events(dealt, F.col("delivered"), specs=[PROFILE])
+        assert {r["key"].decode(): r["timestamp"] for r in sent.collect()} == least
