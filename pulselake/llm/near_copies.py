@@ -14,6 +14,14 @@ verified by the similarity of the whole shingle sets, and only verified links
 make components. Trees of more than ``_CROWD`` texts are split as in
 ``simhash_trees``.
 
+No link is lost by that: a task also names the texts whose links it did not
+hand on in full, with their group of linked texts. A link left out inside a
+component adds nothing. Where the texts of a group are in several components,
+``left_out`` finds all pairs of them from different components that are alike,
+by an exact join of the rarest shingles of each text: sets of similarity ``s``
+share at least the part ``s`` of each, so they share one of the n - s n + 1
+shingles of each that come first in one order of all.
+
 Defined results: null and empty texts and texts of white space have no shingles
 and are one component. Texts shorter than a shingle are one shingle. Repeated
 rows are one text. Each component keeps one row, also where rows share an id.
@@ -109,7 +117,7 @@ def _thinned(left: np.ndarray, right: np.ndarray, distance: np.ndarray, size: in
 
 
 def _linked(radius: int):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("link", pa.bool_())])
 
     def find(table):
         trees, texts = table["tree"].to_numpy(), table["node"].to_numpy()
@@ -158,13 +166,24 @@ def _linked(radius: int):
         hub[np.lexsort((names, -closeness))] = np.arange(len(names))
         left, right = map(np.concatenate, zip(near, chosen(lambda right, distance: hub[right]), strict=True))
         ends = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)], axis=1), axis=0)
-        return pa.table([pa.array(names[ends[:, 0]]), pa.array(names[ends[:, 1]])], schema=schema)
+        # Only a text that is linked to all others of its group has had no link left out.
+        label = spanning(ends[:, 0], ends[:, 1], np.arange(len(names)))
+        degree = np.bincount(ends.ravel(), minlength=len(names))
+        short_of = np.flatnonzero(degree < np.bincount(label, minlength=len(names))[label] - 1)
+        first = np.concatenate([names[ends[:, 0]], names[short_of]])
+        second = np.concatenate([names[ends[:, 1]], names[label[short_of]]])
+        return pa.table([pa.array(first), pa.array(second), pa.array(np.arange(len(first)) < len(ends))], schema=schema)
 
     return find
 
 
 def candidates(texts: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Distinct links ``(a, b)`` to verify, from rows ``(node, fp, bands)`` of distinct texts."""
+    """Links to verify, from rows ``(node, fp, bands)`` of distinct texts, and the texts that lack some.
+
+    Distinct rows ``(a, b, link)``: a link of ``a`` and ``b``, or, where
+    ``link`` is false, a text ``a`` not all of whose links to other texts of
+    the group ``b`` are among the links.
+    """
     spark = texts.sparkSession
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), texts.count() * _BANDS // _SHARD_ROWS)
     placed = texts.select("node", "fp", F.posexplode("bands").alias("band", "value"))
@@ -181,7 +200,7 @@ def candidates(texts: DataFrame, radius: int = RADIUS) -> DataFrame:
     crowded = placed.where("parts > 1").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     trees = crowded.select(row(True, False, F.xxhash64(*value, own), F.xxhash64(*value, own, other)))
     slices = crowded.select(row(False, True, F.xxhash64(*value, other), F.xxhash64(*value, other, own)))
-    return plain.union(trees).union(slices).groupBy("shard").applyInArrow(_linked(radius), "a long, b long").distinct()
+    return plain.union(trees).union(slices).groupBy("shard").applyInArrow(_linked(radius), "a long, b long, link boolean").distinct()
 
 
 def verified(links: DataFrame, texts: DataFrame, least: float, width: int) -> DataFrame:
@@ -196,6 +215,53 @@ def verified(links: DataFrame, texts: DataFrame, least: float, width: int) -> Da
     return links.join(first, "a").join(second, "b").where(alike("left", "right") >= least).select("a", "b")
 
 
+def left_out(texts: DataFrame, least: float, width: int) -> DataFrame:
+    """All pairs ``(a, b)`` of texts, rows ``(node, root, text)``, of different roots that may be alike, none that is missing.
+
+    Shingles are ordered by the number of texts that hold them, so those of a
+    common template come last. A pair shares one of the first shingles of each;
+    at the first that it shares, what follows must suffice for the similarity.
+    """
+
+    schema = pa.schema([("node", pa.int64()), ("root", pa.int64()), ("size", pa.int32()), ("shingle", pa.int64())])
+
+    def shingles(batches):
+        for batch in batches:
+            for node, root, text in zip(*(batch[c] for c in ("node", "root", "text")), strict=True):
+                found = np.unique(shingle_hashes(text.as_py(), width)).view(np.int64)
+                same = [np.full(len(found), v) for v in (node.as_py(), root.as_py(), len(found))]
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip([*same, found], schema.types, strict=True)], schema=schema)
+
+    own = settle(texts.select("node", "root", "text").mapInArrow(shingles, "node long, root long, size int, shingle long"))
+    shared = own.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    order = Window.partitionBy("node").orderBy(F.coalesce("held", F.lit(1)), "shingle")
+    ranked = own.join(shared, "shingle", "left").withColumn("place", F.row_number().over(order))
+    # A hair more than needed, so that rounding loses nothing.
+    first = settle(ranked.where((F.col("place") <= F.col("size") - F.ceil(F.col("size") * least - 1e-6) + 1) & (F.col("held") > 1)))
+    left = first.select("shingle", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("size").alias("size_a"), F.col("place").alias("place_a"))
+    right = first.select("shingle", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"), F.col("place").alias("place_b"))
+    follows = 1 + F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    enough = follows >= (F.col("size_a") + F.col("size_b")) * (least / (1 + least)) - 1e-6
+    return left.join(right, "shingle").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & enough).select("a", "b").distinct()
+
+
+def roots(found: DataFrame, bodies: DataFrame, least: float, width: int) -> DataFrame:
+    """``(node, root)`` of every text with a verified link, from ``candidates`` and the texts of its nodes, rows ``(node, text)``."""
+    links = found.where("link").select("a", "b")
+    rooted = components(verified(links, bodies, least, width))
+    held = found.where("NOT link").select(F.col("a").alias("node"), F.col("b").alias("group")).join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    split = held.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    rest = settle(held.join(split, "group", "left_semi").select("node", "root").distinct())
+    if rest.isEmpty():
+        return rooted
+    pairs = left_out(rest.join(bodies, "node"), least, width).join(links, ["a", "b"], "left_anti")
+    more = verified(pairs, bodies, least, width)
+    ends = [rest.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b")]
+    joined = components(more.join(ends[0], "a").join(ends[1], "b").select("root_a", "root_b")).toDF("root", "least_root")
+    every = rooted.union(rest).distinct().join(joined, "root", "left")
+    return every.select("node", F.coalesce("least_root", "root").alias("root"))
+
+
 def one_of_each(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: float = SIMILARITY, radius: int = RADIUS, width: int = WIDTH
 ) -> DataFrame:
@@ -209,9 +275,9 @@ def one_of_each(
     marks = settle(docs.select(ident.alias("doc_id"), node.alias("node"), _marks(text, width).alias("m")).select("doc_id", "node", "m.*"))
     texts = marks.groupBy("node").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"))
     links = settle(candidates(texts, radius))
-    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    ends = links.where("link").select(F.explode(F.array("a", "b")).alias("node")).distinct()
     bodies = docs.select(node.alias("node"), text.alias("text")).join(ends, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    found = components(verified(links, bodies, least, width))
+    found = roots(links, settle(bodies), least, width)
     rooted = marks.select("doc_id", "node").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "node")).alias("k"))
     kept = kept.select(F.col("k.doc_id").alias("kept_id"), F.col("k.node").alias("kept_node"))

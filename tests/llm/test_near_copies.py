@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from pulselake.llm.near_copies import _thinned, marks_of, shingle_hashes, similarity
+from pulselake.llm.near_copies import _thinned, left_out, marks_of, shingle_hashes, similarity
 from tests.llm.rows import awkward_docs, no_docs
 from tests.llm.test_simhash import plain_components
 
@@ -72,6 +72,38 @@ def test_stage_against_brute_force(spark):
     assert len(kept - expected) <= 0.02 * len(texts)
 
 
+def template_texts(texts=500, pairs=100, seed=5):
+    """Texts that share a template, most just not alike, and copies of some."""
+    rng = random.Random(seed)
+    template = [f"t{i}" for i in range(200)]
+    own = [edited(rng, template, 3).split() for _ in range(texts)]
+    return [" ".join(words) for words in own] + [edited(rng, words, 5) for words in own[:pairs]]
+
+
+def test_links_among_many_texts_of_a_template(spark):
+    """Each text is near to hundreds that are not alike: the links left out by the trees' tasks are verified too."""
+    texts = template_texts()
+    sets = [shingles(t) for t in texts]
+    linked = [(a, b) for a, b in combinations(range(len(texts)), 2) if jaccard(sets[a], sets[b]) >= 0.8]
+    expected = set(plain_components(range(len(texts)), linked).values())
+    kept = {r.doc_id for r in corpus_pipeline.simhash_dedup(spark, spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), "").collect()}
+    print(f"components: {len(expected)}, kept: {len(kept)}, links: {len(linked)}")
+    assert kept == expected
+
+
+@pytest.mark.parametrize("least", [0.5, 0.8])
+def test_pairs_left_out_against_brute_force(spark, least):
+    """All alike pairs of texts of different roots, however short the texts and common the shingles."""
+    rng = random.Random(4)
+    base = [[f"w{rng.randrange(30)}" for _ in range(n)] for n in (3, 6, 9, 14, 30, 60)]
+    texts = sorted({edited(rng, words, rng.randint(0, len(words) // 6 + 1)) for words in base for _ in range(25)})
+    sets = [np.unique(shingle_hashes(t)) for t in texts]
+    expected = {(a, b) for a, b in combinations(range(len(texts)), 2) if a % 3 != b % 3 and similarity(sets[a], sets[b]) >= least}
+    rows = spark.createDataFrame([(i, i % 3, t) for i, t in enumerate(texts)], "node long, root long, text string")
+    found = {(r.a, r.b) for r in left_out(rows, least, 5).collect()}
+    assert expected and found >= expected and all(a % 3 != b % 3 for a, b in found)
+
+
 def test_every_component_keeps_a_row(spark):
     docs = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (1, "other text"), (None, "e f g h"), (None, "e f g h"), (None, "a b c d")], "doc_id long, text string")
     kept = corpus_pipeline.simhash_dedup(spark, docs, "").collect()
