@@ -110,14 +110,13 @@ def _covered(name: str) -> str:
     return f"gold/{name}"
 
 
-def changed_dates(lake: Lake) -> tuple[DataFrame, dict[str, dict[str, int]]]:
-    """Dates whose Gold rows may have changed, and the batches that changed them.
+def changed_dates(lake: Lake, refined: dict[str, dict[str, int]]) -> DataFrame:
+    """Dates whose Gold rows may have changed by the batches ``refined`` of each topic.
 
     Those are the dates of all batches that Silver took in since Gold last
     covered them, however old the dates; a new profile changes every date of
     its user.
     """
-    refined = {name: lake.refined_batches(name) for name in TOPICS}
     parts = [lake.spark.createDataFrame([], "event_date string")]
     for name, batches in refined.items():
         done = lake.refined_batches(_covered(name))
@@ -131,7 +130,7 @@ def changed_dates(lake: Lake) -> tuple[DataFrame, dict[str, dict[str, int]]]:
             parts += [t.join(users, "user_id", "left_semi").select(F.col("event_date").cast("string")) for t in tables if t is not None]
         else:
             parts.append(rows.select("event_date"))
-    return settle(reduce(DataFrame.union, parts).distinct()), refined
+    return settle(reduce(DataFrame.union, parts).distinct())
 
 
 def run_gold(lake: Lake, *, strict_schema: bool = False, since: dt.date | None = None, full: bool = False) -> list[str]:
@@ -144,9 +143,10 @@ def run_gold(lake: Lake, *, strict_schema: bool = False, since: dt.date | None =
     refined = None
     source = GoldInput(lake, strict_schema, since)
     if since is None:
-        dates, refined = changed_dates(lake)
+        refined = {name: lake.refined_batches(name) for name in TOPICS}
+        # A rebuild of all dates does not ask which of them changed.
         if not (full or strict_schema or lake.read(GOLD, "daily_wellness_profile") is None):
-            source = GoldInput(lake, dates=dates)
+            source = GoldInput(lake, dates=changed_dates(lake, refined))
     built = [name for name in BUILDERS if build_gold(source, name)]
     for name, batches in (refined or {}).items():
         if batches:

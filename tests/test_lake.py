@@ -142,6 +142,18 @@ def test_new_only_reads_each_batch_once(lake):
     assert not refine_topic(lake, TOPICS["sleep"], new_only=True)
 
 
+def test_gold_of_all_dates_does_not_ask_which_changed(lake, monkeypatch):
+    land(lake, 0, bronze_row({"bpm": 70}))
+    run_silver(lake)
+    with monkeypatch.context() as patched:
+        patched.setattr("pulselake.plans.gold.changed_dates", None)
+        assert "daily_wellness_profile" in run_gold(lake) and run_gold(lake, full=True)
+    land(lake, 1, bronze_row({"bpm": 90}, stamp="2021-05-24T09:00:00"))
+    run_silver(lake)
+    run_gold(lake)
+    assert one(lake.require(GOLD, "daily_wellness_profile"))["avg_bpm"] == 80.0
+
+
 def test_gold_since_leaves_earlier_dates(lake):
     land(lake, 0, bronze_row({"bpm": 70}), bronze_row({"bpm": 80}, date="2021-05-25", stamp="2021-05-25T07:00:00"))
     run_silver(lake)
