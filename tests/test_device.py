@@ -9,3 +9,15 @@ def test_events_of_one_row_group_reach_all_cores(spark):
     assert sum(n > 0 for n in sizes) >= spark.sparkContext.defaultParallelism
     assert sum(sizes) == plain.count()
     assert plain.exceptAll(dealt.select(plain.columns)).isEmpty()
+
+
+def _optimized(rows):
+    return rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_what_documents_share_is_written_once_a_row(spark):
+    """Times in text are made below the generator that makes a row's documents, not in each of them."""
+    for sent in (device.all_transport(spark, SF_DIR), device.intraday_transport(spark, SF_DIR)):
+        generators = [line for line in _optimized(sent).splitlines() if "Generate explode(array(" in line]
+        assert generators
+        assert not any("format_string" in line or "date_format" in line for line in generators)
