@@ -21,3 +21,8 @@ def test_what_documents_share_is_written_once_a_row(spark):
         generators = [line for line in _optimized(sent).splitlines() if "Generate explode(array(" in line]
         assert generators
         assert not any("format_string" in line or "date_format" in line for line in generators)
+
+
+def test_event_json_is_read_ahead_of_the_dealing(spark):
+    plan = _optimized(device._events(spark, SF_DIR).select("k"))
+    assert plan.index("RepartitionByExpression") < plan.index("get_json_object")
