@@ -1,5 +1,5 @@
 from tests.compare import SF_DIR
-from workload import device
+from workload import device, queries
 
 
 def test_events_of_one_row_group_reach_all_cores(spark):
@@ -26,3 +26,10 @@ def test_what_documents_share_is_written_once_a_row(spark):
 def test_event_json_is_read_ahead_of_the_dealing(spark):
     plan = _optimized(device._events(spark, SF_DIR).select("k"))
     assert plan.index("RepartitionByExpression") < plan.index("get_json_object")
+
+
+def test_export_payloads_are_parsed_once_ahead_of_the_grouping(spark):
+    """The aggregation of ``csv_hourly_events`` reads cells, so its sort carries no payload."""
+    plan = _optimized(queries.csv_hourly_events(spark, SF_DIR))
+    assert "get_json_object" not in plan
+    assert "payload" not in plan.split("Aggregate", 1)[1].splitlines()[0]
