@@ -37,6 +37,20 @@ def test_clock(spark, text, stamp):
     assert value(spark, clock_text(F.lit("2021-05-24"), hour)) == stamp
 
 
+@pytest.mark.parametrize("text, number", [("1 2", None), ("- 1", None), ("1e 5", None), ("  ", None), ("  -1e3  ", -1000.0),
+                                          ("\t7", None), ("7\n", None)])
+def test_number_takes_outer_spaces_only(spark, text, number):
+    assert value(spark, number_or_null(F.lit(text))) == number
+
+
+def test_cells_and_clock_are_read_once(spark):
+    """Every document pays for these: no trimmed copy of a cell, no formatter that reads its pattern per row."""
+    rows = spark.range(1).select(F.col("id").cast("string").alias("cell"))
+    hour = clock_hour(number_or_null(F.col("cell")))
+    plan = rows.select(clock_text(F.col("cell"), hour))._jdf.queryExecution().optimizedPlan().toString()
+    assert "format_string" not in plan and "trim(" not in plan
+
+
 @pytest.mark.parametrize("number, whole", [
     (134.9, 134), (-0.5, 0), (30000.9, 30000), (3e10, 2147483647), (-3e10, -2147483648),
     (float("nan"), 0), (None, None), (float("inf"), 2147483647),
