@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,16 +70,18 @@ class WindowModel:
 
         The principal component model does not centre its input, so the mean
         is handled here. Whole Arrow batches go through one matrix product, and
-        one number per window comes back.
+        one number per window comes back. The cells of a batch lie in one buffer,
+        which becomes the matrix without an object per window.
         """
         center, components = self.center, self.components
 
-        @F.pandas_udf("double")
-        def distance(cells: pd.Series) -> pd.Series:
-            if cells.empty:
-                return pd.Series([], dtype="float64")
-            matrix = np.stack(cells.to_numpy()).astype("float64") - center
-            return pd.Series(((matrix - matrix @ components @ components.T) ** 2).mean(axis=1))
+        @F.arrow_udf("double")
+        def distance(cells: pa.Array) -> pa.Array:
+            if not len(cells):
+                return pa.array([], pa.float64())
+            matrix = cells.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(cells), -1) - center
+            # A window with a missing cell has no error.
+            return pa.array(((matrix - matrix @ components @ components.T) ** 2).mean(axis=1), from_pandas=True)
 
         return distance(flat)
 

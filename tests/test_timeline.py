@@ -1,10 +1,12 @@
 import datetime as dt
 import random
+import re
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.util import PythonEvalType
 
 from pulselake.operators import timeline
 from pulselake.operators.anomaly import (
@@ -156,6 +158,20 @@ def test_model_scores_match_numpy_and_survive_storage(spark, folder):
         WindowModel.load(f"{folder}/nothing", spark)
 
 
+def test_windows_are_scored_as_arrow_buffers(spark):
+    """No object per window; a window with a missing cell has no error."""
+    windows = spark.createDataFrame(
+        [("u1", day("2021-01-07"), [[float(i), 1.0] for i in range(7)]), ("u2", day("2021-01-07"), [[float(i), None] for i in range(7)])],
+        "user_id string, event_date date, window array<array<float>>")
+    model = WindowModel(timeline.FeatureScaler(("a", "b"), (0.0, 0.0), (1.0, 1.0)), np.zeros(14), np.eye(14)[:, :2])
+    scored = model.score(windows)
+    assert {r["user_id"]: r["reconstruction_error"] for r in scored.collect()} == {"u1": pytest.approx((91 + 6) / 14), "u2": None}
+    assert model.score(windows.limit(0)).collect() == []
+    kind = PythonEvalType.SQL_SCALAR_ARROW_UDF
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert re.search(rf"ArrowEvalPython \[distance.*\], {kind}\b", plan), plan
+
+
 def test_wrong_window_shape_fails(spark):
     prepared = prepare_windows(features(spark))
     model = WindowModel.fit(prepared.windows, prepared.scaler, rank=2)
