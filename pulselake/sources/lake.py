@@ -15,7 +15,7 @@ from pulselake.operators.refine import not_stored
 from pulselake.sources.schemas import Schemas, evolved
 from pulselake.sources.seals import Generations, Seals, in_batches
 from pulselake.sources.versions import Versions
-from pulselake.sources.workspace import scratch, settle
+from pulselake.sources.workspace import freeing_shuffles, scratch, settle
 from pulselake.specs import BRONZE_SCHEMA, TOPICS
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
@@ -168,7 +168,8 @@ class Lake:
         self._save(rows, self.config.table(layer, name), mode)
 
     def _save(self, rows: DataFrame, folder: str, mode: str) -> None:
-        by_date(rows).write.format(self.config.table_format).mode(mode).partitionBy("event_date").save(folder)
+        with freeing_shuffles(self.spark):
+            by_date(rows).write.format(self.config.table_format).mode(mode).partitionBy("event_date").save(folder)
 
 
 def within_dates(stored: DataFrame, dates: DataFrame) -> DataFrame:

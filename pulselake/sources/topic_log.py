@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pulselake.config import LakeConfig
+from pulselake.sources.workspace import COMPRESSION, freeing_shuffles
 from pulselake.specs import TOPICS, TRANSPORT_SCHEMA
 
 
@@ -23,7 +24,8 @@ def append_events(events: DataFrame, config: LakeConfig) -> None:
             .save()
         )
     else:
-        events.select(*TRANSPORT_SCHEMA.names).write.mode("append").parquet(config.layer("topics"))
+        with freeing_shuffles(events.sparkSession):
+            events.select(*TRANSPORT_SCHEMA.names).write.mode("append").option("compression", COMPRESSION).parquet(config.layer("topics"))
 
 
 def topic_stream(spark: SparkSession, config: LakeConfig) -> DataFrame:

@@ -16,6 +16,7 @@ from pulselake.sources.files import delete, delete_reported
 from pulselake.sources.lake import BRONZE, Lake, read_if_exists
 from pulselake.sources.seals import Rewritten, Seals
 from pulselake.sources.topic_log import topic_stream
+from pulselake.sources.workspace import COMPRESSION, freeing_shuffles
 from pulselake.specs import BRONZE_SCHEMA, TOPICS
 
 
@@ -53,16 +54,18 @@ def land_batch(batch: DataFrame, batch_id: int, config: LakeConfig, stream_id: s
         return
     seen = Observation()
     rows = batch.observe(seen, *[F.count_if(F.col("topic") == name).alias(name) for name in TOPICS])
-    rows = rows.withColumn("stream_id", F.lit(stream_id)).withColumn("batch_id", F.lit(batch_id).cast("long"))
     if gather:
         rows = rows.hint("rebalance", F.col("topic"), F.col("event_date"))
-    (
-        rows.write.format(config.table_format)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("topic", "event_date", "stream_id", "batch_id")
-        .save(config.layer(BRONZE))
-    )
+    rows = rows.withColumn("stream_id", F.lit(stream_id)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    with freeing_shuffles(batch.sparkSession):
+        (
+            rows.write.format(config.table_format)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", COMPRESSION)
+            .partitionBy("topic", "event_date", "stream_id", "batch_id")
+            .save(config.layer(BRONZE))
+        )
     seals.seal(stream_id, batch_id, {name: n for name, n in seen.get.items() if n})
 
 
@@ -72,6 +75,8 @@ def compact_bronze(lake: Lake, before: dt.date | str, *, whole: bool = False) ->
     Rows without a date go along. The stream may run meanwhile: batches that
     are sealed later, and later rows of the same dates, belong to the next
     generation. ``whole`` takes in the earlier generations too and replaces them.
+    One topic is gathered at a time, so what is shuffled at once is a topic's
+    share; the record covers them all.
     """
     upto = lake.seals.newest()
     live = lake.generations.live()
@@ -85,12 +90,23 @@ def compact_bronze(lake: Lake, before: dt.date | str, *, whole: bool = False) ->
         root = lake.generations.root
         earlier = read_if_exists(lake.spark, lake.config.table_format, root, f"generation string, {_columns()}", basePath=root)
         rows += [] if earlier is None else [earlier.filter(F.col("generation").isin(*live.names)).drop("generation")]
-    seen, generation = Observation(), uuid.uuid4().hex
+    generation = uuid.uuid4().hex
     folder = lake.generations.folder(generation)
-    gathered = reduce(DataFrame.unionByName, rows).hint("rebalance", F.col("topic"), F.col("event_date"))
-    gathered.observe(seen, F.count(F.lit(1)).alias("n")).write.format(lake.config.table_format).partitionBy("topic", "event_date").save(folder)
-    if not seen.get["n"]:
-        delete(lake.spark, folder)
+    if not rows:
+        return None
+    left = reduce(DataFrame.unionByName, rows)
+    topics = [r["topic"] for r in left.select("topic").distinct().collect()]
+    for topic in topics:
+        gathered = left.filter(F.col("topic").eqNullSafe(F.lit(topic))).hint("rebalance", F.col("topic"), F.col("event_date"))
+        with freeing_shuffles(lake.spark):
+            (
+                gathered.write.format(lake.config.table_format)
+                .mode("append")
+                .option("compression", COMPRESSION)
+                .partitionBy("topic", "event_date")
+                .save(folder)
+            )
+    if not topics:
         return None
     lake.generations.add(generation, live.number + 1, cut, upto, whole)
     return generation

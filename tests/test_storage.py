@@ -2,6 +2,7 @@
 
 import dataclasses
 import glob
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -277,3 +278,30 @@ def test_a_column_of_another_type_is_refused(spark, lake):
     with pytest.raises(Exception, match="lost"):
         lake.overwrite(bad, GOLD, "t")
     assert found(lake) == [("a", DATES[0], "x")]
+
+
+def shuffle_blocks(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString("\n").split("\n")
+    return {b for b in blocks if b.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_the_write(spark, lake):
+    """Neither landing nor rewriting nor Silver leaves shuffle files to the driver's garbage collection."""
+    before = shuffle_blocks(spark)
+    land_batch(batch_of(lake, readings(0, 40)), 0, lake.config, "s1", gather=True)
+    assert compact_bronze(lake, "2021-06-01") and lake.read_bronze("vitals").count() == 40
+    run_silver(lake)
+    until = time.time() + 30
+    while (left := {b for b in shuffle_blocks(spark) - before if b.endswith(".data")}) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+
+
+def test_topics_are_rewritten_one_at_a_time(lake):
+    """What a rewrite shuffles at once is one topic's share, and its one record covers all of them."""
+    land(lake, 0, *readings(0, 12), *[bronze_row({"age": "<30"}, kind="profile", date=None, user=f"u{i}") for i in range(3)])
+    generation = compact_bronze(lake, "2021-06-01")
+    assert lake.generations.live().names == (generation,)
+    assert len(glob.glob(f"{lake.generations.path}/*.parquet")) == 1
+    assert clear_bronze(lake) == 4 + 1
+    assert lake.read_bronze("vitals").count() == 12 and lake.read_bronze("profile").count() == 3
