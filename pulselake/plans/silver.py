@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pulselake.operators.refine import refine
+from pulselake.operators.refine import refine, unstored
 from pulselake.sources.lake import SILVER, Lake
 from pulselake.sources.seals import in_batches
 from pulselake.specs import TOPICS, TopicSpec
@@ -18,7 +18,7 @@ def refine_topic(lake: Lake, spec: TopicSpec, *, after_batch: int | None = None,
 
     ``new_only`` reads the batches that landed since the last run, for every
     stream, so that a daily run reads a day and not the whole history. Without
-    it all of Bronze is read, as every key already stored is skipped anyway.
+    it all of Bronze is read, and every key already stored is skipped by its envelope.
     Either way the run is recorded. The sealed batches are listed first and
     only those are read, so a batch that lands meanwhile, or is half there,
     belongs to the next run. ``after_batch`` reads newer batches only and records nothing.
@@ -41,6 +41,9 @@ def refine_topic(lake: Lake, spec: TopicSpec, *, after_batch: int | None = None,
         # A re-delivered event repeats its timestamp and date, so only the
         # dates of this input need comparing. Profiles are keyed by user alone.
         dates = bronze.select("event_date") if "event_timestamp" in spec.keys else None
+        stored = None if new_only or after_batch is not None else lake.read(SILVER, spec.name)
+        if stored is not None:
+            bronze = unstored(bronze, stored, spec)  # most of Bronze, unless the run is the first
         lake.insert_only(refine(bronze, spec), SILVER, spec.name, spec.keys, dates)
     if after_batch is None:
         lake.note_refined(spec.name, newest)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pulselake.config import LakeConfig
 from pulselake.operators.refine import refine
+from pulselake.plans import silver
 from pulselake.plans.gold import run_gold
 from pulselake.plans.silver import refine_topic, run_silver
 from pulselake.sources import versions
@@ -280,6 +281,32 @@ def test_a_column_of_another_type_is_refused(spark, lake):
     assert found(lake) == [("a", DATES[0], "x")]
 
 
+def test_a_full_run_refines_only_keys_that_are_not_stored(lake, monkeypatch):
+    """All of Bronze is read again; deliveries of stored keys go by their envelope, and the table is that of a first full run."""
+    heart = {"kind": "heart_rate_intraday", "source": "2021-05-01T07:00:00.250", "date": DATES[0]}
+    first = [*readings(0, 8), *[bronze_row({"bpm": 70}, user=u, **heart) for u in ("h1", "h2")], bronze_row({"bpm": 70}, user="h3", trace="t3", **heart)]
+    late = [
+        bronze_row({"bpm": 99}, user="u1", date=DATES[1], stamp=f"{DATES[1]}T07:00:00", ingest="2021-05-20T00:00:00"),  # a stored key
+        *readings(8, 10), *readings(9, 10),  # new keys, one of them twice
+        bronze_row({"bpm": 999}, user="u3", date=DATES[0], stamp=f"{DATES[0]}T07:00:00"),  # a new key out of range
+        bronze_row({"bpm": 71}, user=None), bronze_row({"bpm": 71}, stamp=None), bronze_row({"bpm": 71}, stamp="no time"), bronze_row({"bpm": 71}, date=None),
+        bronze_row({"bpm": 72}, user="h3", trace="t4", **heart), bronze_row({"bpm": 73}, user="h1", **heart), *first[8:9],
+    ]
+    land(lake, 0, *first)
+    run_silver(lake)
+    land(lake, 1, *late)
+    given = {}
+    monkeypatch.setattr(silver, "refine", lambda rows, spec, **options: given.update({spec.name: rows.count()}) or refine(rows, spec, **options))
+    run_silver(lake)
+    assert given["vitals"] == 4 and given["heart_rate_intraday"] == 2
+    vitals = {(r["user_id"], str(r["event_date"])): r["bpm"] for r in lake.require(SILVER, "vitals").collect()}
+    assert lake.require(SILVER, "vitals").count() == 10 and vitals["u1", DATES[1]] == 70.0
+    assert sorted((r["user_id"], r["bpm"]) for r in lake.require(SILVER, "heart_rate_intraday").collect()) == [
+        ("h1", 70.0), ("h1", 73.0), ("h2", 70.0), ("h3", 70.0), ("h3", 72.0)]
+    run_silver(lake)
+    assert given["vitals"] == 1 and given["heart_rate_intraday"] == 0  # out of range, so never stored
+
+
 def shuffle_blocks(spark):
     blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString("\n").split("\n")
     return {b for b in blocks if b.startswith("shuffle_")}
